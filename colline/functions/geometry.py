@@ -142,3 +142,40 @@ def points_text(points: str | Column) -> Column:
         F.transform(_c(points), lambda p: F.concat(p["x"].cast("string"), F.lit(" "), p["y"].cast("string"))),
         ";",
     )
+
+
+def euclid_steps(bound: int) -> int:
+    """Division steps that always finish Euclid's algorithm on inputs <= ``bound``.
+
+    Lame: about log_phi(sqrt(5) * bound) = 1.4405 * log2(bound) + 1.67 steps, plus
+    one for a first swap when a < b.
+    """
+    import math
+
+    return max(1, math.ceil(1.45 * math.log2(max(1, bound) + 1)) + 3)
+
+
+def gcd_bounded(a: str | Column, b: str | Column, bound: int) -> Column:
+    """gcd of two non-negative BIGINT columns known to be at most ``bound``.
+
+    Trivial cases (a zero, a one, equal values) are answered directly; only the
+    rest run Euclid's fold, with a fixed step count from :func:`euclid_steps`.
+    (An unrolled fold as stacked projections would be faster, but any filter a
+    caller puts on top gets pushed down through them with every alias inlined,
+    which grows exponentially; a single expression keeps plans small.)
+    """
+    a, b = _c(a).cast("bigint"), _c(b).cast("bigint")
+    init = F.struct(a.alias("a"), b.alias("b"))
+
+    def step(z: Column, _i: Column) -> Column:
+        return F.when(z["b"] == 0, z).otherwise(F.struct(z["b"].alias("a"), (z["a"] % z["b"]).alias("b")))
+
+    fold = F.aggregate(F.sequence(F.lit(1), F.lit(euclid_steps(bound))), init, step, lambda z: z["a"])
+    one = F.lit(1).cast("bigint")
+    return (
+        F.when(b == 0, a)
+        .when(a == 0, b)
+        .when((a == 1) | (b == 1), one)
+        .when(a == b, a)
+        .otherwise(fold)
+    )

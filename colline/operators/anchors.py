@@ -21,11 +21,15 @@ def _exploded(lines: DataFrame, group_cols: list[str]) -> DataFrame:
     slope = F.when(vertical, F.lit(float("inf"))).otherwise(
         F.col("uy").cast("double") / F.col("ux").cast("double") + F.lit(0.0)
     )
-    return lines.select(
+    # Explode an index, not the derived point array itself: keeps the
+    # generator's input trivial for the optimizer.
+    idx = F.explode(F.sequence(F.lit(0), F.size("points") - F.lit(1))).alias("_i")
+    ex = lines.select(*group_cols, idx, vertical.alias("is_vertical"), slope.alias("slope"), "n_points", "points")
+    return ex.select(
         *group_cols,
-        F.explode("points").alias("_anchor"),
-        vertical.alias("is_vertical"),
-        slope.alias("slope"),
+        F.get(F.col("points"), F.col("_i")).alias("_anchor"),
+        "is_vertical",
+        "slope",
         "n_points",
         "points",
     )

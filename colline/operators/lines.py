@@ -1,44 +1,60 @@
 """Maximal collinear point sets, one row per line: the engine's main operator.
 
-Plan (all DataFrame operators, no Python worker, nothing on the driver but one
-row of sizes):
+Plan (DataFrame operators only: no Python worker, no cartesian product, and
+nothing on the driver but one row of sizes):
 
 1. distinct points per group (partial + final aggregate: duplicates collapse
    map-side before the shuffle);
-2. measure the quadratic workload and size the pair stage
-   (:mod:`colline.operators.workload`);
-3. half pairs, a < b in (x, y) order, formed by an equi-join on the group key:
-   either the size-checked distinct points are broadcast to anchor tasks spread
-   by (group, x, y), or anchors are hash-split into buckets (hot groups into
-   many) and each bucket is co-partitioned with a copy of its group's points;
-4. in the *same stage* as the join, aggregate per (anchor, direction): count
-   and coordinate min/max.  The grouping keys contain the join's partitioning,
-   so Spark adds no exchange: pairs are never shuffled or stored.  Only
-   (anchor, direction) groups with at least two partners, i.e. anchors of
-   lines of three or more points, leave the stage;
-5. shuffle those few candidates by line (direction + last point) and assemble
-   each line: every point except the last two is the anchor of exactly one
-   candidate, the last-but-one is the nearest partner of the candidate with
-   count 2, and the last is the common farthest partner;
-6. exact integer line key ``(ux, uy, c)``: gcd-reduced direction (ux >= 0, and
-   uy = 1 when vertical) and c = ux*y - uy*x, the same for every point on it.
+2. one sizing job (:mod:`colline.operators.workload`) measures the quadratic
+   pair workload per group and the coordinate range;
+3. half pairs (a < b in x, y order) by an equi-join on the group key, and in
+   the *same stage* an aggregate per (anchor, direction): count and the
+   nearest / farthest partner.  Pairs are never shuffled or stored; only
+   anchors of lines with three or more points leave the stage ("candidates");
+4. a line's candidates share (group, direction, farthest point); every point
+   but the last two is the anchor of exactly one candidate, the last-but-one
+   is the nearest partner of the candidate with count 2, the last one the
+   farthest partner.  So the line is assembled from its candidates alone;
+5. exact integer key ``(ux, uy, c)``: primitive direction (ux > 0, or (0, 1)
+   when vertical) and c = ux*y - uy*x, equal for every point of the line.
+
+Two layouts for steps 3-4:
+
+* co-located (groups below the per-task pair budget): anchors are
+  hash-partitioned by group, partners come from a size-checked broadcast or a
+  co-partitioned copy; both aggregates group by keys that contain the group
+  key, so the whole line search runs in one stage after one shuffle of points;
+* salted (hot groups, and the no-group case): anchors are split into buckets by
+  a hash of the point, each bucket meets a copy of all of its group's points;
+  line assembly then needs one shuffle of the candidates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colline.functions.geometry import direction_divisor, direction_key, gcd, int_div, lex_less
-from colline.operators.workload import PairWorkload, hot_group_buckets, measure
+from colline.functions.geometry import (
+    EXACT_DOUBLE_BOUND,
+    INFINITY,
+    direction_divisor,
+    direction_key,
+    int_div,
+    lex_less,
+    gcd_bounded,
+)
+from colline.operators.workload import PairWorkload, group_sizes, hot_group_buckets, measure
 from colline.sources.storage import checkpoint_dir, materialize
 
-GROUP_KEY = "_gk"
-
 LINE_COLUMNS = ("ux", "uy", "c", "n_points", "points")
 
+# Coordinates below this bound give differences below EXACT_DOUBLE_BOUND, so the
+# double slope alone is an exact direction key.
+SMALL_COORD_BOUND = EXACT_DOUBLE_BOUND // 2
+
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     if cols is None:
@@ -48,63 +64,121 @@ def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     return list(cols)
 
 
+def _and(conds: list[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+@dataclass
+class Prepared:
+    """Distinct points with internal group key columns, and the sizing result."""
+
+    pts: DataFrame
+    keys: list[str]
+    group_cols: list[str]
+    plan: PairWorkload
+    sizes: DataFrame
+
+    @property
+    def has_groups(self) -> bool:
+        return bool(self.keys)
+
+
+def _flat_keys(group_cols: list[str]) -> list[str]:
+    return [f"_g{i}" for i in range(len(group_cols))]
+
+
 def distinct_points(
-    points: DataFrame, group_cols: Sequence[str] = (), x: str = "x", y: str = "y"
+    points: DataFrame, group_cols: Sequence[str] = (), x: str = "x", y: str = "y", distinct: bool = True
 ) -> DataFrame:
-    """``[_gk STRUCT(group cols)], x BIGINT, y BIGINT``, one row per distinct point.
+    """``_g0.., x BIGINT, y BIGINT``, one row per distinct point of each group.
 
     Rows with a NULL coordinate are not points and are skipped (the readers in
-    :mod:`colline.sources` never produce them).  NULL group values form their
-    own group, as in ``GROUP BY``.
+    :mod:`colline.sources` never produce them).
     """
     gcols = _as_list(group_cols)
-    sel = []
-    if gcols:
-        sel.append(F.struct(*[F.col(c) for c in gcols]).alias(GROUP_KEY))
+    sel = [F.col(c).alias(k) for c, k in zip(gcols, _flat_keys(gcols))]
     sel += [F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y")]
-    return points.select(*sel).where(F.col("x").isNotNull() & F.col("y").isNotNull()).dropDuplicates()
+    out = points.select(*sel).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return out.dropDuplicates() if distinct else out
 
 
-def _key_cols(has_groups: bool) -> list[str]:
-    return [GROUP_KEY] if has_groups else []
+def prepare(
+    points: DataFrame,
+    group_cols: str | Sequence[str] | None,
+    x: str,
+    y: str,
+    *,
+    distinct: bool = True,
+    pairs_per_task: int | None = None,
+    broadcast_max_points: int | None = None,
+    allow_broadcast: bool = True,
+    materialize_points: bool | None = None,
+) -> Prepared:
+    gcols = _as_list(group_cols)
+    pts = distinct_points(points, gcols, x, y, distinct)
+    if materialize_points is None:
+        materialize_points = checkpoint_dir(points.sparkSession) is not None
+    if materialize_points:
+        pts = materialize(pts, "points")
+    keys = _flat_keys(gcols)
+    plan, sizes = measure(
+        pts,
+        keys,
+        pairs_per_task=pairs_per_task,
+        broadcast_max_points=broadcast_max_points,
+        allow_broadcast=allow_broadcast,
+    )
+    if plan.null_key_groups:
+        # NULL is a group of its own, as in GROUP BY; plain equality would drop
+        # it, so the key columns travel as one (never NULL) struct.
+        pts = pts.select(F.struct(*keys).alias("_gk"), "x", "y")
+        keys = ["_gk"]
+        sizes = group_sizes(pts, keys)
+    return Prepared(pts, keys, gcols, plan, sizes)
+
+
+def restore_groups(df: DataFrame, prep: Prepared) -> DataFrame:
+    """Internal key columns back to the caller's group column names, first."""
+    if not prep.group_cols:
+        return df
+    rest = [c for c in df.columns if c not in prep.keys]
+    if prep.keys == ["_gk"]:
+        outs = [F.col("_gk")[k].alias(c) for k, c in zip(_flat_keys(prep.group_cols), prep.group_cols)]
+    else:
+        outs = [F.col(k).alias(c) for k, c in zip(prep.keys, prep.group_cols)]
+    return df.select(*outs, *rest)
 
 
-def half_pairs_stage(
-    pts: DataFrame,
-    has_groups: bool,
-    plan: PairWorkload,
-    sizes: DataFrame,
-    condition=lambda ax, ay, bx, by_: lex_less(ax, ay, bx, by_),
-):
-    """Join anchors with partners inside the plan's partitions.
+# ---- step 3: pairs ----------------------------------------------------------------------
 
-    ``condition(ax, ay, bx, by_)`` selects the pairs (default: half pairs,
-    b > a); ``None`` from it keeps every pair of the group.  Returns the joined
-    DataFrame and the columns that partition it, which any aggregate over the
-    pairs must group by to avoid a second exchange.
-    """
-    keys = _key_cols(has_groups)
-    T = plan.partitions
+
+def _pair_join(anchors: DataFrame, partners: DataFrame, eq: list[Column], extra: Column | None) -> DataFrame:
+    return anchors.join(partners, _and(eq + ([extra] if extra is not None else [])), "inner")
+
+
+def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less):
+    """Pairs of groups small enough for one task each; partitioned by the group key."""
     extra = condition(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
+    T = plan.partitions
+    anchors = pts.select(*keys, F.col("x").alias("ax"), F.col("y").alias("ay")).repartition(T, *keys)
+    partners = pts.select(
+        *[F.col(k).alias(k + "_b") for k in keys], F.col("x").alias("bx"), F.col("y").alias("by_")
+    )
     if plan.broadcast:
-        # Size-checked: plan.n_points <= broadcast_max_points.
-        anchors = pts.select(*keys, F.col("x").alias("ax"), F.col("y").alias("ay")).repartition(
-            T, *keys, "ax", "ay"
-        )
-        partners = pts.select(
-            *[F.col(k).alias(k + "_b") for k in keys], F.col("x").alias("bx"), F.col("y").alias("by_")
-        )
-        cond = [F.col(k) == F.col(k + "_b") for k in keys]
-        joined = anchors.join(F.broadcast(partners), _and(cond + ([extra] if extra is not None else [])), "inner")
-        return joined, keys + ["ax", "ay"]
-
-    if has_groups:
-        hot = hot_group_buckets(sizes, keys, plan)  # fewer than T rows: see workload
-        tagged = pts.join(F.broadcast(hot), on=keys, how="left").withColumn(
-            "_s", F.coalesce(F.col("_s"), F.lit(1))
-        )
+        partners = F.broadcast(partners)  # size-checked: plan.n_points <= broadcast_max_points
     else:
-        tagged = pts.withColumn("_s", F.lit(plan.global_buckets))
+        partners = partners.repartition(T, *[k + "_b" for k in keys])
+    eq = [F.col(k) == F.col(k + "_b") for k in keys]
+    return _pair_join(anchors, partners, eq, extra), list(keys)
+
+
+def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less):
+    """Pairs where anchors are split into ``_s`` buckets per group (column ``_s`` given)."""
+    extra = condition(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
+    T = plan.partitions
     anchors = tagged.select(
         *keys,
         F.pmod(F.xxhash64("x", "y"), F.col("_s").cast("bigint")).cast("int").alias("_bucket"),
@@ -117,44 +191,55 @@ def half_pairs_stage(
         F.col("x").alias("bx"),
         F.col("y").alias("by_"),
     ).repartition(T, *[k + "_b" for k in keys], "_bucket_b")
-    cond = [F.col(k) == F.col(k + "_b") for k in keys] + [F.col("_bucket") == F.col("_bucket_b")]
-    joined = anchors.join(partners, _and(cond + ([extra] if extra is not None else [])), "inner")
-    return joined, keys + ["_bucket", "ax", "ay"]
+    eq = [F.col(k) == F.col(k + "_b") for k in keys] + [F.col("_bucket") == F.col("_bucket_b")]
+    return _pair_join(anchors, partners, eq, extra), list(keys) + ["_bucket"]
 
 
-def _and(conds: list[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+def split_hot(prep: Prepared) -> tuple[DataFrame | None, DataFrame | None]:
+    """(co-located points, salted points with ``_s``); either may be None."""
+    plan, keys = prep.plan, prep.keys
+    if not keys:
+        return None, prep.pts.withColumn("_s", F.lit(plan.global_buckets))
+    if plan.hot_groups == 0:
+        return prep.pts, None
+    hot = F.broadcast(hot_group_buckets(prep.sizes, keys, plan))  # < plan.partitions rows
+    cold = prep.pts.join(hot.select(*keys), on=keys, how="left_anti")
+    return cold, prep.pts.join(hot, on=keys, how="inner")
+
+
+# ---- steps 3-5: candidates and lines ------------------------------------------------------
 
 
-def anchor_directions(joined: DataFrame, part_cols: list[str], min_partners: int = 2) -> DataFrame:
+def _small(plan: PairWorkload) -> bool:
+    return plan.max_abs < SMALL_COORD_BOUND
+
+
+def anchor_directions(joined: DataFrame, part_cols: list[str], small: bool, min_partners: int = 2):
     """Per (anchor, direction): partner count and the nearest / farthest partner.
 
-    Groups by the join's partitioning columns plus the direction key, so the
-    partial and final aggregates run in the join's stage without an exchange.
+    Groups by the join's partitioning columns plus the direction, so Spark plans
+    the aggregate inside the join's stage.  Returns (candidates, direction cols).
     """
-    diffs = joined.select(
-        *part_cols,
-        "bx",
-        "by_",
-        (F.col("bx") - F.col("ax")).alias("_dx"),
-        (F.col("by_") - F.col("ay")).alias("_dy"),
-    ).withColumn("_div", direction_divisor("_dx", "_dy"))
-    dy = F.col("_dy")
-    slope_key, ex_ux, ex_uy = direction_key("_dx", "_dy", "_div")
-    keyed = diffs.select(
-        *part_cols,
-        "bx",
-        "by_",
-        slope_key.alias("_slope"),
-        ex_ux.alias("_ex_ux"),
-        ex_uy.alias("_ex_uy"),
-        (dy < 0).alias("_desc"),
-    )
+    dx = F.col("bx") - F.col("ax")
+    dy = F.col("by_") - F.col("ay")
+    if small:
+        slope_key = F.when(dx == 0, F.lit(INFINITY)).otherwise(dy.cast("double") / dx.cast("double") + F.lit(0.0))
+        keyed = joined.select(*part_cols, "ax", "ay", "bx", "by_", slope_key.alias("_slope"))
+        dir_cols = ["_slope"]
+        desc = F.col("_slope") < 0
+    else:
+        diffs = joined.select(*part_cols, "ax", "ay", "bx", "by_", dx.alias("_dx"), dy.alias("_dy"))
+        diffs = diffs.withColumn("_div", direction_divisor("_dx", "_dy"))
+        slope_key, ex_ux, ex_uy = direction_key("_dx", "_dy", "_div")
+        keyed = diffs.select(
+            *part_cols, "ax", "ay", "bx", "by_", slope_key.alias("_slope"), ex_ux.alias("_ex_ux"),
+            ex_uy.alias("_ex_uy"), (F.col("_dy") < 0).alias("_desc"),
+        )
+        dir_cols = ["_slope", "_ex_ux", "_ex_uy", "_desc"]
+        desc = F.col("_desc")
+    group = list(dict.fromkeys(part_cols + ["ax", "ay"]))
     agg = (
-        keyed.groupBy(*part_cols, "_slope", "_ex_ux", "_ex_uy", "_desc")
+        keyed.groupBy(*group, *dir_cols)
         .agg(
             F.count(F.lit(1)).alias("_cnt"),
             F.min("bx").alias("_min_bx"),
@@ -164,51 +249,89 @@ def anchor_directions(joined: DataFrame, part_cols: list[str], min_partners: int
         )
         .where(F.col("_cnt") >= F.lit(min_partners))
     )
-    desc = F.col("_desc")
-    return agg.select(
-        *[c for c in part_cols if c != "_bucket"],
-        "_slope",
-        "_ex_ux",
-        "_ex_uy",
+    out_dirs = [c for c in dir_cols if c != "_desc"]
+    cand = agg.select(
+        *[c for c in group if c != "_bucket"],
+        *out_dirs,
         "_cnt",
         F.col("_min_bx").alias("_nx"),
         F.when(desc, F.col("_max_by")).otherwise(F.col("_min_by")).alias("_ny"),
         F.col("_max_bx").alias("_lx"),
         F.when(desc, F.col("_min_by")).otherwise(F.col("_max_by")).alias("_ly"),
     )
+    return cand, out_dirs
 
 
-def assemble_lines(cand: DataFrame, has_groups: bool, min_points: int = 3) -> DataFrame:
-    """Candidates of one line share (group, direction, last point): gather them."""
-    keys = _key_cols(has_groups)
-    pt = "struct<x:bigint,y:bigint>"
+def assemble_lines(
+    cand: DataFrame, keys: list[str], dir_cols: list[str], max_abs: int, min_points: int = 3
+) -> DataFrame:
+    """Gather each line's candidates (same group, direction and farthest point)."""
+    vertical = F.coalesce(F.col("_slope") == F.lit(INFINITY), F.lit(False))  # NULL slope: exact key
+    pos = F.when(vertical, F.col("ay")).otherwise(F.col("ax"))
     lines = (
-        cand.groupBy(*keys, "_slope", "_ex_ux", "_ex_uy", "_lx", "_ly")
+        cand.groupBy(*keys, *dir_cols, "_lx", "_ly")
         .agg(
             (F.max("_cnt") + F.lit(1)).alias("n_points"),
-            F.collect_list(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y"))).alias("_anchors"),
+            F.collect_list(pos).alias("_pos"),
             F.min_by(F.struct(F.col("_nx").alias("x"), F.col("_ny").alias("y")), F.col("_cnt")).alias("_pen"),
         )
         .where(F.col("n_points") >= F.lit(min_points))
     )
-    last = F.struct(F.col("_lx").alias("x"), F.col("_ly").alias("y")).cast(pt)
-    pts = F.array_sort(F.concat(F.col("_anchors").cast(f"array<{pt}>"), F.array(F.col("_pen").cast(pt), last)))
-    lines = lines.select(*keys, "n_points", pts.alias("points"), "_lx", "_ly")
-    first = F.col("points")[0]
     lines = lines.select(
-        *keys, "n_points", "points", (F.col("_lx") - first["x"]).alias("_dx"), (F.col("_ly") - first["y"]).alias("_dy")
-    ).withColumn("_g", gcd("_dx", F.abs(F.col("_dy"))))
-    ux, uy = int_div("_dx", "_g"), int_div("_dy", "_g")
-    lines = lines.select(*keys, ux.alias("ux"), uy.alias("uy"), "n_points", "points")
-    c = F.col("ux") * F.col("points")[0]["y"] - F.col("uy") * F.col("points")[0]["x"]
-    return lines.select(*keys, "ux", "uy", c.alias("c"), "n_points", "points")
+        *keys,
+        "n_points",
+        "_pos",
+        "_lx",
+        "_ly",
+        vertical.alias("_vert"),
+        F.col("_pen")["x"].alias("_px"),
+        F.col("_pen")["y"].alias("_py"),
+        (F.col("_lx") - F.col("_pen")["x"]).alias("_ddx"),
+        (F.col("_ly") - F.col("_pen")["y"]).alias("_ddy"),
+    )
+    lines = lines.withColumn("_d", gcd_bounded(F.col("_ddx"), F.abs(F.col("_ddy")), 2 * max_abs))
+    ux, uy = int_div("_ddx", "_d"), int_div("_ddy", "_d")
+    lines = lines.select(
+        *keys, "n_points", "_pos", "_lx", "_ly", "_vert", "_px", "_py", ux.alias("ux"), uy.alias("uy")
+    )
+    vert = F.col("_vert")
+    tail = F.array(
+        F.when(vert, F.col("_py")).otherwise(F.col("_px")), F.when(vert, F.col("_ly")).otherwise(F.col("_lx"))
+    )
+    positions = F.array_sort(F.concat(F.col("_pos"), tail))
+
+    def to_point(t: Column) -> Column:
+        # Lattice points of a line with primitive direction (ux, uy) are
+        # (lx, ly) - k*(ux, uy): x fixes k exactly when ux > 0.
+        y_of_x = F.col("_ly") - F.call_function("div", F.col("_lx") - t, F.col("ux")) * F.col("uy")
+        return F.struct(
+            F.when(vert, F.col("_lx")).otherwise(t).alias("x"),
+            F.when(vert, t).otherwise(y_of_x).alias("y"),
+        )
 
+    c = F.col("ux") * F.col("_ly") - F.col("uy") * F.col("_lx")
+    return lines.select(
+        *keys, "ux", "uy", c.alias("c"), "n_points", F.transform(positions, to_point).alias("points")
+    )
 
-def _restore_groups(df: DataFrame, group_cols: list[str]) -> DataFrame:
-    if not group_cols:
-        return df
-    rest = [c for c in df.columns if c != GROUP_KEY]
-    return df.select(*[F.col(GROUP_KEY)[c].alias(c) for c in group_cols], *rest)
+
+def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
+    """Lines of prepared points (internal key columns kept)."""
+    small = _small(prep.plan)
+    cold, hot = split_hot(prep)
+    parts = []
+    if cold is not None:
+        joined, part_cols = colocated_pairs(cold, prep.keys, prep.plan)
+        cand, dir_cols = anchor_directions(joined, part_cols, small)
+        parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
+    if hot is not None:
+        joined, part_cols = salted_pairs(hot, prep.keys, prep.plan)
+        cand, dir_cols = anchor_directions(joined, part_cols, small)
+        parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def collinear_sets(
@@ -232,28 +355,19 @@ def collinear_sets(
     ``group_cols`` finds lines inside each group (an extension: the reference
     works on one set).  One sizing job runs eagerly; the result is lazy.
     ``materialize_points`` (default: when the session names a checkpoint
-    folder) writes the distinct points once so the sizing and the main job do
-    not both scan the source.
+    folder) writes the distinct points once so the sizing job and the main job
+    do not both scan the source.
     """
     if min_points < 3:
         raise ValueError("min_points must be at least 3 (any two points share a line)")
-    gcols = _as_list(group_cols)
-    has_groups = bool(gcols)
-    pts = distinct_points(points, gcols, x, y)
-    if materialize_points is None:
-        materialize_points = checkpoint_dir(points.sparkSession) is not None
-    if materialize_points:
-        pts = materialize(pts, "points")
-    plan, sizes = measure(
-        pts,
-        _key_cols(has_groups),
+    prep = prepare(
+        points, group_cols, x, y,
         pairs_per_task=pairs_per_task,
         broadcast_max_points=broadcast_max_points,
+        materialize_points=materialize_points,
     )
-    joined, part_cols = half_pairs_stage(pts, has_groups, plan, sizes)
-    cand = anchor_directions(joined, part_cols)
-    out = _restore_groups(assemble_lines(cand, has_groups, min_points), gcols)
-    return (out, plan) if return_plan else out
+    out = restore_groups(lines_of(prep, min_points), prep)
+    return (out, prep.plan) if return_plan else out
 
 
 def line_params(lines: DataFrame) -> DataFrame:
@@ -265,7 +379,7 @@ def line_params(lines: DataFrame) -> DataFrame:
     integers, never ``y - slope*x``, which splits lines by rounding.
     """
     vertical = F.col("ux") == 0
-    slope = F.when(vertical, F.lit(float("inf"))).otherwise(
+    slope = F.when(vertical, F.lit(INFINITY)).otherwise(
         F.col("uy").cast("double") / F.col("ux").cast("double") + F.lit(0.0)
     )
     intercept = F.when(vertical, (-F.col("c")).cast("double") + F.lit(0.0)).otherwise(

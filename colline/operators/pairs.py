@@ -17,28 +17,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import slope as slope_expr
-from colline.operators.lines import GROUP_KEY, _as_list, _key_cols, _restore_groups, distinct_points, half_pairs_stage
-from colline.operators.workload import measure
+from colline.operators.lines import colocated_pairs, prepare, restore_groups, salted_pairs, split_hot
 
 PAIR_COLUMNS = ("ax", "ay", "bx", "by_")
 
 
-def _rows(points: DataFrame, gcols: list[str], x: str, y: str) -> DataFrame:
-    sel = []
-    if gcols:
-        sel.append(F.struct(*[F.col(c) for c in gcols]).alias(GROUP_KEY))
-    sel += [F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y")]
-    return points.select(*sel).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-
-
 def _pairs(points, group_cols, x, y, *, distinct: bool, condition, pairs_per_task=None) -> DataFrame:
-    gcols = _as_list(group_cols)
-    has_groups = bool(gcols)
-    pts = distinct_points(points, gcols, x, y) if distinct else _rows(points, gcols, x, y)
-    plan, sizes = measure(pts, _key_cols(has_groups), pairs_per_task=pairs_per_task, allow_broadcast=False)
-    joined, _ = half_pairs_stage(pts, has_groups, plan, sizes, condition=condition)
-    out = joined.select(*_key_cols(has_groups), *PAIR_COLUMNS)
-    return _restore_groups(out, gcols)
+    prep = prepare(points, group_cols, x, y, distinct=distinct, pairs_per_task=pairs_per_task)
+    cold, hot = split_hot(prep)
+    parts = []
+    if cold is not None:
+        joined, _ = colocated_pairs(cold, prep.keys, prep.plan, condition)
+        parts.append(joined.select(*prep.keys, *PAIR_COLUMNS))
+    if hot is not None:
+        joined, _ = salted_pairs(hot, prep.keys, prep.plan, condition)
+        parts.append(joined.select(*prep.keys, *PAIR_COLUMNS))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return restore_groups(out, prep)
 
 
 def ordered_pairs(

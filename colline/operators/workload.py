@@ -42,6 +42,8 @@ class PairWorkload:
     n_groups: int
     total_pairs: int
     max_group: int
+    max_abs: int
+    null_key_groups: int
     partitions: int
     pairs_per_task: int
     hot_groups: int
@@ -73,8 +75,11 @@ def half_pair_count(n: str = "_n"):
 
 
 def group_sizes(pts: DataFrame, key_cols: list[str]) -> DataFrame:
-    """One row per group: its key columns and ``_n`` distinct points."""
-    return pts.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    """One row per group: its key columns, ``_n`` distinct points and ``_m`` max |coordinate|."""
+    return pts.groupBy(*key_cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.greatest(F.abs(F.col("x")), F.abs(F.col("y")))).alias("_m"),
+    )
 
 
 def measure(
@@ -95,13 +100,19 @@ def measure(
         bmax = _conf_int(spark, CONF_BROADCAST_MAX_POINTS, BROADCAST_MAX_POINTS)
 
     sizes = group_sizes(pts, key_cols)
+    any_null = F.lit(False)
+    for k in key_cols:
+        any_null = any_null | F.col(k).isNull()
     row = sizes.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_points"),
         F.coalesce(F.sum(half_pair_count()), F.lit(0)).alias("pairs"),
         F.coalesce(F.max("_n"), F.lit(0)).alias("max_n"),
         F.count(F.lit(1)).alias("groups"),
+        F.coalesce(F.max("_m"), F.lit(0)).alias("max_abs"),
+        F.count(F.when(any_null, F.lit(1))).alias("null_keys"),
     ).first()
     n_points, total, max_n, groups = int(row[0]), int(row[1]), int(row[2]), int(row[3])
+    max_abs, null_keys = int(row[4]), int(row[5])
 
     par = parallelism(spark)
     by_work = math.ceil(total / ppt) if total else 1
@@ -110,8 +121,10 @@ def measure(
     per_task = max(1, math.ceil(total / partitions)) if total else ppt
 
     max_pairs_group = max_n * (max_n - 1) // 2
+    # Exact count only without groups; with groups it is 0 (none) or -1 (some,
+    # fewer than `partitions`: each carries more than total/partitions pairs).
     if key_cols:
-        hot_groups = -1  # not counted: fewer than `partitions` rows by construction
+        hot_groups = -1 if max_pairs_group > per_task else 0
         global_buckets = 1
     else:
         hot_groups = 1 if max_pairs_group > per_task else 0
@@ -124,6 +137,8 @@ def measure(
         n_groups=groups,
         total_pairs=total,
         max_group=max_n,
+        max_abs=max_abs,
+        null_key_groups=null_keys,
         partitions=partitions,
         pairs_per_task=per_task,
         hot_groups=hot_groups,

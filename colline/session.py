@@ -28,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("COLLINE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("COLLINE_DRIVER_MEMORY", "16g"))
         .config(CHECKPOINT_CONF, ckpt)
     )
     spark = builder.getOrCreate()
