@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def _normalised(df: DataFrame, col: str, side: int) -> DataFrame:
     return (
-        df.select(F.array_sort(F.array_distinct(F.col(col))).alias("_set"))
+        df.select(F.sort_array(F.array_distinct(F.col(col))).alias("_set"))
         .distinct()
         .select("_set", F.lit(side).alias("_side"))
     )

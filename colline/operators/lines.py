@@ -262,57 +262,44 @@ def anchor_directions(joined: DataFrame, part_cols: list[str], small: bool, min_
     return cand, out_dirs
 
 
+def _pt(x: str, y: str) -> Column:
+    return F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+
+
 def assemble_lines(
     cand: DataFrame, keys: list[str], dir_cols: list[str], max_abs: int, min_points: int = 3
 ) -> DataFrame:
-    """Gather each line's candidates (same group, direction and farthest point)."""
-    vertical = F.coalesce(F.col("_slope") == F.lit(INFINITY), F.lit(False))  # NULL slope: exact key
-    pos = F.when(vertical, F.col("ay")).otherwise(F.col("ax"))
+    """Gather each line's candidates (same group, direction and farthest point).
+
+    ``sort_array`` (generated code) orders the points; ``array_sort`` would run
+    an interpreted comparator per comparison.
+    """
     lines = (
         cand.groupBy(*keys, *dir_cols, "_lx", "_ly")
         .agg(
             (F.max("_cnt") + F.lit(1)).alias("n_points"),
-            F.collect_list(pos).alias("_pos"),
-            F.min_by(F.struct(F.col("_nx").alias("x"), F.col("_ny").alias("y")), F.col("_cnt")).alias("_pen"),
+            F.collect_list(_pt("ax", "ay")).alias("_anchors"),
+            F.min_by(_pt("_nx", "_ny"), F.col("_cnt")).alias("_pen"),
         )
         .where(F.col("n_points") >= F.lit(min_points))
     )
+    points = F.sort_array(F.concat(F.col("_anchors"), F.array(F.col("_pen"), _pt("_lx", "_ly"))))
     lines = lines.select(
         *keys,
         "n_points",
-        "_pos",
+        points.alias("points"),
         "_lx",
         "_ly",
-        vertical.alias("_vert"),
-        F.col("_pen")["x"].alias("_px"),
-        F.col("_pen")["y"].alias("_py"),
         (F.col("_lx") - F.col("_pen")["x"]).alias("_ddx"),
         (F.col("_ly") - F.col("_pen")["y"]).alias("_ddy"),
     )
+    # primitive direction from the last two points (never zero: they differ)
     lines = lines.withColumn("_d", gcd_bounded(F.col("_ddx"), F.abs(F.col("_ddy")), 2 * max_abs))
-    ux, uy = int_div("_ddx", "_d"), int_div("_ddy", "_d")
     lines = lines.select(
-        *keys, "n_points", "_pos", "_lx", "_ly", "_vert", "_px", "_py", ux.alias("ux"), uy.alias("uy")
+        *keys, int_div("_ddx", "_d").alias("ux"), int_div("_ddy", "_d").alias("uy"), "_lx", "_ly", "n_points", "points"
     )
-    vert = F.col("_vert")
-    tail = F.array(
-        F.when(vert, F.col("_py")).otherwise(F.col("_px")), F.when(vert, F.col("_ly")).otherwise(F.col("_lx"))
-    )
-    positions = F.array_sort(F.concat(F.col("_pos"), tail))
-
-    def to_point(t: Column) -> Column:
-        # Lattice points of a line with primitive direction (ux, uy) are
-        # (lx, ly) - k*(ux, uy): x fixes k exactly when ux > 0.
-        y_of_x = F.col("_ly") - F.call_function("div", F.col("_lx") - t, F.col("ux")) * F.col("uy")
-        return F.struct(
-            F.when(vert, F.col("_lx")).otherwise(t).alias("x"),
-            F.when(vert, t).otherwise(y_of_x).alias("y"),
-        )
-
     c = F.col("ux") * F.col("_ly") - F.col("uy") * F.col("_lx")
-    return lines.select(
-        *keys, "ux", "uy", c.alias("c"), "n_points", F.transform(positions, to_point).alias("points")
-    )
+    return lines.select(*keys, "ux", "uy", c.alias("c"), "n_points", "points")
 
 
 def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
