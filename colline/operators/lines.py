@@ -55,6 +55,25 @@ LINE_COLUMNS = ("ux", "uy", "c", "n_points", "points")
 # double slope alone is an exact direction key.
 SMALL_COORD_BOUND = EXACT_DOUBLE_BOUND // 2
 
+# Fixed values of the packed point form used when coordinates are small:
+# p = x * 2**32 + (y + 2**31).  Numeric order of p is (x, y) order, so on a ray
+# from an anchor the nearest / farthest partner are min(p) / max(p).
+PACK_SHIFT = 32
+PACK_OFFSET = 1 << 31
+PACK_MASK = (1 << 32) - 1
+
+
+def pack_point(x: Column, y: Column) -> Column:
+    return x.cast("bigint") * F.lit(1 << PACK_SHIFT) + (y.cast("bigint") + F.lit(PACK_OFFSET))
+
+
+def unpack_x(p: Column) -> Column:
+    return F.shiftright(p, PACK_SHIFT)
+
+
+def unpack_y(p: Column) -> Column:
+    return p.bitwiseAND(F.lit(PACK_MASK)) - F.lit(PACK_OFFSET)
+
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     if cols is None:
@@ -159,14 +178,30 @@ def _pair_join(anchors: DataFrame, partners: DataFrame, eq: list[Column], extra:
     return anchors.join(partners, _and(eq + ([extra] if extra is not None else [])), "inner")
 
 
-def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less):
+def _anchor_cols(packed: bool) -> list[Column]:
+    if packed:
+        return [pack_point(F.col("x"), F.col("y")).alias("_a")]
+    return [F.col("x").alias("ax"), F.col("y").alias("ay")]
+
+
+def _partner_cols(packed: bool) -> list[Column]:
+    if packed:
+        return [pack_point(F.col("x"), F.col("y")).alias("_b")]
+    return [F.col("x").alias("bx"), F.col("y").alias("by_")]
+
+
+def _condition(condition, packed: bool) -> Column | None:
+    if packed:  # packed order is (x, y) order; only the half-pair condition is packed
+        return F.col("_b") > F.col("_a")
+    return condition(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
+
+
+def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
     """Pairs of groups small enough for one task each; partitioned by the group key."""
-    extra = condition(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
+    extra = _condition(condition, packed)
     T = plan.partitions
-    anchors = pts.select(*keys, F.col("x").alias("ax"), F.col("y").alias("ay")).repartition(T, *keys)
-    partners = pts.select(
-        *[F.col(k).alias(k + "_b") for k in keys], F.col("x").alias("bx"), F.col("y").alias("by_")
-    )
+    anchors = pts.select(*keys, *_anchor_cols(packed)).repartition(T, *keys)
+    partners = pts.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed))
     if plan.broadcast:
         partners = F.broadcast(partners)  # size-checked: plan.n_points <= broadcast_max_points
     else:
@@ -175,21 +210,19 @@ def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, conditi
     return _pair_join(anchors, partners, eq, extra), list(keys)
 
 
-def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less):
+def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
     """Pairs where anchors are split into ``_s`` buckets per group (column ``_s`` given)."""
-    extra = condition(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
+    extra = _condition(condition, packed)
     T = plan.partitions
     anchors = tagged.select(
         *keys,
         F.pmod(F.xxhash64("x", "y"), F.col("_s").cast("bigint")).cast("int").alias("_bucket"),
-        F.col("x").alias("ax"),
-        F.col("y").alias("ay"),
+        *_anchor_cols(packed),
     ).repartition(T, *keys, "_bucket")
     partners = tagged.select(
         *[F.col(k).alias(k + "_b") for k in keys],
         F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))).alias("_bucket_b"),
-        F.col("x").alias("bx"),
-        F.col("y").alias("by_"),
+        *_partner_cols(packed),
     ).repartition(T, *[k + "_b" for k in keys], "_bucket_b")
     eq = [F.col(k) == F.col(k + "_b") for k in keys] + [F.col("_bucket") == F.col("_bucket_b")]
     return _pair_join(anchors, partners, eq, extra), list(keys) + ["_bucket"]
@@ -266,6 +299,37 @@ def _pt(x: str, y: str) -> Column:
     return F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
 
 
+def anchor_directions_packed(joined: DataFrame, part_cols: list[str], min_partners: int = 2):
+    """:func:`anchor_directions` on packed points (small coordinates only).
+
+    Key (join partitioning, packed anchor, slope); min / max of the packed
+    partner are the nearest / farthest partner on the ray.
+    """
+    a, b = F.col("_a"), F.col("_b")
+    dx = unpack_x(b) - unpack_x(a)
+    dy = unpack_y(b) - unpack_y(a)
+    slope_key = F.when(dx == 0, F.lit(INFINITY)).otherwise(dy.cast("double") / dx.cast("double") + F.lit(0.0))
+    group = list(dict.fromkeys(part_cols + ["_a"]))
+    agg = (
+        joined.select(*group, "_b", slope_key.alias("_slope"))
+        .groupBy(*group, "_slope")
+        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_b").alias("_nb"), F.max("_b").alias("_lb"))
+        .where(F.col("_cnt") >= F.lit(min_partners))
+    )
+    cand = agg.select(
+        *[c for c in group if c not in ("_bucket", "_a")],
+        unpack_x(a).alias("ax"),
+        unpack_y(a).alias("ay"),
+        "_slope",
+        "_cnt",
+        unpack_x(F.col("_nb")).alias("_nx"),
+        unpack_y(F.col("_nb")).alias("_ny"),
+        unpack_x(F.col("_lb")).alias("_lx"),
+        unpack_y(F.col("_lb")).alias("_ly"),
+    )
+    return cand, ["_slope"]
+
+
 def assemble_lines(
     cand: DataFrame, keys: list[str], dir_cols: list[str], max_abs: int, min_points: int = 3
 ) -> DataFrame:
@@ -305,15 +369,21 @@ def assemble_lines(
 def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
     """Lines of prepared points (internal key columns kept)."""
     small = _small(prep.plan)
+
+    def candidates(joined, part_cols):
+        if small:
+            return anchor_directions_packed(joined, part_cols)
+        return anchor_directions(joined, part_cols, small)
+
     cold, hot = split_hot(prep)
     parts = []
     if cold is not None:
-        joined, part_cols = colocated_pairs(cold, prep.keys, prep.plan)
-        cand, dir_cols = anchor_directions(joined, part_cols, small)
+        joined, part_cols = colocated_pairs(cold, prep.keys, prep.plan, packed=small)
+        cand, dir_cols = candidates(joined, part_cols)
         parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
     if hot is not None:
-        joined, part_cols = salted_pairs(hot, prep.keys, prep.plan)
-        cand, dir_cols = anchor_directions(joined, part_cols, small)
+        joined, part_cols = salted_pairs(hot, prep.keys, prep.plan, packed=small)
+        cand, dir_cols = candidates(joined, part_cols)
         parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
     out = parts[0]
     for p in parts[1:]:
