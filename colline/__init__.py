@@ -1,0 +1,28 @@
+"""colline: maximal collinear point sets as Spark DataFrame plans."""
+
+from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, format_groups
+from colline.operators.compare import same_sets, set_difference_counts
+from colline.operators.lines import collinear_sets, line_params
+from colline.operators.pairs import cartesian, half_pairs, ordered_pairs, with_slope
+from colline.plans.process import build_collinear_set, process
+from colline.sources.text import parse_points, points_from, read_points, write_sets
+
+__all__ = [
+    "anchor_groups",
+    "build_collinear_set",
+    "cartesian",
+    "collinear_sets",
+    "collinear_sets_by_anchor",
+    "format_groups",
+    "half_pairs",
+    "line_params",
+    "ordered_pairs",
+    "parse_points",
+    "points_from",
+    "process",
+    "read_points",
+    "same_sets",
+    "set_difference_counts",
+    "with_slope",
+    "write_sets",
+]

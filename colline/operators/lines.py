@@ -199,13 +199,14 @@ def _condition(condition, packed: bool) -> Column | None:
 def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
     """Pairs of groups small enough for one task each; partitioned by the group key."""
     extra = _condition(condition, packed)
-    T = plan.partitions
-    anchors = pts.select(*keys, *_anchor_cols(packed)).repartition(T, *keys)
-    partners = pts.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed))
+    by_group = pts.repartition(plan.partitions, *keys)
+    anchors = by_group.select(*keys, *_anchor_cols(packed))
     if plan.broadcast:
-        partners = F.broadcast(partners)  # size-checked: plan.n_points <= broadcast_max_points
+        # size-checked: plan.n_points <= broadcast_max_points
+        partners = F.broadcast(pts.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed)))
     else:
-        partners = partners.repartition(T, *[k + "_b" for k in keys])
+        # the same exchange as the anchors (Spark reuses it): one shuffle of points
+        partners = by_group.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed))
     eq = [F.col(k) == F.col(k + "_b") for k in keys]
     return _pair_join(anchors, partners, eq, extra), list(keys)
 

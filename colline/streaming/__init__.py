@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The computation this package rebuilds is batch only: it has no watermark,
+window, trigger or state.  A finite set of points is needed before any line can
+be declared maximal, so there is no streaming operator to provide.
+"""

@@ -47,7 +47,7 @@ def test_read_points_files_and_process(spark, tmp_path):
 
 
 def test_process_permissive_skips_bad_lines(spark, tmp_path):
-    f = tmp_path / "data.txt"
+    f = tmp_path / "points.txt"
     f.write_text("\n".join([f"{x} {y}" for x, y in POINTS9] + ["oops", "1 2 3"]) + "\n")
     with pytest.raises(Exception):
         process(spark, str(f)).collect()
