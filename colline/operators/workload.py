@@ -37,6 +37,10 @@ PAIRS_PER_TASK = 1_000_000
 MIN_PAIRS_PER_TASK = 50_000
 MAX_PARTITIONS = 100_000
 BROADCAST_MAX_POINTS = 1_000_000
+# A split group of n points copies its points once per bucket: n * S rows.  S is
+# kept at or below n / BUCKET_REPLICATION_DIVISOR so the copies stay below 1/8
+# of the n^2 / 2 pair work (a bucket then does a bit more than its pair budget).
+BUCKET_REPLICATION_DIVISOR = 16
 
 CONF_PAIRS_PER_TASK = "colline.pairsPerTask"
 CONF_MIN_PAIRS_PER_TASK = "colline.minPairsPerTask"
@@ -136,7 +140,9 @@ def measure(
     else:
         hot_groups = 1 if max_pairs_group > per_task else 0
         global_buckets = (
-            min(max_n, math.ceil(max_pairs_group / per_task), partitions) if hot_groups else 1
+            max(1, min(math.ceil(max_pairs_group / per_task), max_n // BUCKET_REPLICATION_DIVISOR, partitions))
+            if hot_groups
+            else 1
         )
     broadcast = bool(allow_broadcast and key_cols and n_points <= bmax)
     plan = PairWorkload(
@@ -163,9 +169,12 @@ def hot_group_buckets(sizes: DataFrame, key_cols: list[str], plan: PairWorkload)
     """
     per_task = F.lit(plan.pairs_per_task).cast("bigint")
     pairs = half_pair_count()
-    buckets = F.least(
-        F.col("_n"),
-        F.ceil(pairs.cast("double") / per_task.cast("double")).cast("bigint"),
-        F.lit(plan.partitions).cast("bigint"),
+    buckets = F.greatest(
+        F.lit(1).cast("bigint"),
+        F.least(
+            F.call_function("div", F.col("_n"), F.lit(BUCKET_REPLICATION_DIVISOR).cast("bigint")),
+            F.ceil(pairs.cast("double") / per_task.cast("double")).cast("bigint"),
+            F.lit(plan.partitions).cast("bigint"),
+        ),
     ).cast("int")
     return sizes.where(pairs > per_task).select(*key_cols, buckets.alias("_s"))

@@ -14,6 +14,7 @@ from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, f
 from colline.operators.compare import set_difference_counts
 from colline.operators.lines import collinear_sets, line_params
 from colline.operators.pairs import cartesian, ordered_pairs, with_slope
+from colline.sources.storage import materialize
 from colline.sources.text import parse_points, points_from
 
 
@@ -122,7 +123,9 @@ def q_sets_by_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_same_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The by-anchor multiset and the one-row-per-line result hold the same sets."""
     pts = lineitem_by(spark, sf_dir, "l_partkey")
-    lines = collinear_sets(pts, "l_partkey")
+    # both sides read one computed result (written to the checkpoint folder when
+    # the session names one) instead of running the pair stage twice
+    lines = materialize(collinear_sets(pts, "l_partkey"), "lines")
     left = collinear_sets_by_anchor(pts, "l_partkey", lines=lines)
     # compare (group, set) pairs: fold the group into the set value
     def keyed(df: DataFrame) -> DataFrame:
