@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POINT_DDL = "struct<x:bigint,y:bigint>"
-
 # Fixed value: a direction (dx, dy) whose components are both below this bound
 # is keyed by the double dy/dx.  Two different reduced fractions p/q and r/s with
 # all parts below 2**26 differ relatively by more than 2**-52, so their correctly
@@ -129,13 +127,6 @@ def direction_key(
     return slope_key, ex_ux, ex_uy
 
 
-def reduced_direction(dx: str | Column, dy: str | Column) -> tuple[Column, Column]:
-    """``(dx, dy) / gcd`` for a canonical direction (dx >= 0, dy > 0 if dx = 0)."""
-    dx, dy = _c(dx), _c(dy)
-    g = gcd(dx, F.abs(dy))
-    return int_div(dx, g), int_div(dy, g)
-
-
 def points_text(points: str | Column) -> Column:
     """``ARRAY<STRUCT<x,y>>`` to ``'x y;x y;...'`` in array order (for cross-engine checks)."""
     return F.array_join(

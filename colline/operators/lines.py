@@ -49,8 +49,6 @@ from colline.functions.geometry import (
 from colline.operators.workload import PairWorkload, group_sizes, hot_group_buckets, measure
 from colline.sources.storage import checkpoint_dir, materialize
 
-LINE_COLUMNS = ("ux", "uy", "c", "n_points", "points")
-
 # Coordinates below this bound give differences below EXACT_DOUBLE_BOUND, so the
 # double slope alone is an exact direction key.
 SMALL_COORD_BOUND = EXACT_DOUBLE_BOUND // 2
@@ -100,10 +98,6 @@ class Prepared:
     plan: PairWorkload
     sizes: DataFrame
 
-    @property
-    def has_groups(self) -> bool:
-        return bool(self.keys)
-
 
 def _flat_keys(group_cols: list[str]) -> list[str]:
     return [f"_g{i}" for i in range(len(group_cols))]

@@ -61,9 +61,6 @@ class PairWorkload:
     global_buckets: int
     broadcast: bool
 
-    def as_dict(self) -> dict:
-        return dict(self.__dict__)
-
 
 def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     try:
