@@ -34,7 +34,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import (
@@ -205,32 +205,84 @@ def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, conditi
     return _pair_join(anchors, partners, eq, extra), list(keys)
 
 
+# Candidate labels scanned per bucket slot when looking for labels that hash to
+# distinct partitions (coupon collector: about ln(slots) per slot are needed).
+LABEL_CANDIDATES_PER_SLOT = 24
+
+
+def bucket_labels(spark, slots: int) -> DataFrame:
+    """``(_slot, _label)``: for every slot 0..slots-1 a BIGINT label that
+    ``repartition(slots, label)`` sends to partition ``_slot``.
+
+    Hash partitioning of a handful of small bucket ids collides (several
+    buckets in one task, others idle); labels found with Spark's own ``hash``
+    give every bucket its own task.  This only affects balance: a slot without
+    a label found falls back to a colliding label, never to a wrong result.
+    """
+    found = (
+        spark.range(0, slots * LABEL_CANDIDATES_PER_SLOT)
+        .select(F.pmod(F.hash("id"), F.lit(slots)).alias("_slot"), "id")
+        .groupBy("_slot")
+        .agg(F.min("id").alias("_label"))
+    )
+    fallback = F.col("_slot").cast("bigint") + F.lit(slots * LABEL_CANDIDATES_PER_SLOT)
+    return (
+        spark.range(0, slots)
+        .select(F.col("id").cast("int").alias("_slot"))
+        .join(found, "_slot", "left")
+        .select("_slot", F.coalesce(F.col("_label"), fallback).alias("_label"))
+    )
+
+
 def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
-    """Pairs where anchors are split into ``_s`` buckets per group (column ``_s`` given)."""
+    """Pairs where each group's anchors are split into ``_s`` buckets.
+
+    ``tagged`` carries ``_s`` (buckets of the group) and ``_off`` (first global
+    slot of the group); bucket slots are numbered globally so that one label
+    column identifies (group, bucket).  Anchors go to one bucket by a hash of
+    the point; every bucket gets a copy of all of its group's points.  The join
+    key is the label alone, co-partitioned on both sides.
+    """
     extra = _condition(condition, packed)
-    T = plan.partitions
-    anchors = tagged.select(
-        *keys,
-        F.pmod(F.xxhash64("x", "y"), F.col("_s").cast("bigint")).cast("int").alias("_bucket"),
-        *_anchor_cols(packed),
-    ).repartition(T, *keys, "_bucket")
-    partners = tagged.select(
-        *[F.col(k).alias(k + "_b") for k in keys],
-        F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))).alias("_bucket_b"),
-        *_partner_cols(packed),
-    ).repartition(T, *[k + "_b" for k in keys], "_bucket_b")
-    eq = [F.col(k) == F.col(k + "_b") for k in keys] + [F.col("_bucket") == F.col("_bucket_b")]
+    slots = plan.salt_slots
+    labels = F.broadcast(bucket_labels(tagged.sparkSession, slots))  # `slots` rows, <= 2 * partitions
+    slot = (F.col("_off") + F.pmod(F.xxhash64("x", "y"), F.col("_s").cast("bigint"))).cast("int")
+    # a slot without a label (none expected) still gets a unique one: balance, not results, would suffer
+    label = F.coalesce(F.col("_label"), F.col("_slot").cast("bigint") + F.lit(slots * LABEL_CANDIDATES_PER_SLOT))
+    anchors = (
+        tagged.select(*keys, slot.alias("_slot"), *_anchor_cols(packed))
+        .join(labels, "_slot", "left")
+        .select(*keys, label.alias("_bucket"), *_names(packed, True))
+        .repartition(slots, "_bucket")
+    )
+    part_slots = F.explode(F.sequence(F.col("_off"), F.col("_off") + F.col("_s") - F.lit(1))).alias("_slot")
+    partners = (
+        tagged.select(part_slots, *_partner_cols(packed))
+        .join(labels, "_slot", "left")
+        .select(label.alias("_bucket_b"), *_names(packed, False))
+        .repartition(slots, "_bucket_b")
+    )
+    eq = [F.col("_bucket") == F.col("_bucket_b")]
     return _pair_join(anchors, partners, eq, extra), list(keys) + ["_bucket"]
 
 
+def _names(packed: bool, anchor: bool) -> tuple[str, ...]:
+    if packed:
+        return ("_a",) if anchor else ("_b",)
+    return ("ax", "ay") if anchor else ("bx", "by_")
+
+
 def split_hot(prep: Prepared) -> tuple[DataFrame | None, DataFrame | None]:
-    """(co-located points, salted points with ``_s``); either may be None."""
+    """(co-located points, salted points with ``_s`` and ``_off``); either may be None."""
     plan, keys = prep.plan, prep.keys
     if not keys:
-        return None, prep.pts.withColumn("_s", F.lit(plan.global_buckets))
+        return None, prep.pts.withColumn("_s", F.lit(plan.global_buckets)).withColumn("_off", F.lit(0))
     if plan.hot_groups == 0:
         return prep.pts, None
-    hot = F.broadcast(hot_group_buckets(prep.sizes, keys, plan))  # < plan.partitions rows
+    hot = hot_group_buckets(prep.sizes, keys, plan)  # < plan.partitions rows
+    # first global slot of each hot group: a running sum over that small table
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    hot = F.broadcast(hot.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0)).cast("int")))
     cold = prep.pts.join(hot.select(*keys), on=keys, how="left_anti")
     return cold, prep.pts.join(hot, on=keys, how="inner")
 

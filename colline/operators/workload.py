@@ -61,6 +61,11 @@ class PairWorkload:
     global_buckets: int
     broadcast: bool
 
+    # Partitions of the split layout, one per (hot group, bucket): without groups
+    # the buckets of the one group; with groups at most total/pairs_per_task +
+    # groups < 2 * partitions.
+    salt_slots: int
+
 
 def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     try:
@@ -154,6 +159,7 @@ def measure(
         hot_groups=hot_groups,
         global_buckets=max(1, global_buckets),
         broadcast=broadcast,
+        salt_slots=max(1, global_buckets) if not key_cols else 2 * partitions,
     )
     return plan, sizes
 

@@ -57,6 +57,7 @@ def lines_sql(source: str, x: str, y: str, group: str | None = None, group_name:
 
 
 SUPPLIER = ("supplier", "s_nationkey", "round(s_acctbal)")
+CUSTOMER = ("customer", "c_nationkey", "round(c_acctbal)")
 GRID = ("lineitem", "l_linenumber", "l_quantity")
 
 _SLOPE_UXUY = "CASE WHEN ux = 0 THEN CAST('Infinity' AS DOUBLE) ELSE CAST(uy AS DOUBLE) / CAST(ux AS DOUBLE) + 0.0 END"
@@ -169,6 +170,7 @@ ORACLE_SQL = {
     "format_groups": _anchor_rows_sql(anchor_last=True),
     "sets_by_anchor": sets_by_anchor_sql(),
     "lines_supplier": lines_sql(*SUPPLIER),
+    "lines_customer": lines_sql(*CUSTOMER),
     "lines_lineitem_grid": lines_sql(*GRID),
     "lines_per_part": lines_sql("lineitem", "l_linenumber", "l_quantity", "l_partkey"),
     "lines_per_supplier": lines_sql("lineitem", "l_linenumber", "l_quantity", "l_suppkey"),

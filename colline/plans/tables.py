@@ -31,6 +31,12 @@ def supplier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_from(s.select("s_nationkey", F.round("s_acctbal").alias("bal")), "s_nationkey", "bal")
 
 
+def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(nation, account balance rounded to a whole unit) of every customer."""
+    c = table(spark, sf_dir, "customer")
+    return points_from(c.select("c_nationkey", F.round("c_acctbal").alias("bal")), "c_nationkey", "bal")
+
+
 def lineitem_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line number, quantity) of every line item."""
     return points_from(table(spark, sf_dir, "lineitem"), "l_linenumber", "l_quantity")
@@ -92,6 +98,11 @@ def q_lines_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(collinear_sets(supplier_points(spark, sf_dir)))
 
 
+def q_lines_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One large group (every customer): exercises the bucket-split layout."""
+    return _flat(collinear_sets(customer_points(spark, sf_dir)))
+
+
 def q_lines_lineitem_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(collinear_sets(lineitem_grid(spark, sf_dir)))
 
@@ -147,6 +158,7 @@ QUERIES = {
     "format_groups": q_format_groups,
     "sets_by_anchor": q_sets_by_anchor,
     "lines_supplier": q_lines_supplier,
+    "lines_customer": q_lines_customer,
     "lines_lineitem_grid": q_lines_lineitem_grid,
     "lines_per_part": q_lines_per_part,
     "lines_per_supplier": q_lines_per_supplier,
