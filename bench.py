@@ -29,6 +29,7 @@ from colline.session import local_session  # noqa: E402
 HEADLINE = [
     "lines_supplier",
     "lines_lineitem_grid",
+    "lines_customer",
     "lines_per_part",
     "lines_per_supplier",
     "anchor_groups",

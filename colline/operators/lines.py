@@ -245,23 +245,19 @@ def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, conditi
     """
     extra = _condition(condition, packed)
     slots = plan.salt_slots
-    labels = F.broadcast(bucket_labels(tagged.sparkSession, slots))  # `slots` rows, <= 2 * partitions
     slot = (F.col("_off") + F.pmod(F.xxhash64("x", "y"), F.col("_s").cast("bigint"))).cast("int")
-    # a slot without a label (none expected) still gets a unique one: balance, not results, would suffer
-    label = F.coalesce(F.col("_label"), F.col("_slot").cast("bigint") + F.lit(slots * LABEL_CANDIDATES_PER_SLOT))
-    anchors = (
-        tagged.select(*keys, slot.alias("_slot"), *_anchor_cols(packed))
-        .join(labels, "_slot", "left")
-        .select(*keys, label.alias("_bucket"), *_names(packed, True))
-        .repartition(slots, "_bucket")
-    )
     part_slots = F.explode(F.sequence(F.col("_off"), F.col("_off") + F.col("_s") - F.lit(1))).alias("_slot")
-    partners = (
-        tagged.select(part_slots, *_partner_cols(packed))
-        .join(labels, "_slot", "left")
-        .select(label.alias("_bucket_b"), *_names(packed, False))
-        .repartition(slots, "_bucket_b")
-    )
+    anchors = tagged.select(*keys, slot.alias("_slot"), *_anchor_cols(packed))
+    partners = tagged.select(part_slots, *_partner_cols(packed))
+    if slots > 1:
+        labels = F.broadcast(bucket_labels(tagged.sparkSession, slots))  # `slots` rows, < 2 * partitions
+        anchors, partners = anchors.join(labels, "_slot", "left"), partners.join(labels, "_slot", "left")
+        # a slot without a label (none expected) still gets a unique one: balance, not results, would suffer
+        label = F.coalesce(F.col("_label"), F.col("_slot").cast("bigint") + F.lit(slots * LABEL_CANDIDATES_PER_SLOT))
+    else:
+        label = F.col("_slot").cast("bigint")
+    anchors = anchors.select(*keys, label.alias("_bucket"), *_names(packed, True)).repartition(slots, "_bucket")
+    partners = partners.select(label.alias("_bucket_b"), *_names(packed, False)).repartition(slots, "_bucket_b")
     eq = [F.col("_bucket") == F.col("_bucket_b")]
     return _pair_join(anchors, partners, eq, extra), list(keys) + ["_bucket"]
 
