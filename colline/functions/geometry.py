@@ -149,24 +149,27 @@ def euclid_steps(bound: int) -> int:
 def gcd_bounded(a: str | Column, b: str | Column, bound: int) -> Column:
     """gcd of two non-negative BIGINT columns known to be at most ``bound``.
 
-    Trivial cases (a zero, a one, equal values) are answered directly; only the
-    rest run Euclid's fold, with a fixed step count from :func:`euclid_steps`.
+    Trivial cases (a zero, a one, one value dividing the other) are answered
+    directly; the rest run Euclid's fold for Lame's number of steps of the
+    smaller value (never more than :func:`euclid_steps` of ``bound``).
     (An unrolled fold as stacked projections would be faster, but any filter a
     caller puts on top gets pushed down through them with every alias inlined,
     which grows exponentially; a single expression keeps plans small.)
     """
     a, b = _c(a).cast("bigint"), _c(b).cast("bigint")
-    init = F.struct(a.alias("a"), b.alias("b"))
+    hi, lo = F.greatest(a, b), F.least(a, b)
+    init = F.struct(hi.alias("a"), lo.alias("b"))
 
     def step(z: Column, _i: Column) -> Column:
         return F.when(z["b"] == 0, z).otherwise(F.struct(z["b"].alias("a"), (z["a"] % z["b"]).alias("b")))
 
-    fold = F.aggregate(F.sequence(F.lit(1), F.lit(euclid_steps(bound))), init, step, lambda z: z["a"])
-    one = F.lit(1).cast("bigint")
+    # Lame's bound on the smaller argument (the fold starts ordered, no swap step)
+    per_row = (F.ceil(F.log2(lo.cast("double") + F.lit(1.0)) * F.lit(1.45)) + F.lit(2)).cast("int")
+    steps = F.least(F.lit(euclid_steps(bound)), per_row)
+    fold = F.aggregate(F.sequence(F.lit(1), steps), init, step, lambda z: z["a"])
     return (
-        F.when(b == 0, a)
-        .when(a == 0, b)
-        .when((a == 1) | (b == 1), one)
-        .when(a == b, a)
+        F.when(lo == 0, hi)
+        .when(lo == 1, F.lit(1).cast("bigint"))
+        .when(hi % lo == 0, lo)
         .otherwise(fold)
     )

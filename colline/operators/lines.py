@@ -427,6 +427,9 @@ def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
     if hot is not None:
         joined, part_cols = salted_pairs(hot, prep.keys, prep.plan, packed=small)
         cand, dir_cols = candidates(joined, part_cols)
+        # a line's candidates come from several buckets: shuffle them by line
+        # directly (a map-side partial aggregate would rarely combine anything)
+        cand = cand.repartition(*prep.keys, *dir_cols, "_lx", "_ly")
         parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
     out = parts[0]
     for p in parts[1:]:

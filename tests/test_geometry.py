@@ -79,3 +79,18 @@ def test_direction_key_small_and_reduced_agree(spark):
 def test_points_text(spark):
     df = spark.createDataFrame([([(1, -2), (3, 4)],)], "p array<struct<x:bigint,y:bigint>>")
     assert df.select(points_text("p")).first()[0] == "1 -2;3 4"
+
+
+def test_gcd_bounded_worst_cases_and_random(spark):
+    import random
+
+    fib = [1, 2]
+    while fib[-1] < 2**61:
+        fib.append(fib[-1] + fib[-2])
+    rnd = random.Random(3)
+    vals = [(fib[i + 1], fib[i]) for i in range(len(fib) - 1)] + [(fib[i], fib[i + 1]) for i in range(len(fib) - 1)]
+    vals += [(rnd.randrange(0, 10**6), rnd.randrange(0, 10**6)) for _ in range(300)]
+    vals += [(k * 6, k * 10) for k in range(1, 50)]
+    df = spark.createDataFrame(vals, "a long, b long")
+    got = [r[0] for r in df.select(gcd_bounded(F.col("a"), F.col("b"), 2**62)).collect()]
+    assert got == [math.gcd(a, b) for a, b in vals]
