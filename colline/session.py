@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     The checkpoint folder is set only when the environment names none
     (``COLLINE_CHECKPOINT_DIR``); a fresh temporary folder is fine here because
     a local session is one machine.  The web UI stays off.
+    ``COLLINE_EVENT_LOG_DIR`` writes Spark's event log there (a scratch folder).
     ``COLLINE_OFFHEAP`` (e.g. ``8g``) moves Tungsten memory off the JVM heap;
     off by default (no clear gain measured on a noisy host).
     """
@@ -33,6 +34,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("COLLINE_DRIVER_MEMORY", "16g"))
         .config(CHECKPOINT_CONF, ckpt)
     )
+    event_dir = os.environ.get("COLLINE_EVENT_LOG_DIR")
+    if event_dir:
+        # stage and task times for scripts/stage_times.py (the UI stays off)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     offheap = os.environ.get("COLLINE_OFFHEAP")
     if offheap:
         # Tungsten pages (hash maps, sort buffers) outside the JVM heap: no GC
