@@ -81,3 +81,14 @@ def test_write_sets(spark, tmp_path):
     write_sets(lines, str(tmp_path / "csv"), fmt="csv")
     txt = {r[0] for r in spark.read.csv(str(tmp_path / "csv")).select(F.col("_c4")).collect()}
     assert "0 1;3 4;5 6" in txt
+
+
+def test_read_points_gzip_and_glob(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "p1.txt.gz", "wt") as fh:
+        fh.write("\n".join(f"{x} {y}" for x, y in POINTS9) + "\n")
+    (tmp_path / "p2.txt").write_text("7 7\n")
+    pts = read_points(spark, str(tmp_path / "p*"))
+    assert pts.count() == 10
+    assert as_sets(process(spark, str(tmp_path / "p1.txt.gz"))) == GOLDEN9
