@@ -2,33 +2,58 @@
 
 A materialised table lives under the folder the session names in
 ``spark.checkpoint.dir`` (the cluster's shared, fault-tolerant storage).  When
-that setting is absent nothing is written and plans stay lazy; only local test
-sessions set their own folder (see :func:`colline.session.local_session`).
+that setting is absent, :func:`materialize` writes nothing and plans stay lazy,
+while :func:`materialize_always` falls back to a fresh temporary folder on a
+``local`` master (one machine) and refuses to run on a cluster.
+
+Tables written here are remembered per session; :func:`release` deletes them
+once their results have been consumed.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Paths written by this process, by Spark application id.
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The session's ``spark.checkpoint.dir``, or None when it is unset."""
-    try:
-        value = spark.conf.get(CHECKPOINT_CONF, None)
-    except Exception:  # pragma: no cover
-        value = None
+    value = spark.conf.get(CHECKPOINT_CONF, None)
     if not value:
-        try:
-            value = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
-        except Exception:  # pragma: no cover
-            value = None
+        value = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     return value or None
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """:func:`checkpoint_dir`, or a temporary folder set for a local session without one."""
+    base = checkpoint_dir(spark)
+    if base is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="colline-shared-")
+        spark.conf.set(CHECKPOINT_CONF, base)
+    return base
+
+
+def _write(df: DataFrame, base: str, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{base.rstrip('/')}/colline-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    writer = df.write.mode("error")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
@@ -37,10 +62,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     share one computation.  Without a checkpoint folder ``df`` is returned
     unchanged.
     """
-    spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    if base is None:
-        return df
-    path = f"{base.rstrip('/')}/colline-{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    base = checkpoint_dir(df.sparkSession)
+    return df if base is None else _write(df, base, name)
+
+
+def materialize_always(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialize`, for operators that need the table written (see :func:`shared_dir`)."""
+    return _write(df, shared_dir(df.sparkSession), name)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table this session's operators have materialised; returns how many.
+
+    Call it after the results that read them have been written or collected.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
