@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,7 @@ def token_counts(
     processor = load_processor(model)
     lengths = np.array([segment_length(processor, s) for s in words], dtype=np.uint16).tobytes()
     frequent = sc.broadcast((words, lengths))
+    name = sha256(model + "\n".join(words).encode("utf-8")).hexdigest()  # of what the workers keep
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def make():
@@ -98,7 +100,7 @@ def token_counts(
             first = dict(zip(keys, np.frombuffer(counts, dtype=np.uint16).tolist()))
             return Segmenter(sp), Remembered(lambda s: segment_length(sp, s), first)
 
-        segments, known = _once(f"lengths-{frequent.id}", make)
+        segments, known = _once(name, make)
         length = known.__getitem__
         for batch in batches:
             texts = batch.column(1).to_pylist()
