@@ -45,17 +45,21 @@ def _weights(vectors: list[list[float] | None]) -> tuple[list[int], np.ndarray]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges of consecutive rows of a sorted partition, one output row each."""
-    part, count = TaskContext.get().partitionId(), 0
+    part, count, last = TaskContext.get().partitionId(), 0, -(2**63)
     ids: list[int] = []
     vectors: list = []
 
     def emit(n: int) -> pa.RecordBatch | None:
         nonlocal count
+        nonlocal last
         good, w = _weights(vectors[:n])
         kept = np.array([ids[i] for i in good], dtype=np.int64)
+        new = np.flatnonzero(np.diff(kept, prepend=last) != 0)  # the first usable row of each id
+        kept, w = kept[new], w[new]
         del ids[:n], vectors[:n]
         if not len(kept):
             return None
+        last = int(kept[-1])
         starts = range(0, len(kept), BLOCK)
         high = np.array([w[s : s + BLOCK].max(axis=0) for s in starts], dtype=np.int32)
         low = np.array([w[s : s + BLOCK].min(axis=0) for s in starts], dtype=np.int32)
@@ -77,13 +81,14 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     """``range, width, ids, weights, high, low``: the block index of all usable vectors.
 
     Rows with a null id take no part, nor do vectors that are null or hold a
-    null or non-finite component.  Components beyond |64 x| < 2**31 raise.
+    null or non-finite component.  Of several rows with one id the first usable
+    one in the order of vectors takes part.  Components beyond |64 x| < 2**31 raise.
     """
     rows = vectors.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v")
     )
     parts = max(1, -(-rows.count() // (4 * RANGE)))
-    rows = rows.repartitionByRange(parts, "id").sortWithinPartitions("id")
+    rows = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "v")
     return save(rows.mapInArrow(_pack, "range long, width long, ids binary, weights binary, high binary, low binary"), "topk-index")
 
 
@@ -171,9 +176,9 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     the ``k`` other vectors with the highest inner product of floor(64 x), ties to the smaller id.
 
     All candidates if there are fewer than ``k``.  A query does not meet
-    vectors with its own id.  Repeated rows are separate candidates (and
-    separate queries give the same rows once).  Vectors of different length
-    count as 0 where one has no component.  An empty table, or one without a
+    vectors with its own id; of repeated ids one row takes part (see
+    :func:`build_index`).  Vectors of different length count as 0 where one has
+    no component.  An empty table, or one without a
     query, gives an empty result.
     """
     index = build_index(vectors, id_col, vector_col)

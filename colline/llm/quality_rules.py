@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import operator
 import time
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -32,9 +33,9 @@ SAMPLED_PER_PARTITION = 12
 
 @cache
 def _kinds() -> np.ndarray:
-    """For every code point: 1 if a letter, + 2 if a capital, + 4 if a small letter."""
-    chars = map(chr, range(0x110000))
-    return np.array([c.isalpha() + 2 * c.isupper() + 4 * c.islower() for c in chars], dtype=np.uint8)
+    """For every code point: 1 if a letter (category L), + 2 if a capital (Lu), + 4 if a small letter (Ll)."""
+    kinds = map(unicodedata.category, map(chr, range(0x110000)))
+    return np.array([(k[0] == "L") + 2 * (k == "Lu") + 4 * (k == "Ll") for k in kinds], dtype=np.uint8)
 
 
 class Text:
@@ -95,7 +96,7 @@ class Rule:
 
 
 def _mean_length(t: Text) -> bool:
-    return bool(t.words) and not 2.0 <= t.word_chars / len(t.words) <= 15.0
+    return bool(t.words) and not 2 * len(t.words) <= t.word_chars <= 15 * len(t.words)
 
 
 def _symbols(t: Text) -> bool:

@@ -4,8 +4,8 @@ Rules fit a host and its subdomains with a path prefix; the longest one that
 fits decides.  The pages that rules decide are the labelled ones of the tree.
 
 Tree.  Level by level, under every host and template so far, the next segment
-becomes a wildcard (with its file ending, if any) if the segments there are
-many and mostly different; otherwise they stay as they are.  Branches under
+becomes a wildcard (with its file ending, if any) if it has the form of an id,
+or if the segments there are many and mostly different; otherwise it stays.  Branches under
 one node whose share of blocked labels does not differ significantly from the
 share of all labelled branches there are merged into one class.  A class is
 rejected if its smoothed purity, (blocked + a / 2) / (labelled + a), reaches a
@@ -32,6 +32,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MANY = 8  # a node is variable with at least so many different segments ...
 DIFFERENT = 0.5  # ... and so many for each of its urls
 Z = 1.96  # of the test that tells branches apart
+ID_FORM = r"^(?:[0-9]+|[0-9a-fA-F-]{16,})(?:\.[A-Za-z0-9]{1,5})?$"
 SMOOTHING = 4.0
 PURITY = 0.8
 DEPTH = 12  # levels of the tree; what is deeper counts as one more segment
@@ -73,12 +74,12 @@ def path_templates(urls: DataFrame) -> DataFrame:
     depth = now.agg(F.max(F.size("_segments"))).first()[0] or 0
     for level in range(depth):
         here = now.where(F.size("_segments") > level)
-        children = here.groupBy("host", "template", F.col("_segments")[level].alias("segment")).agg(F.sum("n").alias("n"))
+        children = here.groupBy("host", "template", F.get("_segments", F.lit(level)).alias("segment")).agg(F.sum("n").alias("n"))
         nodes = children.groupBy("host", "template").agg(
             ((F.count(F.lit(1)) >= MANY) & (F.count(F.lit(1)) >= F.sum("n") * DIFFERENT)).alias("variable")
         )
-        segment = F.element_at("_segments", level + 1) if level == 0 else F.get("_segments", F.lit(level))
-        general = F.when(F.col("variable"), F.concat(F.lit("*"), F.regexp_extract(segment, r"\.[A-Za-z0-9]{1,5}$", 0))).otherwise(segment)
+        segment = F.get("_segments", F.lit(level))
+        general = F.when(F.col("variable") | segment.rlike(ID_FORM), F.concat(F.lit("*"), F.regexp_extract(segment, r"\.[A-Za-z0-9]{1,5}$", 0))).otherwise(segment)
         deeper = F.size("_segments") > level
         nodes = nodes.withColumnRenamed("host", "_h").withColumnRenamed("template", "_t")
         now = now.join(nodes, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")), "left")
