@@ -1,22 +1,28 @@
 """MinHash near-dedup (operator 10) by a multi-index Hamming join.
 
 1. One pass over the texts gives each document its set of word shingles, an
-   exact fingerprint of the set, and a signature of 30 minhash values cut to
+   exact fingerprint of the set, and a signature of 66 minhash values cut to
    16 bits.  Documents with one fingerprint form a class; only classes go on,
    so a group of copies of any size is one row.
-2. Two signatures that differ in at most 14 of 30 places differ in at most two
-   places of one of five chunks of six (pigeonhole).  The allowed errors are
-   enumerated: a class gets a key for every chunk and every four places of it,
-   75 keys, and two such classes share a key.  For a pair at a similarity of
-   exactly 0.8, all five chunks have three errors or more with a chance of 1e-5.
-3. In every key the smallest class is linked to the others (no pairs within a
-   group).  Pairs that pass the bounds on set size and signature distance are
+2. Signatures are split into eleven chunks of six places.  Two that differ in
+   at most 21 places differ in at most one place of some chunk (pigeonhole).
+   The allowed errors are enumerated: a class gets a key for every chunk
+   without each one of its places, 66 keys, and two such classes share a key.
+   Beyond 21 places a pair is found by most chunks that it has left: at a
+   similarity of exactly 0.8 all eleven fail with a chance of 8e-6.
+3. In every key one class is linked to the others (no pairs within a group).
+   It is the smallest after turning the fingerprints by a number of bytes that
+   the key tells, so a family that shares many keys gets many centres.  Pairs that pass the bounds on set size and signature distance are
    confirmed on their full sets.
 4. What this leaves open are pairs of classes that share a key with a third
-   class but are in different components so far.  For every such key only the
-   members outside its largest component are paired with the members of other
-   components, and confirmed in the same way.  So every pair that shares a key
-   is in one component, or was tested itself.
+   class but are in different components so far.  In a key of up to 24 classes
+   only the members outside its largest component are paired with the members
+   of other components.  Keys of more classes stem from passages that many
+   texts share; their classes are paired by the rarest fifth of their shingles
+   instead (two sets of similarity 0.8 share one of these, and its place bounds
+   their overlap), again only across components.  These pairs are confirmed in
+   the same way.  So every pair that shares a key is in one component, or was
+   tested, or shares no rare shingle and so is below 0.8.
 
 Tables between the steps are written to the shared folder.
 """
@@ -35,11 +41,12 @@ from pyspark.sql import functions as F
 from colline.llm.common import save, small_side
 from colline.llm.components import components
 
-PLACES, CHUNKS, ERRORS = 30, 5, 2
+PLACES, CHUNKS, ERRORS = 66, 11, 1
 CHUNK = PLACES // CHUNKS
 # Pairs whose signatures differ in more places are not confirmed: at a
-# similarity of 0.8 that happens with a chance of 1e-8.
-MOST_DIFFERENT = 20
+# similarity of 0.8 that happens with a chance of 1e-6.
+MOST_DIFFERENT = 30
+SMALL_KEY = 24  # classes in a key that are paired directly
 WORDS_REMEMBERED = 300_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -82,7 +89,7 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The low 16 bits of 30 minhash values."""
+    """16 bits of each minhash value."""
     low = np.full(PLACES, np.uint64(2**64 - 1))
     for at in range(0, len(shingles), 4096):
         part = shingles[at : at + 4096]
@@ -141,6 +148,51 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select(F.explode(choices).alias("c"), "set_id", "sig").select(key.alias("key"), "set_id")
 
 
+def _turned(set_id: Column, by: Column) -> Column:
+    """A fingerprint of 16 bytes with the first ``by`` bytes moved to the end."""
+    return F.concat(F.substr(set_id, (by + 1).cast("int"), F.lit(16)), F.substr(set_id, F.lit(1), by.cast("int")))
+
+
+def _full_sets(ends: DataFrame, classes: DataFrame, docs: DataFrame, width: int, name: str) -> DataFrame:
+    """``set_id, shingles`` of some classes, from the texts of their representatives."""
+    wanted = ends.join(classes, "set_id").select("set_id", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"))
+    wanted = save(wanted, f"dedup-{name}-wanted")
+    texts = docs.join(
+        small_side(wanted.select("_id", "_th")), F.col("_doc").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_th")), "left_semi"
+    )
+    sets = texts.select("_text").mapInArrow(_sets(width), "set_id binary, shingles array<bigint>")
+    return save(sets.groupBy("set_id").agg(F.first("shingles").alias("shingles")), f"dedup-{name}-sets")
+
+
+def _across(members: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
+    """``u, v`` from rows ``key, set_id, component, pos, n``: pairs of one key in different
+    components.  The members of a key's largest component are not paired with each other."""
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    largest = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("m", "component")).alias("largest"))
+    torn = save(members.join(largest.where("parts > 1").select("key", "largest"), "key"), f"dedup-{name}-torn")
+    few = torn.where(F.col("component") != F.col("largest")).select(
+        "key", F.col("set_id").alias("x"), F.col("component").alias("cx"), F.col("pos").alias("px"), F.col("n").alias("nx")
+    )
+    everyone = torn.select("key", F.col("set_id").alias("y"), F.col("component").alias("cy"), F.col("pos").alias("py"), F.col("n").alias("ny"))
+    apart = F.col("cx") != F.col("cy")
+    pairs = few.join(everyone, ["key"]).where(apart if condition is None else apart & condition)
+    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+
+
+def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, set_id, pos, n``: the rarest shingles of each set, as many as a similar set must share one of.
+
+    Rare is what few of these sets have; ``pos`` is the place in the order from rare to frequent.
+    """
+    tokens = sets.select("set_id", F.explode("shingles").alias("key"))
+    often = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("sets"))
+    ordered = tokens.join(often, "key").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("x"))
+    ordered = ordered.withColumn("n", F.size("x").cast("bigint"))
+    length = (F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1).cast("int")
+    rare = ordered.select("set_id", "n", F.posexplode(F.slice("x", F.lit(1), length)).alias("pos", "t"))
+    return rare.where("t.sets > 1").select(F.col("t.key").alias("key"), "set_id", (F.col("pos") + 1).alias("pos"), "n")
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """``u, v`` of the pairs whose full sets are similar enough."""
     side = classes.select("set_id", "n_shingles", "sig")
@@ -157,12 +209,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int
         f"dedup-{name}-near",
     )
     ends = near.select(F.col("u").alias("set_id")).unionAll(near.select(F.col("v").alias("set_id"))).distinct()
-    wanted = save(ends.join(classes, "set_id").select("set_id", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th")), f"dedup-{name}-wanted")
-    texts = docs.join(
-        small_side(wanted.select("_id", "_th")), F.col("_doc").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_th")), "left_semi"
-    )
-    sets = texts.select("_text").mapInArrow(_sets(width), "set_id binary, shingles array<bigint>")
-    sets = save(sets.groupBy("set_id").agg(F.first("shingles").alias("shingles")), f"dedup-{name}-sets")
+    sets = _full_sets(ends, classes, docs, width, name)
     su = sets.select(F.col("set_id").alias("u"), F.col("shingles").alias("xu"))
     sv = sets.select(F.col("set_id").alias("v"), F.col("shingles").alias("xv"))
     common = F.size(F.array_intersect("xu", "xv"))
@@ -188,25 +235,27 @@ def similar_classes(
         "dedup-classes",
     )
     keys = _keys(classes)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("set_id").alias("first")).where("members > 1")
+    turned = _turned(F.col("set_id"), F.pmod("key", F.lit(16)))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(turned).alias("first")).where("members > 1")
+    shared = shared.withColumn("first", _turned(F.col("first"), F.lit(16) - F.pmod("key", F.lit(16))))
     met = save(keys.join(shared, "key"), "dedup-met")
     star = met.where(F.col("set_id") != F.col("first")).select(F.col("first").alias("u"), F.col("set_id").alias("v")).distinct()
     links = save(_confirmed(star, classes, rows, width, percent, "star"), "dedup-star-links")
     first = save(components(links, "dedup-first"), "dedup-first")
 
-    # keys of three or more classes whose members, but for the smallest, are in different components
+    # pairs within keys of three or more classes that the stars have not joined
     names = first.select(F.col("node").alias("set_id"), "component")
-    own = met.where((F.col("members") > 2) & (F.col("set_id") != F.col("first"))).select("key", "set_id")
-    own = own.join(names, "set_id", "left").select("key", "set_id", F.coalesce("component", "set_id").alias("component"))
-    sizes = own.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
-    torn = save(own.join(largest.where("parts > 1").select("key", "largest"), "key"), "dedup-torn")
-    few = torn.where(F.col("component") != F.col("largest")).select(
-        "key", F.col("set_id").alias("x"), F.col("component").alias("cx")
+    own = lambda rows: rows.join(names, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    none = F.lit(0).cast("bigint")
+    small = met.where((F.col("members") > 2) & (F.col("members") <= SMALL_KEY) & (F.col("set_id") != F.col("first")))
+    small = own(small.select("key", "set_id", none.alias("pos"), none.alias("n")))
+    large = met.where(F.col("members") > SMALL_KEY).select("set_id").distinct()
+    rare = _rare_shingles(_full_sets(large, classes, rows, width, "large"), percent)
+    overlap = F.lit(1) + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    possible = (overlap * (100 + percent) >= (F.col("nx") + F.col("ny")) * percent) & (
+        F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent
     )
-    everyone = torn.select("key", F.col("set_id").alias("y"), F.col("component").alias("cy"))
-    crossing = few.join(everyone, "key").where(F.col("cx") != F.col("cy"))
-    crossing = crossing.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    crossing = _across(small, "small").unionAll(_across(own(rare), "rare", possible)).distinct()
     more = save(_confirmed(crossing, classes, rows, width, percent, "cross"), "dedup-cross-links")
     if more.isEmpty():
         return sketched, first
