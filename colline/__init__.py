@@ -1,6 +1,6 @@
 """colline: maximal collinear point sets as Spark DataFrame plans."""
 
-from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, format_groups
+from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, format_groups, group_pairs
 from colline.operators.compare import same_sets, set_difference_counts
 from colline.operators.lines import collinear_sets, line_params
 from colline.operators.pairs import cartesian, half_pairs, ordered_pairs, with_slope
@@ -14,6 +14,7 @@ __all__ = [
     "collinear_sets",
     "collinear_sets_by_anchor",
     "format_groups",
+    "group_pairs",
     "half_pairs",
     "line_params",
     "ordered_pairs",

@@ -25,11 +25,6 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def point(x: str | Column, y: str | Column) -> Column:
-    """``STRUCT<x BIGINT, y BIGINT>``; structs compare x first, then y."""
-    return F.struct(_c(x).cast("bigint").alias("x"), _c(y).cast("bigint").alias("y"))
-
-
 def lex_less(ax: Column, ay: Column, bx: Column, by_: Column) -> Column:
     """(ax, ay) < (bx, by) in (x, y) order: the half-pair predicate."""
     return (ax < bx) | ((ax == bx) & (ay < by_))

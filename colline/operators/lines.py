@@ -24,9 +24,10 @@ Two layouts for steps 3-4:
   hash-partitioned by group, partners come from a size-checked broadcast or a
   co-partitioned copy; both aggregates group by keys that contain the group
   key, so the whole line search runs in one stage after one shuffle of points;
-* salted (hot groups, and the no-group case): anchors are split into buckets by
-  a hash of the point, each bucket meets a copy of all of its group's points;
-  line assembly then needs one shuffle of the candidates.
+* split (hot groups, and the no-group case): anchors are hash-partitioned by
+  (group, anchor) and meet a size-checked broadcast of their group's points;
+  beyond the bound they go to a few buckets per core that each get a copy of
+  the points.  Line assembly then needs one shuffle of the candidates.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ from colline.functions.geometry import (
     gcd_bounded,
 )
 from colline.operators.workload import PairWorkload, group_sizes, hot_group_buckets, measure
-from colline.sources.storage import checkpoint_dir, materialize
+from colline.sources.storage import materialize
+from colline.sources.text import points_from
 
 # Coordinates below this bound give differences below EXACT_DOUBLE_BOUND, so the
 # double slope alone is an exact direction key.
@@ -108,13 +110,14 @@ def distinct_points(
 ) -> DataFrame:
     """``_g0.., x BIGINT, y BIGINT``, one row per distinct point of each group.
 
-    Rows with a NULL coordinate are not points and are skipped (the readers in
-    :mod:`colline.sources` never produce them).
+    A NULL, fractional or out-of-range coordinate fails the job (see
+    :func:`colline.sources.text.points_from`).
     """
     gcols = _as_list(group_cols)
-    sel = [F.col(c).alias(k) for c, k in zip(gcols, _flat_keys(gcols))]
-    sel += [F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y")]
-    out = points.select(*sel).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    named = points.select(
+        *[F.col(c).alias(k) for c, k in zip(gcols, _flat_keys(gcols))], F.col(x).alias("_x"), F.col(y).alias("_y")
+    )
+    out = points_from(named, "_x", "_y", _flat_keys(gcols))
     return out.dropDuplicates() if distinct else out
 
 
@@ -126,14 +129,12 @@ def prepare(
     *,
     distinct: bool = True,
     pairs_per_task: int | None = None,
-    broadcast_max_points: int | None = None,
+    broadcast_max_bytes: int | None = None,
     allow_broadcast: bool = True,
-    materialize_points: bool | None = None,
+    materialize_points: bool = False,
 ) -> Prepared:
     gcols = _as_list(group_cols)
     pts = distinct_points(points, gcols, x, y, distinct)
-    if materialize_points is None:
-        materialize_points = checkpoint_dir(points.sparkSession) is not None
     if materialize_points:
         pts = materialize(pts, "points")
     keys = _flat_keys(gcols)
@@ -141,7 +142,7 @@ def prepare(
         pts,
         keys,
         pairs_per_task=pairs_per_task,
-        broadcast_max_points=broadcast_max_points,
+        broadcast_max_bytes=broadcast_max_bytes,
         allow_broadcast=allow_broadcast,
     )
     if plan.null_key_groups:
@@ -196,11 +197,11 @@ def colocated_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, conditi
     by_group = pts.repartition(plan.partitions, *keys)
     anchors = by_group.select(*keys, *_anchor_cols(packed))
     if plan.broadcast:
-        # size-checked: plan.n_points <= broadcast_max_points
+        # size-checked: the measured bytes are within the bound
         partners = F.broadcast(pts.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed)))
     else:
         # the same exchange as the anchors (Spark reuses it): one shuffle of points
-        partners = by_group.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed))
+        partners = by_group.select(*[F.col(k).alias(k + "_b") for k in keys], *_partner_cols(packed)).hint("merge")
     eq = [F.col(k) == F.col(k + "_b") for k in keys]
     return _pair_join(anchors, partners, eq, extra), list(keys)
 
@@ -234,6 +235,32 @@ def bucket_labels(spark, slots: int) -> DataFrame:
     )
 
 
+def broadcast_split_pairs(pts: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
+    """Pairs of split groups whose points fit a broadcast: only anchors are dealt out.
+
+    Anchors are hash-partitioned by (group, anchor) over one task per pair
+    budget, so n rows move; every anchor meets the broadcast points of its
+    group.  Without groups the join key is a column that is 0 in every row.
+    """
+    extra = _condition(condition, packed)
+    zero = F.shiftright(F.hash("x", "y").cast("bigint").bitwiseAND(F.lit(0x7FFFFFFF)), 31)
+    by = [F.col(k) for k in keys] or [zero.alias("_zero")]
+    names = keys or ["_zero"]
+    anchor_names = list(_names(packed, True))
+    anchors = pts.select(*by, *_anchor_cols(packed)).repartition(max(plan.partitions, 1), *keys, *anchor_names)
+    # size-checked: the measured bytes of the hot groups' points are within the bound
+    partners = F.broadcast(pts.select(*[c.alias(n + "_b") for c, n in zip(by, names)], *_partner_cols(packed)))
+    eq = [F.col(n) == F.col(n + "_b") for n in names]
+    return _pair_join(anchors, partners, eq, extra), list(keys) + anchor_names
+
+
+def split_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
+    """Pairs of the groups that one task cannot take."""
+    if plan.split_broadcast:
+        return broadcast_split_pairs(tagged, keys, plan, condition, packed)
+    return salted_pairs(tagged, keys, plan, condition, packed)
+
+
 def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, condition=lex_less, packed: bool = False):
     """Pairs where each group's anchors are split into ``_s`` buckets.
 
@@ -257,7 +284,7 @@ def salted_pairs(tagged: DataFrame, keys: list[str], plan: PairWorkload, conditi
     else:
         label = F.col("_slot").cast("bigint")
     anchors = anchors.select(*keys, label.alias("_bucket"), *_names(packed, True)).repartition(slots, "_bucket")
-    partners = partners.select(label.alias("_bucket_b"), *_names(packed, False)).repartition(slots, "_bucket_b")
+    partners = partners.select(label.alias("_bucket_b"), *_names(packed, False)).repartition(slots, "_bucket_b").hint("merge")
     eq = [F.col("_bucket") == F.col("_bucket_b")]
     return _pair_join(anchors, partners, eq, extra), list(keys) + ["_bucket"]
 
@@ -290,7 +317,7 @@ def _small(plan: PairWorkload) -> bool:
     return plan.max_abs < SMALL_COORD_BOUND
 
 
-def anchor_directions(joined: DataFrame, part_cols: list[str], small: bool, min_partners: int = 2):
+def anchor_directions(joined: DataFrame, part_cols: list[str], small: bool):
     """Per (anchor, direction): partner count and the nearest / farthest partner.
 
     Groups by the join's partitioning columns plus the direction, so Spark plans
@@ -323,7 +350,7 @@ def anchor_directions(joined: DataFrame, part_cols: list[str], small: bool, min_
             F.min("by_").alias("_min_by"),
             F.max("by_").alias("_max_by"),
         )
-        .where(F.col("_cnt") >= F.lit(min_partners))
+        .where(F.col("_cnt") >= F.lit(2))
     )
     out_dirs = [c for c in dir_cols if c != "_desc"]
     cand = agg.select(
@@ -342,7 +369,7 @@ def _pt(x: str, y: str) -> Column:
     return F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
 
 
-def anchor_directions_packed(joined: DataFrame, part_cols: list[str], min_partners: int = 2):
+def anchor_directions_packed(joined: DataFrame, part_cols: list[str]):
     """:func:`anchor_directions` on packed points (small coordinates only).
 
     Key (join partitioning, packed anchor, slope); min / max of the packed
@@ -357,7 +384,7 @@ def anchor_directions_packed(joined: DataFrame, part_cols: list[str], min_partne
         joined.select(*group, "_b", slope_key.alias("_slope"))
         .groupBy(*group, "_slope")
         .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_b").alias("_nb"), F.max("_b").alias("_lb"))
-        .where(F.col("_cnt") >= F.lit(min_partners))
+        .where(F.col("_cnt") >= F.lit(2))
     )
     cand = agg.select(
         *[c for c in group if c not in ("_bucket", "_a")],
@@ -405,7 +432,9 @@ def assemble_lines(
     lines = lines.select(
         *keys, int_div("_ddx", "_d").alias("ux"), int_div("_ddy", "_d").alias("uy"), "_lx", "_ly", "n_points", "points"
     )
-    c = F.col("ux") * F.col("_ly") - F.col("uy") * F.col("_lx")
+    wide = lambda name: F.col(name).cast("decimal(19,0)")
+    # DECIMAL(38,0): a product of two BIGINTs does not fit BIGINT
+    c = (wide("ux") * wide("_ly") - wide("uy") * wide("_lx")).cast("decimal(38,0)")
     return lines.select(*keys, "ux", "uy", c.alias("c"), "n_points", "points")
 
 
@@ -425,7 +454,7 @@ def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
         cand, dir_cols = candidates(joined, part_cols)
         parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
     if hot is not None:
-        joined, part_cols = salted_pairs(hot, prep.keys, prep.plan, packed=small)
+        joined, part_cols = split_pairs(hot, prep.keys, prep.plan, packed=small)
         cand, dir_cols = candidates(joined, part_cols)
         # a line's candidates come from several buckets: shuffle them by line
         # directly (a map-side partial aggregate would rarely combine anything)
@@ -444,9 +473,10 @@ def collinear_sets(
     y: str = "y",
     min_points: int = 3,
     *,
+    mode: str = "strict",
     pairs_per_task: int | None = None,
-    broadcast_max_points: int | None = None,
-    materialize_points: bool | None = None,
+    broadcast_max_bytes: int | None = None,
+    materialize_points: bool = False,
     return_plan: bool = False,
 ):
     """Every maximal set of ``min_points`` or more collinear points, one row per line.
@@ -456,17 +486,28 @@ def collinear_sets(
     ``points`` (``ARRAY<STRUCT<x,y>>`` sorted by x, then y).
 
     ``group_cols`` finds lines inside each group (an extension: the reference
-    works on one set).  One sizing job runs eagerly; the result is lazy.
-    ``materialize_points`` (default: when the session names a checkpoint
-    folder) writes the distinct points once so the sizing job and the main job
-    do not both scan the source.
+    works on one set).  One sizing job runs while the plan is built; the result
+    is lazy and nothing is written.  ``materialize_points`` writes the distinct
+    points once to the checkpoint folder (if the session names one), so the
+    sizing job and the main job do not both scan the source.
+
+    ``mode="strict"`` fails the job on a NULL, fractional or out-of-range
+    coordinate; ``"permissive"`` returns ``(lines, rejects)``, the rejected
+    input rows with all their columns.
     """
+    if mode == "permissive":
+        good, bad = points_from(points, x, y, _as_list(group_cols), mode)
+        out = collinear_sets(
+            good, group_cols, "x", "y", min_points, pairs_per_task=pairs_per_task,
+            broadcast_max_bytes=broadcast_max_bytes, materialize_points=materialize_points, return_plan=return_plan,
+        )
+        return (out[0], bad, out[1]) if return_plan else (out, bad)
     if min_points < 3:
         raise ValueError("min_points must be at least 3 (any two points share a line)")
     prep = prepare(
         points, group_cols, x, y,
         pairs_per_task=pairs_per_task,
-        broadcast_max_points=broadcast_max_points,
+        broadcast_max_bytes=broadcast_max_bytes,
         materialize_points=materialize_points,
     )
     out = restore_groups(lines_of(prep, min_points), prep)

@@ -4,7 +4,8 @@ The scalable path (:func:`colline.operators.lines.collinear_sets`) never
 materialises pairs.  These operators exist because the reference exposes its
 intermediate steps (the self product, the self-pair filter, the per-pair
 slope); their *output* is the pairs, so it grows as n^2 per group by
-definition.  They are equi-joins on the group key, and a group with more pairs
+definition.  So ``group_cols`` must be given; ``()`` says that all rows are one
+group.  NULL or fractional coordinates fail the job.  They are equi-joins on the group key, and a group with more pairs
 than one task should take is split by anchor into buckets, exactly like the
 main operator; no cartesian product operator is used.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import slope as slope_expr
-from colline.operators.lines import colocated_pairs, prepare, restore_groups, salted_pairs, split_hot
+from colline.operators.lines import colocated_pairs, prepare, restore_groups, split_hot, split_pairs
 
 PAIR_COLUMNS = ("ax", "ay", "bx", "by_")
 
@@ -30,7 +31,7 @@ def _pairs(points, group_cols, x, y, *, distinct: bool, condition, pairs_per_tas
         joined, _ = colocated_pairs(cold, prep.keys, prep.plan, condition)
         parts.append(joined.select(*prep.keys, *PAIR_COLUMNS))
     if hot is not None:
-        joined, _ = salted_pairs(hot, prep.keys, prep.plan, condition)
+        joined, _ = split_pairs(hot, prep.keys, prep.plan, condition)
         parts.append(joined.select(*prep.keys, *PAIR_COLUMNS))
     out = parts[0]
     for p in parts[1:]:
@@ -39,7 +40,7 @@ def _pairs(points, group_cols, x, y, *, distinct: bool, condition, pairs_per_tas
 
 
 def ordered_pairs(
-    points: DataFrame, group_cols: str | Sequence[str] | None = None, x: str = "x", y: str = "y", **kw
+    points: DataFrame, group_cols: str | Sequence[str], x: str = "x", y: str = "y", **kw
 ) -> DataFrame:
     """All ordered pairs (A, B) of distinct points, A != B, per group: n(n-1) rows.
 
@@ -54,7 +55,7 @@ def ordered_pairs(
 
 
 def half_pairs(
-    points: DataFrame, group_cols: str | Sequence[str] | None = None, x: str = "x", y: str = "y", **kw
+    points: DataFrame, group_cols: str | Sequence[str], x: str = "x", y: str = "y", **kw
 ) -> DataFrame:
     """Unordered pairs, A < B in (x, y) order: n(n-1)/2 rows per group."""
     from colline.functions.geometry import lex_less
@@ -63,7 +64,7 @@ def half_pairs(
 
 
 def cartesian(
-    points: DataFrame, group_cols: str | Sequence[str] | None = None, x: str = "x", y: str = "y", **kw
+    points: DataFrame, group_cols: str | Sequence[str], x: str = "x", y: str = "y", **kw
 ) -> DataFrame:
     """The bare product per group, self-pairs and input duplicates included: n^2 rows."""
     return _pairs(points, group_cols, x, y, distinct=False, condition=lambda *_: None, **kw)

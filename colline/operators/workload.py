@@ -10,21 +10,26 @@ combined map-side, then reduced to a single row on the driver) and derives:
 * ``partitions``: enough tasks that each does at most ``pairs_per_task`` pairs
   (up to ``MAX_PARTITIONS`` tasks), and at least two tasks per core when there
   is work;
-* hot groups: a group with more than ``pairs_per_task`` pairs is split by anchor
-  into ``S`` buckets; every bucket meets all of the group's points.  The table
+* hot groups: a group with more than ``pairs_per_task`` pairs is split by anchor;
+  within the broadcast bound every anchor meets a broadcast copy of the group's
+  points, beyond it the anchors go to ``S`` buckets that each get a copy.  The table
   of hot groups has fewer rows than ``partitions`` (each hot group carries more
   than total/partitions pairs), so broadcasting it is safe;
 * ``broadcast``: the distinct points are broadcast to the anchor tasks only when
-  their row count, measured here, is below ``broadcast_max_points``.
+  their measured size (rows times key and coordinate bytes) is within
+  ``broadcast_max_bytes``; ``split_broadcast`` is the same for the points of the
+  hot groups alone.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 # Defaults; every one can be overridden per call or through the session conf
 # keys below.
@@ -36,15 +41,18 @@ from pyspark.sql import functions as F
 PAIRS_PER_TASK = 1_000_000
 MIN_PAIRS_PER_TASK = 50_000
 MAX_PARTITIONS = 100_000
-BROADCAST_MAX_POINTS = 1_000_000
-# A split group of n points copies its points once per bucket: n * S rows.  S is
-# kept at or below n / BUCKET_REPLICATION_DIVISOR so the copies stay below 1/8
-# of the n^2 / 2 pair work (a bucket then does a bit more than its pair budget).
+BROADCAST_MAX_BYTES = 64 << 20
+# Bytes of a point in a broadcast relation besides its key: packed coordinates and row overhead.
+POINT_BYTES = 32
+# Beyond the broadcast bound a split group of n points copies its points once per
+# bucket: n * S rows.  S is at most SPLIT_BUCKETS_PER_CORE times the cores, so
+# the copies grow with n, not with n^2 (the aggregate of a bucket spills).
+SPLIT_BUCKETS_PER_CORE = 4
 BUCKET_REPLICATION_DIVISOR = 16
 
 CONF_PAIRS_PER_TASK = "colline.pairsPerTask"
 CONF_MIN_PAIRS_PER_TASK = "colline.minPairsPerTask"
-CONF_BROADCAST_MAX_POINTS = "colline.broadcastMaxPoints"
+CONF_BROADCAST_MAX_BYTES = "colline.broadcastMaxBytes"
 
 
 @dataclass(frozen=True)
@@ -60,6 +68,7 @@ class PairWorkload:
     hot_groups: int
     global_buckets: int
     broadcast: bool
+    split_broadcast: bool
 
     # Partitions of the split layout, one per (hot group, bucket): without groups
     # the buckets of the one group; with groups at most total/pairs_per_task +
@@ -101,16 +110,21 @@ def measure(
     *,
     pairs_per_task: int | None = None,
     min_pairs_per_task: int | None = None,
-    broadcast_max_points: int | None = None,
+    broadcast_max_bytes: int | None = None,
     allow_broadcast: bool = True,
 ) -> tuple[PairWorkload, DataFrame]:
     """Run the sizing aggregate; return the plan and the (lazy) group sizes."""
     spark = pts.sparkSession
     ppt = pairs_per_task or _conf_int(spark, CONF_PAIRS_PER_TASK, PAIRS_PER_TASK)
     mppt = min_pairs_per_task or _conf_int(spark, CONF_MIN_PAIRS_PER_TASK, MIN_PAIRS_PER_TASK)
-    bmax = broadcast_max_points
+    bmax = broadcast_max_bytes
     if bmax is None:
-        bmax = _conf_int(spark, CONF_BROADCAST_MAX_POINTS, BROADCAST_MAX_POINTS)
+        bmax = _conf_int(spark, CONF_BROADCAST_MAX_BYTES, BROADCAST_MAX_BYTES)
+    widths = [
+        F.coalesce(F.octet_length(F.col(k)), F.lit(0)) if isinstance(pts.schema[k].dataType, (StringType, BinaryType)) else F.lit(8)
+        for k in key_cols
+    ]
+    width = reduce(lambda a, b: a + b, widths, F.lit(POINT_BYTES))
 
     sizes = group_sizes(pts, key_cols)
     any_null = F.lit(False)
@@ -123,9 +137,10 @@ def measure(
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.max("_m"), F.lit(0)).alias("max_abs"),
         F.count(F.when(any_null, F.lit(1))).alias("null_keys"),
+        F.coalesce(F.sum(F.col("_n") * width), F.lit(0)).alias("bytes"),
     ).first()
     n_points, total, max_n, groups = int(row[0]), int(row[1]), int(row[2]), int(row[3])
-    max_abs, null_keys = int(row[4]), int(row[5])
+    max_abs, null_keys, size = int(row[4]), int(row[5]), int(row[6])
 
     par = parallelism(spark)
     by_work = min(math.ceil(total / ppt), MAX_PARTITIONS) if total else 1
@@ -142,11 +157,22 @@ def measure(
     else:
         hot_groups = 1 if max_pairs_group > per_task else 0
         global_buckets = (
-            max(1, min(math.ceil(max_pairs_group / per_task), max_n // BUCKET_REPLICATION_DIVISOR, partitions))
+            max(
+                1,
+                min(
+                    math.ceil(max_pairs_group / per_task), max_n // BUCKET_REPLICATION_DIVISOR, partitions,
+                    SPLIT_BUCKETS_PER_CORE * par,
+                ),
+            )
             if hot_groups
             else 1
         )
-    broadcast = bool(allow_broadcast and key_cols and n_points <= bmax)
+    broadcast = bool(allow_broadcast and key_cols and size <= bmax)
+    hot_size = size
+    if key_cols and hot_groups and size > bmax:
+        pairs = half_pair_count()
+        hot_size = int(sizes.where(pairs > per_task).agg(F.coalesce(F.sum(F.col("_n") * width), F.lit(0))).first()[0])
+    split_broadcast = bool(allow_broadcast and hot_groups and hot_size <= bmax)
     plan = PairWorkload(
         n_points=n_points,
         n_groups=groups,
@@ -159,6 +185,7 @@ def measure(
         hot_groups=hot_groups,
         global_buckets=max(1, global_buckets),
         broadcast=broadcast,
+        split_broadcast=split_broadcast,
         salt_slots=max(1, global_buckets) if not key_cols else 2 * partitions,
     )
     return plan, sizes
@@ -177,7 +204,7 @@ def hot_group_buckets(sizes: DataFrame, key_cols: list[str], plan: PairWorkload)
         F.least(
             F.call_function("div", F.col("_n"), F.lit(BUCKET_REPLICATION_DIVISOR).cast("bigint")),
             F.ceil(pairs.cast("double") / per_task.cast("double")).cast("bigint"),
-            F.lit(plan.partitions).cast("bigint"),
+            F.lit(min(plan.partitions, SPLIT_BUCKETS_PER_CORE * parallelism(sizes.sparkSession))).cast("bigint"),
         ),
     ).cast("int")
     return sizes.where(pairs > per_task).select(*key_cols, buckets.alias("_s"))

@@ -34,7 +34,7 @@ hp AS (
   FROM p a JOIN p b ON {on_g}(a.x < b.x OR (a.x = b.x AND a.y < b.y))
 ),
 k AS (SELECT {g}ax, ay, bx, by_, dx // gcd(dx, abs(dy)) AS ux, dy // gcd(dx, abs(dy)) AS uy FROM hp),
-kc AS (SELECT {g}ax, ay, bx, by_, ux, uy, ux * ay - uy * ax AS c FROM k),
+kc AS (SELECT {g}ax, ay, bx, by_, ux, uy, CAST(CAST(ux AS HUGEINT) * ay - CAST(uy AS HUGEINT) * ax AS DECIMAL(38, 0)) AS c FROM k),
 lines AS (SELECT {g}ux, uy, c FROM kc GROUP BY {g}ux, uy, c HAVING count(*) >= 3),
 kl AS (SELECT kc.* FROM kc JOIN lines USING ({using})),
 m AS (
@@ -63,10 +63,13 @@ GRID = ("lineitem", "l_linenumber", "l_quantity")
 _SLOPE_UXUY = "CASE WHEN ux = 0 THEN CAST('Infinity' AS DOUBLE) ELSE CAST(uy AS DOUBLE) / CAST(ux AS DOUBLE) + 0.0 END"
 
 
+PER_PART = ("lineitem", "l_linenumber", "l_quantity", "l_partkey")
+
+
 def line_params_sql() -> str:
-    ctes = _lines_ctes(_points_cte(*SUPPLIER, None), False)
+    ctes = _lines_ctes(_points_cte(*PER_PART), True)
     return f"""WITH {ctes}
-SELECT ux, uy, c, n_points, points,
+SELECT g AS l_partkey, ux, uy, c, n_points, points,
        ux = 0 AS is_vertical,
        {_SLOPE_UXUY} AS slope,
        CASE WHEN ux = 0 THEN CAST(-c AS DOUBLE) + 0.0 ELSE CAST(c AS DOUBLE) / CAST(ux AS DOUBLE) + 0.0 END AS intercept
@@ -74,24 +77,53 @@ FROM lt"""
 
 
 def _anchor_rows_sql(anchor_last: bool) -> str:
-    ctes = _lines_ctes(_points_cte(*GRID, None), False)
+    ctes = _lines_ctes(_points_cte(*PER_PART), True)
     partners = f"string_agg({_txt('b.x', 'b.y')}, ';' ORDER BY b.x, b.y)"
     anchor = _txt("a.x", "a.y")
     pts = f"{partners} || ';' || {anchor}" if anchor_last else f"{anchor} || ';' || {partners}"
     slope = _SLOPE_UXUY.replace("ux", "a.ux").replace("uy", "a.uy")
     return f"""WITH {ctes}
-SELECT a.x AS ax, a.y AS ay, a.ux = 0 AS is_vertical, {slope} AS slope,
+SELECT a.g AS l_partkey, a.x AS ax, a.y AS ay, a.ux = 0 AS is_vertical, {slope} AS slope,
        lt.n_points AS n_points, {pts} AS points
 FROM m a
-JOIN m b ON a.ux = b.ux AND a.uy = b.uy AND a.c = b.c AND (a.x <> b.x OR a.y <> b.y)
-JOIN lt ON lt.ux = a.ux AND lt.uy = a.uy AND lt.c = a.c
-GROUP BY a.ux, a.uy, a.c, a.x, a.y, lt.n_points"""
+JOIN m b ON a.g = b.g AND a.ux = b.ux AND a.uy = b.uy AND a.c = b.c AND (a.x <> b.x OR a.y <> b.y)
+JOIN lt ON lt.g = a.g AND lt.ux = a.ux AND lt.uy = a.uy AND lt.c = a.c
+GROUP BY a.g, a.ux, a.uy, a.c, a.x, a.y, lt.n_points"""
 
 
 def sets_by_anchor_sql() -> str:
-    ctes = _lines_ctes(_points_cte(*GRID, None), False)
+    ctes = _lines_ctes(_points_cte(*PER_PART), True)
     return f"""WITH {ctes}
-SELECT lt.n_points AS n_points, lt.points AS points FROM lt JOIN m USING (ux, uy, c)"""
+SELECT lt.g AS l_partkey, lt.n_points AS n_points, lt.points AS points FROM lt JOIN m USING (g, ux, uy, c)"""
+
+
+def lines_large_sql() -> str:
+    """The fixed linear map of :data:`colline.plans.tables.LARGE_MAP`; line constants in HUGEINT."""
+    x = "CAST(l_linenumber AS BIGINT) * 8589934593 + CAST(l_quantity AS BIGINT) * 4294967311"
+    y = "CAST(l_linenumber AS BIGINT) * 4294967291 - CAST(l_quantity AS BIGINT) * 8589934609"
+    points = f"SELECT DISTINCT l_partkey AS g, {x} AS x, {y} AS y FROM lineitem"
+    return f"WITH {_lines_ctes(points, True)}\nSELECT g AS l_partkey, ux, uy, c, n_points, points FROM lt"
+
+
+def groups_from_pairs_sql() -> str:
+    """Ordered pairs grouped by anchor and double slope, three points or more."""
+    return f"""WITH p AS ({_order_points(True)}),
+op AS (
+  SELECT a.l_orderkey, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_, a.x = b.x AS is_vertical,
+         CASE WHEN a.x = b.x THEN CAST('Infinity' AS DOUBLE)
+              ELSE CAST(a.y - b.y AS DOUBLE) / CAST(a.x - b.x AS DOUBLE) + 0.0 END AS slope
+  FROM p a JOIN p b ON a.l_orderkey = b.l_orderkey AND (a.x <> b.x OR a.y <> b.y)
+)
+SELECT l_orderkey, ax, ay, is_vertical, slope, count(*) + 1 AS n_points,
+       {_txt('ax', 'ay')} || ';' || string_agg({_txt('bx', 'by_')}, ';' ORDER BY bx, by_) AS points
+FROM op GROUP BY l_orderkey, ax, ay, is_vertical, slope HAVING count(*) >= 2"""
+
+
+def points_quarantine_sql() -> str:
+    whole = "c_nationkey IS NOT NULL AND c_acctbal IS NOT NULL AND c_acctbal = floor(c_acctbal)"
+    return f"""SELECT c_custkey, CASE WHEN {whole} THEN CAST(c_nationkey AS BIGINT) END AS x,
+       CASE WHEN {whole} THEN CAST(c_acctbal AS BIGINT) END AS y, {whole} AS accepted
+FROM customer"""
 
 
 def same_sets_sql() -> str:
@@ -174,6 +206,10 @@ ORACLE_SQL = {
     "lines_lineitem_grid": lines_sql(*GRID),
     "lines_per_part": lines_sql("lineitem", "l_linenumber", "l_quantity", "l_partkey"),
     "lines_per_supplier": lines_sql("lineitem", "l_linenumber", "l_quantity", "l_suppkey"),
+    "lines_large_per_part": lines_large_sql(),
     "line_params": line_params_sql(),
+    "groups_from_pairs_per_order": groups_from_pairs_sql(),
+    "sets_from_text_per_part": sets_by_anchor_sql(),
+    "points_quarantine": points_quarantine_sql(),
     "same_sets": same_sets_sql(),
 }

@@ -7,25 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from colline.operators.anchors import collinear_sets_by_anchor
-from colline.operators.lines import collinear_sets
-from colline.sources.text import parse_points, read_points
+from colline.operators.lines import _as_list, collinear_sets
+from colline.sources.text import parse_points
 
 
-def build_collinear_set(text: DataFrame, col: str = "value", mode: str = "strict") -> DataFrame:
-    """Text lines to sorted sets, each repeated once per point (the reference's multiset)."""
-    pts = parse_points(text, col, mode, keep_input=False)
-    if mode == "permissive":
-        pts = pts[0]
-    return collinear_sets_by_anchor(pts)
+def build_collinear_set(
+    text: DataFrame, col: str = "value", mode: str = "strict", group_cols: str | Sequence[str] | None = None
+):
+    """Text lines to sorted sets, each repeated once per point (the reference's multiset).
+
+    With ``group_cols`` (columns of ``text``) sets are found within each group.
+    Permissive mode returns ``(sets, rejects)``.
+    """
+    gcols = _as_list(group_cols)
+    parsed = parse_points(text, col, mode)
+    pts, rejects = parsed if mode == "permissive" else (parsed, None)
+    sets = collinear_sets_by_anchor(pts.select(*gcols, "x", "y"), gcols)
+    return (sets, rejects) if mode == "permissive" else sets
 
 
-def process(spark: SparkSession, path: str | Sequence[str], mode: str = "strict", min_points: int = 3) -> DataFrame:
+def process(
+    spark: SparkSession, path: str | Sequence[str], mode: str = "strict", min_points: int = 3,
+    group_cols: str | Sequence[str] | None = None,
+):
     """File(s) of ``"x y"`` lines to one row per maximal collinear set.
 
-    The reference collected a Python set on the driver; here the de-duplicated
-    result stays a distributed DataFrame (write it, or collect it in tests).
+    ``group_cols`` names partition columns of the path (``g=1/part.txt``).
+    Permissive mode returns ``(sets, rejects)``.  The reference collected a
+    Python set on the driver; here the de-duplicated result stays a distributed
+    DataFrame (write it, or collect it in tests).
     """
-    pts = read_points(spark, path, mode)
-    if mode == "permissive":
-        pts = pts[0]
-    return collinear_sets(pts, min_points=min_points)
+    gcols = _as_list(group_cols)
+    text = spark.read.text([path] if isinstance(path, str) else list(path))
+    parsed = parse_points(text, "value", mode)
+    pts, rejects = parsed if mode == "permissive" else (parsed, None)
+    sets = collinear_sets(pts.select(*gcols, "x", "y"), gcols, min_points=min_points)
+    return (sets, rejects) if mode == "permissive" else sets

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import points_text
-from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, format_groups
+from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, format_groups, group_pairs
 from colline.operators.compare import set_difference_counts
 from colline.operators.lines import collinear_sets, line_params
 from colline.operators.pairs import cartesian, ordered_pairs, with_slope
-from colline.sources.storage import materialize
+from colline.plans.process import build_collinear_set
 from colline.sources.text import parse_points, points_from
 
 
@@ -115,29 +115,66 @@ def q_lines_per_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(collinear_sets(lineitem_by(spark, sf_dir, "l_suppkey"), "l_suppkey"))
 
 
+# Fixed map of the plane that keeps lines but makes coordinates and directions large.
+LARGE_MAP = ((8589934593, 4294967311), (4294967291, -8589934609))
+
+
+def q_lines_large_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of large coordinates: directions beyond 2^26 and line constants beyond BIGINT."""
+    pts = lineitem_by(spark, sf_dir, "l_partkey")
+    x, y = (F.col("x") * F.lit(a) + F.col("y") * F.lit(b) for a, b in LARGE_MAP)
+    return _flat(collinear_sets(pts.select("l_partkey", x.alias("x"), y.alias("y")), "l_partkey"))
+
+
 def q_line_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(line_params(collinear_sets(supplier_points(spark, sf_dir))))
+    return _flat(line_params(collinear_sets(lineitem_by(spark, sf_dir, "l_partkey"), "l_partkey")))
 
 
 def q_anchor_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(anchor_groups(lineitem_grid(spark, sf_dir)))
+    return _flat(anchor_groups(lineitem_by(spark, sf_dir, "l_partkey"), "l_partkey"))
 
 
 def q_format_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(format_groups(anchor_groups(lineitem_grid(spark, sf_dir))))
+    return _flat(format_groups(anchor_groups(lineitem_by(spark, sf_dir, "l_partkey"), "l_partkey")))
 
 
 def q_sets_by_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(collinear_sets_by_anchor(lineitem_grid(spark, sf_dir)))
+    return _flat(collinear_sets_by_anchor(lineitem_by(spark, sf_dir, "l_partkey"), "l_partkey"))
+
+
+def q_groups_from_pairs_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/A4: ready-made ordered pairs grouped by (anchor, slope) within each order."""
+    return _flat(group_pairs(ordered_pairs(lineitem_by(spark, sf_dir, "l_orderkey"), "l_orderkey"), "l_orderkey"))
+
+
+def q_sets_from_text_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``"x y"`` text of the line items, parsed and searched per part, k copies per line."""
+    text = table(spark, sf_dir, "lineitem").select(
+        "l_partkey",
+        F.concat(F.col("l_linenumber").cast("string"), F.lit(" "), F.col("l_quantity").cast("bigint").cast("string")).alias("value"),
+    )
+    return _flat(build_collinear_set(text, group_cols="l_partkey"))
+
+
+def q_points_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as points without rounding: whole balances are points, the others are rejected."""
+    good, bad = points_from(table(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", ["c_custkey"], "permissive")
+    none = F.lit(None).cast("bigint")
+    return good.select("c_custkey", "x", "y", F.lit(True).alias("accepted")).unionAll(
+        bad.select("c_custkey", none.alias("x"), none.alias("y"), F.lit(False).alias("accepted"))
+    )
 
 
 def q_same_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The by-anchor multiset and the one-row-per-line result hold the same sets."""
+    """Sets from ordered pairs grouped by (anchor, slope) against those of the line search.
+
+    The two sides share nothing but the points.
+    """
     pts = lineitem_by(spark, sf_dir, "l_partkey")
-    # both sides read one computed result (written to the checkpoint folder when
-    # the session names one) instead of running the pair stage twice
-    lines = materialize(collinear_sets(pts, "l_partkey"), "lines")
-    left = collinear_sets_by_anchor(pts, "l_partkey", lines=lines)
+    grouped = group_pairs(ordered_pairs(pts, "l_partkey"), "l_partkey")
+    left = grouped.withColumn("points", F.sort_array("points"))
+    lines = collinear_sets(pts, "l_partkey")
+
     # compare (group, set) pairs: fold the group into the set value
     def keyed(df: DataFrame) -> DataFrame:
         return df.select(
@@ -162,6 +199,10 @@ QUERIES = {
     "lines_lineitem_grid": q_lines_lineitem_grid,
     "lines_per_part": q_lines_per_part,
     "lines_per_supplier": q_lines_per_supplier,
+    "lines_large_per_part": q_lines_large_per_part,
     "line_params": q_line_params,
+    "groups_from_pairs_per_order": q_groups_from_pairs_per_order,
+    "sets_from_text_per_part": q_sets_from_text_per_part,
+    "points_quarantine": q_points_quarantine,
     "same_sets": q_same_sets,
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -13,14 +12,12 @@ from colline.sources.storage import CHECKPOINT_CONF
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "colline") -> SparkSession:
     """A ``local[cores]`` session tuned for small inputs.
 
-    The checkpoint folder is set only when the environment names none
-    (``COLLINE_CHECKPOINT_DIR``); a fresh temporary folder is fine here because
-    a local session is one machine.  The web UI stays off.
+    ``COLLINE_CHECKPOINT_DIR`` names a checkpoint folder; without it the site's
+    setting, if any, stays as it is.  The web UI stays off.
     ``COLLINE_EVENT_LOG_DIR`` writes Spark's event log there (a scratch folder).
     ``COLLINE_OFFHEAP`` (e.g. ``8g``) moves Tungsten memory off the JVM heap;
     off by default (no clear gain measured on a noisy host).
     """
-    ckpt = os.environ.get("COLLINE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="colline-ckpt-")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -32,8 +29,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("COLLINE_DRIVER_MEMORY", "16g"))
-        .config(CHECKPOINT_CONF, ckpt)
     )
+    ckpt = os.environ.get("COLLINE_CHECKPOINT_DIR")
+    if ckpt:
+        builder = builder.config(CHECKPOINT_CONF, ckpt)
     event_dir = os.environ.get("COLLINE_EVENT_LOG_DIR")
     if event_dir:
         # stage and task times for scripts/stage_times.py (the UI stays off)
@@ -45,6 +44,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config("spark.memory.offHeap.enabled", "true").config("spark.memory.offHeap.size", offheap)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(ckpt)
     return spark

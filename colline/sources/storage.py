@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Paths written by this process, by Spark application id.
+# Paths written by this process, and the folder of a local session without one, by Spark application id.
 _WRITTEN: dict[str, list[str]] = {}
+_OWN: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -38,8 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="colline-shared-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        app = spark.sparkContext.applicationId
+        base = _OWN.setdefault(app, "") or tempfile.mkdtemp(prefix="colline-shared-")
+        _OWN[app] = base
     return base
 
 

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 # Fixed value: the accepted line shape, two optionally signed integers and one space.
 POINT_LINE_PATTERN = r"^[+-]?[0-9]+ [+-]?[0-9]+$"
@@ -28,6 +29,15 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
 
 
+def require(df: DataFrame, ok: Column, message: Column) -> DataFrame:
+    """``df``, failing the job on the first row that is not ``ok``.
+
+    The check is a filter, not an output column, so it runs even if nobody
+    reads the checked columns (``count()`` fails too).
+    """
+    return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def _parsed(value: Column) -> tuple[Column, Column, Column, Column]:
     """(x, y, ok, reason) for a text column; x, y are NULL when not ok."""
     parts = F.split(value, " ", -1)
@@ -56,12 +66,7 @@ def parse_points(df: DataFrame, col: str = "value", mode: str = "strict", keep_i
     base = df.columns if keep_input else []
     if mode == "strict":
         msg = F.concat(F.lit("bad point line ("), reason, F.lit("): "), F.coalesce(value, F.lit("NULL")))
-        fail = F.raise_error(msg)
-        return df.select(
-            *base,
-            F.when(ok, x).otherwise(fail.cast("bigint")).alias("x"),
-            F.when(ok, y).otherwise(fail.cast("bigint")).alias("y"),
-        )
+        return require(df, ok, msg).select(*base, x.alias("x"), y.alias("y"))
     tagged = df.select(*df.columns, x.alias("_x"), y.alias("_y"), ok.alias("_ok"), reason.alias("_reason"))
     good = tagged.where(F.col("_ok")).select(
         *base, F.col("_x").alias("x"), F.col("_y").alias("y")
@@ -92,22 +97,20 @@ def points_from(
 
     Values must be integers (an integral DOUBLE such as 17.0 is fine).  Strict
     mode fails on a NULL, fractional or out-of-range value; permissive mode
-    returns ``(points, rejects)``.
+    returns ``(points, rejects)``, the rejects with all their columns.
     """
     _check_mode(mode)
     gcols = list(group_cols)
+    for c in (x, y):
+        if not isinstance(df.schema[c].dataType, NumericType):
+            raise ValueError(f"column {c!r} is not numeric; parse text with parse_points")
     xs, ys = F.col(x), F.col(y)
     xi, yi = xs.try_cast("bigint"), ys.try_cast("bigint")
-    exact = (xi.isNotNull() & yi.isNotNull()) & (xi.cast("double") == xs.cast("double")) & (
-        yi.cast("double") == ys.cast("double")
-    )
-    ok = F.coalesce(exact, F.lit(False))
+    ok = F.coalesce((xi == xs) & (yi == ys), F.lit(False))
     if mode == "strict":
-        fail = F.raise_error(
-            F.concat(F.lit("not an integer point: "), F.coalesce(xs.cast("string"), F.lit("NULL")), F.lit(" "),
-                     F.coalesce(ys.cast("string"), F.lit("NULL")))
-        ).cast("bigint")
-        return df.select(*gcols, F.when(ok, xi).otherwise(fail).alias("x"), F.when(ok, yi).otherwise(fail).alias("y"))
+        shown = [F.coalesce(c.cast("string"), F.lit("NULL")) for c in (xs, ys)]
+        checked = require(df, ok, F.concat(F.lit("not an integer point: "), shown[0], F.lit(" "), shown[1]))
+        return checked.select(*gcols, xi.alias("x"), yi.alias("y"))
     tagged = df.select("*", ok.alias("_ok"), xi.alias("_xi"), yi.alias("_yi"))
     good = tagged.where(F.col("_ok")).select(*gcols, F.col("_xi").alias("x"), F.col("_yi").alias("y"))
     bad = tagged.where(~F.col("_ok")).drop("_ok", "_xi", "_yi")

@@ -12,7 +12,7 @@ sys.path.insert(0, ROOT)
 
 TESTDATA = "/root/testdata"
 
-# F-1: the nine points of the worked example and its three golden sets.
+# Fixed values, F-1: the nine points of the worked example and its three golden sets.
 POINTS9 = [(1, 1), (0, 1), (2, 2), (3, 3), (0, 5), (3, 4), (5, 6), (0, -3), (-2, -2)]
 GOLDEN9 = {
     ((-2, -2), (1, 1), (2, 2), (3, 3)),
@@ -20,7 +20,7 @@ GOLDEN9 = {
     ((0, -3), (0, 1), (0, 5)),
 }
 
-# F-2: the 40 distinct points that occur in the 65 golden sets of the second file.
+# Fixed values, F-2: the 40 distinct points that occur in the 65 golden sets of the second file.
 POINTS40 = [
     (0, 2), (0, 3), (0, 4), (0, 5), (0, 7), (0, 8), (1, 0), (1, 1), (1, 2), (1, 3),
     (1, 5), (1, 6), (1, 8), (2, 0), (2, 4), (2, 5), (3, 1), (3, 3), (3, 6), (4, 3),
@@ -28,7 +28,7 @@ POINTS40 = [
     (7, 2), (7, 3), (7, 4), (7, 6), (7, 8), (8, 1), (8, 9), (9, 3), (9, 4), (9, 5),
 ]
 
-# F-3
+# Fixed values, F-3.
 POINTS8 = [(4, -2), (2, -1), (-3, 4), (6, 3), (-9, 4), (6, -3), (8, -4), (6, 9)]
 GOLDEN8 = {((6, -3), (6, 3), (6, 9)), ((2, -1), (4, -2), (6, -3), (8, -4))}
 

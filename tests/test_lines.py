@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from colline.operators import workload as W
 from colline.operators.lines import collinear_sets, line_params
 
 from .conftest import GOLDEN8, GOLDEN9, POINTS8, POINTS9, POINTS40, as_sets, brute_force_lines, points_df
@@ -111,6 +112,10 @@ def test_multi_column_groups(spark):
     assert {(r["k"], r["j"]) for r in out.collect()} == {("a", 1), ("a", 2)}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def _grid(n, seed):
     rnd = random.Random(seed)
     return [(rnd.randrange(-6, 7), rnd.randrange(-6, 7)) for _ in range(n)]
@@ -129,21 +134,44 @@ def test_layouts_agree_and_salting(spark):
     base, plan = collinear_sets(df, "g", return_plan=True)
     assert plan.broadcast and plan.hot_groups == 0
     assert got(base) == expected
-    shuffled, plan = collinear_sets(df, "g", broadcast_max_points=0, return_plan=True)
-    assert not plan.broadcast
+    assert "BroadcastHashJoin" in _plan(base)
+    shuffled, plan = collinear_sets(df, "g", broadcast_max_bytes=0, return_plan=True)
+    assert not plan.broadcast and "SortMergeJoin" in _plan(shuffled) and "BroadcastHashJoin" not in _plan(shuffled)
     assert got(shuffled) == expected
-    salted, plan = collinear_sets(df, "g", pairs_per_task=500, return_plan=True)
-    assert plan.hot_groups != 0
+    split, plan = collinear_sets(df, "g", pairs_per_task=500, return_plan=True)
+    assert plan.hot_groups != 0 and plan.split_broadcast
+    assert got(split) == expected
+    salted, plan = collinear_sets(df, "g", pairs_per_task=500, broadcast_max_bytes=0, return_plan=True)
+    assert plan.hot_groups != 0 and not plan.split_broadcast
     assert got(salted) == expected
 
 
 def test_global_salting(spark):
     pts = _grid(200, 7)
     out, plan = collinear_sets(points_df(spark, pts), pairs_per_task=300, return_plan=True)
-    assert plan.global_buckets > 1
+    assert plan.split_broadcast and as_sets(out) == brute_force_lines(pts)
+    out, plan = collinear_sets(points_df(spark, pts), pairs_per_task=300, broadcast_max_bytes=0, return_plan=True)
+    assert plan.global_buckets > 1 and not plan.split_broadcast
     assert as_sets(out) == brute_force_lines(pts)
 
 
+def test_one_large_group_moves_each_point_once(spark):
+    pts = spark.range(400_000).selectExpr("id % 20011 as x", "(id * id) % 1000003 as y")
+    out, plan = collinear_sets(pts, return_plan=True)
+    assert plan.split_broadcast and "Generate" not in _plan(out) and "BroadcastHashJoin" in _plan(out)
+    _, plan = collinear_sets(pts, broadcast_max_bytes=0, return_plan=True)
+    assert not plan.split_broadcast
+    assert plan.global_buckets <= W.SPLIT_BUCKETS_PER_CORE * W.parallelism(spark)
+
+
+def test_line_constant_beyond_bigint(spark):
+    for start, step, n in (((2**40, -(2**40)), (2**33 + 1, 2**33 + 5), 4), ((2**32, 2**32), (2**31 - 1, 2**31 + 11), 3)):
+        pts = [(start[0] + k * step[0], start[1] + k * step[1]) for k in range(n)]
+        (row,) = collinear_sets(points_df(spark, pts)).collect()
+        assert row["n_points"] == n
+        assert all(row["ux"] * p["y"] - row["uy"] * p["x"] == int(row["c"]) for p in row["points"])
+
+
 def test_no_cartesian_product_in_plan(spark):
     out = collinear_sets(points_df(spark, POINTS40))
     plan = out._jdf.queryExecution().executedPlan().toString()
@@ -153,10 +181,9 @@ def test_no_cartesian_product_in_plan(spark):
 def test_pairs_never_shuffled_in_colocated_layout(spark):
     rows = [(g, x, y) for g in range(3) for x, y in POINTS40]
     out = collinear_sets(spark.createDataFrame(rows, "g int, x long, y long"), "g")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # one exchange for the anchors (repartition by group); pairs and candidates stay in-stage
-    shuffles = [ln for ln in plan.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln]
-    assert len(shuffles) == 1, plan
+    # distinct points (once for each join side) and the anchors by group; pairs and candidates stay in-stage
+    shuffles = [ln for ln in _plan(out).splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln]
+    assert len(shuffles) == 3, _plan(out)
 
 
 def test_line_params(spark):

@@ -31,3 +31,15 @@ def test_random_large_coordinates(spark, base, steps):
     pts += [(x0 + k * (x1 - x0) // 3, y0 + k * (y1 - y0) // 3) for k in range(steps)]
     pts = [(x, y) for x, y in pts if abs(x) < 2**45 and abs(y) < 2**45]
     assert as_sets(collinear_sets(points_df(spark, pts))) == brute_force_lines(pts)
+
+
+@given(
+    start=st.tuples(st.integers(-(2**55), 2**55), st.integers(-(2**55), 2**55)),
+    step=st.tuples(st.integers(-(2**50), 2**50), st.integers(-(2**50), 2**50)).filter(lambda s: s != (0, 0)),
+    times=st.sets(st.integers(0, 9), min_size=3, max_size=6),
+)
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_exact_multiples_of_large_directions(spark, start, step, times):
+    pts = [(start[0] + k * step[0], start[1] + k * step[1]) for k in times]
+    got = as_sets(collinear_sets(points_df(spark, pts)))
+    assert got == {tuple(sorted(pts))}

@@ -51,7 +51,43 @@ def test_process_permissive_skips_bad_lines(spark, tmp_path):
     f.write_text("\n".join([f"{x} {y}" for x, y in POINTS9] + ["oops", "1 2 3"]) + "\n")
     with pytest.raises(Exception):
         process(spark, str(f)).collect()
-    assert as_sets(process(spark, str(f), mode="permissive")) == GOLDEN9
+    sets, rejects = process(spark, str(f), mode="permissive")
+    assert as_sets(sets) == GOLDEN9
+    assert sorted(r["value"] for r in rejects.collect()) == ["1 2 3", "oops"]
+
+
+def test_process_by_partition_column(spark, tmp_path):
+    for g in (1, 2):
+        (tmp_path / f"g={g}").mkdir()
+        (tmp_path / f"g={g}" / "p.txt").write_text("\n".join(f"{x} {y}" for x, y in POINTS9) + "\n")
+    out = process(spark, str(tmp_path), group_cols="g")
+    assert {r["g"] for r in out.collect()} == {1, 2} and out.count() == 6
+
+
+def test_build_collinear_set_groups_and_rejects(spark):
+    rows = [(g, f"{x} {y}") for g in (1, 2) for x, y in POINTS9] + [(1, "oops")]
+    sets, rejects = build_collinear_set(spark.createDataFrame(rows, "g int, value string"), mode="permissive", group_cols="g")
+    assert sets.count() == 20 and rejects.count() == 1
+
+
+def test_strict_checks_survive_column_pruning(spark):
+    with pytest.raises(Exception, match="bad point line"):
+        parse_points(spark.createDataFrame([("1 2",), ("oops",)], "value string")).count()
+    with pytest.raises(Exception, match="not an integer point"):
+        points_from(spark.createDataFrame([(1.5, 2.0)], "a double, b double"), "a", "b").count()
+    with pytest.raises(ValueError, match="not numeric"):
+        points_from(spark.createDataFrame([("1", 2)], "a string, b int"), "a", "b")
+
+
+@pytest.mark.parametrize("bad", [(1.5, 1.0), (None, 1.0), (float("nan"), 1.0), (1e30, 1.0)])
+def test_line_search_rejects_what_is_no_point(spark, bad):
+    from colline.operators.lines import collinear_sets
+
+    df = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0), (4.0, 4.0), bad], "x double, y double")
+    with pytest.raises(Exception, match="not an integer point"):
+        collinear_sets(df).collect()
+    lines, rejects = collinear_sets(df, mode="permissive")
+    assert as_sets(lines) == {((0, 0), (2, 2), (4, 4))} and rejects.count() == 1
 
 
 def test_build_collinear_set_multiset(spark):

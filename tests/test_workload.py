@@ -48,7 +48,7 @@ def test_partition_cap(spark, monkeypatch):
 def test_broadcast_is_size_checked(spark):
     rows = [(1, x, y) for x, y in POINTS9]
     assert _prep(spark, rows).plan.broadcast
-    assert not _prep(spark, rows, broadcast_max_points=5).plan.broadcast
+    assert not _prep(spark, rows, broadcast_max_bytes=100).plan.broadcast
     assert not _prep(spark, POINTS9, group=False).plan.broadcast  # never without a group key
 
 
