@@ -14,8 +14,10 @@ are joined with the model, sharded by gram, and the answers go back to the
 block, which scores its documents one by one.  So neither the model nor a
 document's grams are gathered in one place, and texts move once.
 
-Thresholds.  A document is rejected if its perplexity exceeds its language's
-quantile over the trusted texts, times a margin.
+Thresholds.  A fifth of the trusted texts (by a hash of the id) is kept out of
+the training; a document is rejected if its perplexity exceeds its language's
+quantile over these, times a margin.  A language without any of these takes the
+quantile over its training texts.
 
 A character is one of 4096 classes (its code point, from 3072 on folded into
 1024 classes), so a gram is an exact 48-bit number: the context is its high
@@ -37,6 +39,7 @@ ORDER, BITS, CLASSES, FOLDED = 4, 12, 4096, 3072
 BEFORE, AFTER = 2, 3  # classes that stand before and after a text
 BLOCK_BYTES = 16 << 20
 QUANTILE, MARGIN = 0.99, 1.15
+HELD_OUT = 5  # every so many trusted ids sets thresholds instead of training; 0: none
 FLUSH = 1 << 21  # grams that are sorted at once
 
 
@@ -223,7 +226,7 @@ def perplexities(docs: DataFrame, model_table: DataFrame, id_col: str = "doc_id"
 
 def classify(
     docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    quantile: float = QUANTILE, margin: float = MARGIN,
+    quantile: float = QUANTILE, margin: float = MARGIN, held_out: int = HELD_OUT,
 ) -> DataFrame:
     """``doc_id, lang, n_grams, perplexity, threshold, kept``, one row per input row.
 
@@ -236,12 +239,16 @@ def classify(
     columns are not read; an empty table gives an empty result.
     """
     ids = save(trusted_ids.select(F.col(trusted_ids.columns[0]).cast("bigint").alias("_trusted")).where("_trusted is not null").distinct(), "kn-trusted")
-    trusted = docs.join(small_side(ids), F.col(id_col).cast("bigint") == F.col("_trusted"), "left_semi")
+    apart = (F.pmod(F.xxhash64("_trusted"), F.lit(held_out)) == 0) if held_out else F.lit(False)
+    trusted = docs.join(small_side(ids.where(~apart)), F.col(id_col).cast("bigint") == F.col("_trusted"), "left_semi")
     trusted = trusted.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     table = model(gram_counts(trusted))
     scored = save(perplexities(docs, table, id_col, text_col, lang_col), "kn-scored")
-    known = scored.join(small_side(ids), F.col("doc_id") == F.col("_trusted"), "left_semi").where("perplexity is not null")
-    limits = known.groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * F.lit(margin)).alias("threshold"))
+    known = scored.join(small_side(ids.select("_trusted", apart.alias("_apart"))), F.col("doc_id") == F.col("_trusted"))
+    at = lambda c: F.percentile_approx(c, quantile, 10_000)
+    limits = known.where("perplexity is not null").groupBy("lang").agg(
+        (F.coalesce(at(F.when(F.col("_apart"), F.col("perplexity"))), at(F.col("perplexity"))) * F.lit(margin)).alias("threshold")
+    )
     limits = small_side(save(limits.withColumnRenamed("lang", "_lang"), "kn-limits"))  # a row for each language
     out = scored.join(limits, F.col("lang") == F.col("_lang"), "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
