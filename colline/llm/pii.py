@@ -46,7 +46,7 @@ FORMS = {
     "email": r"[\p{L}\p{N}._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "secret": r"(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{8,128}",
     "hex": r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
-    "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
+    "ip": rf"(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?:\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
