@@ -278,6 +278,12 @@ def near_duplicates(
     leaves one of them.  Other columns are not read; an empty table gives an
     empty result.
     """
+    named = _named(docs, id_col, text_col, width, percent)
+    return named.select("doc_id", "th", "n_shingles", "component_id", "kept")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """:func:`near_duplicates` with ``component``, a class of the component (null without shingles)."""
     rows, comps = similar_classes(docs, id_col, text_col, width, percent)
     comps = comps.select(F.col("node").alias("set_id"), "component")
     named = rows.join(comps, "set_id", "left").select(
@@ -288,7 +294,7 @@ def near_duplicates(
     out = named.join(low, "component", "left").withColumn(
         "component_id", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
-    return out.select("doc_id", "th", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(
@@ -300,10 +306,9 @@ def deduplicated(
     with that id (or with null ids only) the smallest text hash, among
     identical id and text any one.
     """
-    found = save(near_duplicates(docs, id_col, text_col, width, percent), "dedup-found")
-    name = F.when(F.col("n_shingles") == 0, F.struct(F.lit(0).alias("empty"), "doc_id", F.col("th").alias("th"))).otherwise(
-        F.struct(F.lit(1).alias("empty"), F.col("component_id").alias("doc_id"), F.lit(0).cast("bigint").alias("th"))
-    )
+    found = save(_named(docs, id_col, text_col, width, percent), "dedup-found")
+    alone = F.col("component").isNull()
+    name = F.struct("component", F.when(alone, F.col("doc_id")).alias("doc_id"), F.when(alone, F.col("th")).alias("th"))
     winners = save(
         found.where("kept").groupBy(name.alias("name")).agg(F.min(F.struct("doc_id", "th")).alias("w")).select(
             F.col("w.doc_id").alias("_wid"), F.col("w.th").alias("_wth")

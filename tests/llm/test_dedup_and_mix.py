@@ -65,7 +65,7 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, width, small_key)
     texts = _families(rnd) + ["", None, "  \n ", "one", "ONE", "One two", "one TWO", "İx a b c d e", "same " * 30, "same " * 31, "w " * 4000]
     rows = [(i * 3, t) for i, t in enumerate(texts)]
     rnd.shuffle(rows)
-    rows += [(None, "one"), (None, "null id only"), rows[0], rows[0]]
+    rows += [(None, "one"), (None, "null id only"), (None, "no id either"), rows[0], rows[0]]
     docs = spark.createDataFrame([(*r, "k", b"s") for r in rows], "doc_id long, text string, key string, sig binary")
     got = D.near_duplicates(docs, width=width)
     have = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got.collect())
@@ -75,6 +75,8 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, width, small_key)
     left = D.deduplicated(docs, width=width)
     assert left.columns == docs.columns
     ids = [r.doc_id for r in left.where("doc_id is not null").collect()]
+    nulls = sorted(r.text for r in left.where("doc_id is null").collect())
+    assert nulls == ["no id either", "null id only"]
     assert len(ids) == len(set(ids)) and set(ids) == {c for d, n, c, k in want if c is not None and k}
 
 
