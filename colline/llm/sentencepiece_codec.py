@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colline.llm.pieces import PrefixCodec, Remembered
 
+# Documents whose ids are held at once.
+ROWS = 128
+
 _WORKER: dict[bytes, tuple[PrefixCodec, Remembered]] = {}
 
 
@@ -52,22 +56,24 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, known = _codec(shared.value)
         for batch in batches:
-            out: list[list] = [[] for _ in fields[1:]]
-            for text in batch.column(1).to_pylist():
-                parts = [known[s] for s in codec.segments(text)]
-                ids = ",".join([p[0] for p in parts])
-                decoded = "".join([p[2] for p in parts])[1:]  # without the space that encoding added
-                row = [
-                    sum([p[1] for p in parts]),
-                    sha256(ids.encode()).hexdigest(),
-                    sha256(decoded.encode("utf-8")).hexdigest(),
-                ]
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                counts, id_digests, text_digests, ids, decoded = [], [], [], [], []
+                for text in part.column(1).to_pylist():
+                    segments = [known[s] for s in codec.segments(text)]
+                    line = ",".join([s[0] for s in segments])
+                    back = "".join([s[2] for s in segments])[1:]  # without the space that encoding added
+                    counts.append(sum([s[1] for s in segments]))
+                    id_digests.append(sha256(line.encode()).hexdigest())
+                    text_digests.append(sha256(back.encode("utf-8")).hexdigest())
+                    if with_ids:
+                        ids.append(np.fromstring(line, dtype=np.int32, sep=",") if line else np.empty(0, np.int32))
+                        decoded.append(back)
+                arrays = [part.column(0), pa.array(counts, pa.int64()), pa.array(id_digests), pa.array(text_digests)]
                 if with_ids:
-                    row += [[int(i) for i in ids.split(",")] if ids else [], decoded]
-                for column, value in zip(out, row):
-                    column.append(value)
-            arrays = [pa.array(c, f.type) for c, f in zip(out, list(schema)[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema=schema)
+                    ends = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
+                    arrays += [pa.ListArray.from_arrays(ends, np.concatenate(ids)), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, ddl)
