@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,11 +95,27 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c.grams)), pa.array(c.grams), pa.array(c.counts)], names=["lang", "gram", "c"])
 
 
+_PACKED = "block long, doc_id long, lang string, packed binary, th long"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the only time that they move."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        packed = pa.array([compress(t.encode("utf-8")) for t in batch.column("packed").to_pylist()], pa.binary())
+        yield batch.set_column(3, "packed", packed)
+
+
+def _texts(packed: pa.Array | pa.ChunkedArray) -> Iterator[str]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return (unpack(z).decode("utf-8") for z in packed.to_pylist())
+
+
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct grams of every length up to ORDER, by block and language."""
     by: dict[tuple[int, str], _Counts] = {}
     for batch in batches:
-        for block, lang, text in zip(*[batch.column(k).to_pylist() for k in (0, 2, 3)]):
+        for block, lang, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), _texts(batch.column(3))):
             by.setdefault((block, lang), _Counts()).add(text_grams(text))
     for (block, lang), c in by.items():
         c.flush()
@@ -145,7 +162,7 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         rows = np.flatnonzero(langs == lang)
         tables[lang] = _log_probabilities(*[c[rows] for c in columns])
     out: list[list] = [[], []]
-    for lang, text in zip(docs.column("lang").to_pylist(), docs.column("text").to_pylist()):
+    for lang, text in zip(docs.column("lang").to_pylist(), _texts(docs.column("packed"))):
         grams, known = text_grams(text), tables.get(lang)
         out[0].append(len(grams))
         out[1].append(float(np.exp(-known[1][np.searchsorted(known[0], grams)].mean())) if known else None)
@@ -214,8 +231,8 @@ def perplexities(docs: DataFrame, model_table: DataFrame, id_col: str = "doc_id"
     th = F.xxhash64(F.col(text_col))
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("bigint"), th), F.lit(blocks)).alias("block"), F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), text.alias("text"), th.alias("th"),
-    ).repartition(blocks, "block")
+        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), text.alias("packed"), th.alias("th"),
+    ).mapInArrow(_pack, _PACKED).repartition(blocks, "block")
     asked = rows.mapInArrow(_ask, "block long, lang string, len int, gram long")
     answers = asked.join(model_table, ["lang", "len", "gram"], "left").select("block", "lang", "len", "gram", "p", "gamma")
     answers = answers.repartition(blocks, "block")
