@@ -12,16 +12,18 @@
    similarity of exactly 0.8 all eleven fail with a chance of 8e-6.
 3. In every key one class is linked to the others (no pairs within a group).
    It is the smallest after turning the fingerprints by a number of bytes that
-   the key tells, so a family that shares many keys gets many centres.  Pairs that pass the bounds on set size and signature distance are
-   confirmed on their full sets.
+   the key tells, so a family that shares many keys gets many centres.  Pairs
+   that pass the bounds on set size and signature distance are confirmed on
+   their full sets.
 4. What this leaves open are pairs of classes that share a key with a third
    class but are in different components so far.  In a key of up to 24 classes
    only the members outside its largest component are paired with the members
    of other components.  Keys of more classes stem from passages that many
    texts share; their classes are paired by the rarest fifth of their shingles
    instead (two sets of similarity 0.8 share one of these, and its place bounds
-   their overlap), again only across components.  These pairs are confirmed in
-   the same way.  So every pair that shares a key is in one component, or was
+   their overlap), again only across components.  Of these pairs, those not
+   tested in step 3 are confirmed in the same way.  So every pair that shares a
+   key is in one component, or was
    tested, or shares no rare shingle and so is below 0.8.
 
 Tables between the steps are written to the shared folder.
@@ -164,6 +166,11 @@ def _full_sets(ends: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     return save(sets.groupBy("set_id").agg(F.first("shingles").alias("shingles")), f"dedup-{name}-sets")
 
 
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """Distinct ``u, v`` with u < v."""
+    return rows.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
+
+
 def _across(members: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
     """``u, v`` from rows ``key, set_id, component, pos, n``: pairs of one key in different
     components.  The members of a key's largest component are not paired with each other."""
@@ -176,7 +183,7 @@ def _across(members: DataFrame, name: str, condition: Column | None = None) -> D
     everyone = torn.select("key", F.col("set_id").alias("y"), F.col("component").alias("cy"), F.col("pos").alias("py"), F.col("n").alias("ny"))
     apart = F.col("cx") != F.col("cy")
     pairs = few.join(everyone, ["key"]).where(apart if condition is None else apart & condition)
-    return pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    return _pairs(pairs, "x", "y")
 
 
 def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
@@ -239,7 +246,8 @@ def similar_classes(
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(turned).alias("first")).where("members > 1")
     shared = shared.withColumn("first", _turned(F.col("first"), F.lit(16) - F.pmod("key", F.lit(16))))
     met = save(keys.join(shared, "key"), "dedup-met")
-    star = met.where(F.col("set_id") != F.col("first")).select(F.col("first").alias("u"), F.col("set_id").alias("v")).distinct()
+    star = _pairs(met.where(F.col("set_id") != F.col("first")), "first", "set_id")
+    star = save(star, "dedup-star")
     links = save(_confirmed(star, classes, rows, width, percent, "star"), "dedup-star-links")
     first = save(components(links, "dedup-first"), "dedup-first")
 
@@ -256,10 +264,12 @@ def similar_classes(
         F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent
     )
     crossing = _across(small, "small").unionAll(_across(own(rare), "rare", possible)).distinct()
+    crossing = crossing.join(star, ["u", "v"], "left_anti")  # these have been tested
     more = save(_confirmed(crossing, classes, rows, width, percent, "cross"), "dedup-cross-links")
     if more.isEmpty():
         return sketched, first
-    return sketched, save(components(links.unionAll(more), "dedup-all"), "dedup-components")
+    joined = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    return sketched, save(components(joined.unionAll(more), "dedup-all"), "dedup-components")
 
 
 def near_duplicates(
