@@ -13,7 +13,8 @@
 3. In every key one class is linked to the others (no pairs within a group).
    It is the smallest after turning the fingerprints by a number of bytes that
    the key tells, so a family that shares many keys gets many centres.  Pairs
-   that pass the bounds on set size and signature distance are confirmed on
+   that pass the bounds on set size, set difference (parity bits of the
+   shingles give an exact lower bound) and signature distance are confirmed on
    their full sets.
 4. What this leaves open are pairs of classes that share a key with a third
    class but are in different components so far.  In a key of up to 24 classes
@@ -32,6 +33,7 @@ Tables between the steps are written to the shared folder.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -48,6 +50,7 @@ CHUNK = PLACES // CHUNKS
 # Pairs whose signatures differ in more places are not confirmed: at a
 # similarity of 0.8 that happens with a chance of 1e-6.
 MOST_DIFFERENT = 30
+PARITY_BITS = 512  # 64 bytes a class
 SMALL_KEY = 24  # classes in a key that are paired directly
 WORDS_REMEMBERED = 300_000
 
@@ -99,20 +102,33 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(8)).astype(np.uint16)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls into each of 512 cells, as bits of 64-bit integers.
+
+    Two sets differ in at least as many shingles as these bits differ.
+    """
+    cells = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketch(width: int):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("sig", pa.list_(pa.int32()))]
+        [
+            ("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
+            ("sig", pa.list_(pa.int32())), ("odd", pa.list_(pa.int64())),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ids, sigs = [], [], []
+            sizes, ids, sigs, odds = [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, width)
                 sizes.append(len(s))
                 ids.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
                 sigs.append(signature(s).tolist() if len(s) else None)
-            arrays = [batch.column(0), batch.column(1), *[pa.array(c, f.type) for c, f in zip((sizes, ids, sigs), list(schema)[2:])]]
+                odds.append(parities(s).tolist() if len(s) else None)
+            arrays = [batch.column(0), batch.column(1), *[pa.array(c, f.type) for c, f in zip((sizes, ids, sigs, odds), list(schema)[2:])]]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return run
@@ -202,15 +218,18 @@ def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """``u, v`` of the pairs whose full sets are similar enough."""
-    side = classes.select("set_id", "n_shingles", "sig")
-    u = side.select(F.col("set_id").alias("u"), F.col("n_shingles").alias("nu"), F.col("sig").alias("su"))
-    v = side.select(F.col("set_id").alias("v"), F.col("n_shingles").alias("nv"), F.col("sig").alias("sv"))
+    side = classes.select("set_id", "n_shingles", "sig", "odd")
+    u = side.select(F.col("set_id").alias("u"), F.col("n_shingles").alias("nu"), F.col("sig").alias("su"), F.col("odd").alias("ou"))
+    v = side.select(F.col("set_id").alias("v"), F.col("n_shingles").alias("nv"), F.col("sig").alias("sv"), F.col("odd").alias("ov"))
     different = F.size(F.filter(F.zip_with("su", "sv", lambda a, b: a != b), lambda x: x))
+    # sets of this similarity differ in at most (100 - percent) / (100 + percent) of the sum of their sizes
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col("ou")[i].bitwiseXOR(F.col("ov")[i])) for i in range(PARITY_BITS // 64)])
+    few = apart * (100 + percent) <= (F.col("nu") + F.col("nv")) * (100 - percent)
     near = save(
         pairs.join(u, "u")
         .join(v, "v")
         .where(
-            (F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent) & (different <= MOST_DIFFERENT)
+            (F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent) & few & (different <= MOST_DIFFERENT)
         )
         .select("u", "v", "nu", "nv"),
         f"dedup-{name}-near",
@@ -232,13 +251,13 @@ def similar_classes(
     of the classes that have a link to another class."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("_doc"), F.col(text_col).alias("_text"))
     sketched = rows.select(F.col("_doc").alias("doc_id"), F.xxhash64("_text").alias("th"), F.col("_text").alias("text")).mapInArrow(
-        _sketch(width), "doc_id long, th long, n_shingles long, set_id binary, sig array<int>"
+        _sketch(width), "doc_id long, th long, n_shingles long, set_id binary, sig array<int>, odd array<bigint>"
     )
     sketched = save(sketched, "dedup-sketch")
     classes = save(
         sketched.where(F.col("n_shingles") > 0)
         .groupBy("set_id")
-        .agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.min("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")),
+        .agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.min("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("odd").alias("odd")),
         "dedup-classes",
     )
     keys = _keys(classes)
