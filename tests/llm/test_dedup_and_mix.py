@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from colline.llm import minhash_dedup as D
@@ -102,6 +103,16 @@ def test_signature_keys_meet_within_the_promised_distance(spark):
     assert all(by[b"0" * 16] & v for v in by.values())
 
 
+def test_parities_never_exceed_the_set_difference():
+    rnd = random.Random(7)
+    for size in (0, 1, 40, 900, 20000):
+        a = {rnd.getrandbits(64) for _ in range(size)}
+        b = {x for x in a if rnd.random() < 0.9} | {rnd.getrandbits(64) for _ in range(size // 10)}
+        x, y = (D.parities(np.array(sorted(s), dtype=np.uint64)) for s in (a, b))
+        assert len(x) * 64 == D.PARITY_BITS
+        assert sum(((int(i) ^ int(j)) & (2**64 - 1)).bit_count() for i, j in zip(x, y)) <= len(a ^ b)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
