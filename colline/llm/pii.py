@@ -8,9 +8,11 @@ digits of a phone number, hexadecimal secrets in small letters.
 A surrogate is drawn for each distinct entity of the whole corpus from a keyed
 hash: digits stay digits, letters stay letters of their script, names follow
 the title's gender and their script, mail domains and IP addresses come from
-reserved ranges.  Draws are checked: a surrogate that another entity holds, or
-that is itself an entity of the corpus, is drawn again, until all are distinct.
-So equal entities have equal surrogates everywhere and different ones differ.
+reserved ranges.  Secrets are taken whole, of any length (up to a space or quote;
+hexadecimal ones to their last digit), and the hash grows with them.  Draws are
+checked: a surrogate that another entity holds, or that is itself an entity of
+the corpus, is drawn again, until all are distinct.  So equal entities have
+equal surrogates everywhere and different ones differ.
 
 Texts are cut at the matches and put together again; only documents with a
 match are joined to their surrogates, by a hash of the text.
@@ -18,6 +20,8 @@ match are joined to their surrogates, by a hash of the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +48,8 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})"
 # The forms that are looked for, by kind; the first that fits names the kind.
 FORMS = {
     "email": r"[\p{L}\p{N}._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-    "secret": r"(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{8,128}",
-    "hex": r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
+    "secret": r"(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{8,}+",
+    "hex": r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])",
     "ip": rf"(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
@@ -111,11 +115,24 @@ def _pick(items: str | list[str], n: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, items)), n % len(items) + 1)
 
 
-def _poured(canon: Column, hex_: Column) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where lambdas in ``body`` use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _blocks(key: str, name: str, message: Column, digits: Column | int) -> Column:
+    """An array of keyed hashes of the message, 64 hex digits each: ``digits`` in all, four hashes at least."""
+    last = F.greatest(F.lit(3), F.floor((F.lit(digits) - 1) / 64).cast("int"))
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.sha2(F.concat(F.lit(f"{key}:{name}"), k.cast("string"), F.lit(":"), message), 256))
+
+
+def _poured(canon: Column, blocks: Column) -> Column:
     """Every digit and letter replaced by one of its own class and script; the rest stays."""
 
     def one(c: Column, i: Column) -> Column:
-        n = _number(hex_, (i * 3) % 250, 3)
+        at = F.floor(i * 3 / 64).cast("int")
+        two = F.concat(F.get(blocks, at), F.coalesce(F.get(blocks, at + 1), F.lit("")))
+        n = _number(two, (i * 3) % 64, 3)
         return (
             F.when(c.rlike("[0-9]"), (n % 10).cast("string"))
             .when(c.rlike("[a-z]"), _pick(list(LATIN), n))
@@ -134,19 +151,24 @@ def _drawn(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     where the form allows, so that short forms do not run out of surrogates."""
     message = F.concat_ws("|", kind, canon, attempt.cast("string"))
     inner = F.sha2(F.concat(F.lit(key + ":"), message), 256)
-    hex_ = F.concat(*[F.sha2(F.concat(F.lit(f"{key}:{k}:"), inner), 256) for k in range(4)])
+    blocks = _let(inner, lambda h: _blocks(key, "", h, F.length(canon) * 3))
+    domain_blocks = _blocks(key, "domain", F.substring_index(canon, "@", -1), 256)
+    return _let(blocks, lambda b: _let(domain_blocks, lambda d: _from_hash(kind, canon, attempt, b, d)))
+
+
+def _from_hash(kind: Column, canon: Column, attempt: Column, blocks: Column, domain_blocks: Column) -> Column:
+    hex_ = F.concat(*[blocks[k] for k in range(4)])
     n = lambda at: _number(hex_, at)
     extra = F.when(attempt > 4, F.lpad((n(200) % 10000).cast("string"), 4, "0")).otherwise(F.lit(""))
-    pour = lambda c: _poured(c, hex_)
+    pour = lambda c: _poured(c, blocks)
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    domain_hex = F.concat(*[F.sha2(F.concat(F.lit(f"{key}:domain{k}:"), domain), 256) for k in range(4)])
     mail = F.concat(
-        pour(local), extra, F.lit("@"), _poured(F.substring_index(domain, ".", 1), domain_hex), F.lit(".example."),
-        _pick(["com", "org", "net"], _number(domain_hex, 240)),
+        pour(local), extra, F.lit("@"), _poured(F.substring_index(domain, ".", 1), domain_blocks), F.lit(".example."),
+        _pick(["com", "org", "net"], _number(domain_blocks[3], 48)),
     )
     ip = F.concat_ws(".", (n(0) % 15 + 240).cast("string"), *[(n(4 * k) % 256).cast("string") for k in (1, 2, 3)])
     ip = F.when(attempt > 8, F.concat_ws(".", (n(0) % 239 + 1).cast("string"), *[(n(4 * k) % 256).cast("string") for k in (1, 2, 3)])).otherwise(ip)
-    secret = F.when(canon.rlike("^[0-9a-f]+$"), F.substr(hex_, F.lit(1), F.length(canon))).otherwise(pour(canon))
+    secret = F.when(canon.rlike("^[0-9a-f]+$"), F.substr(F.array_join(blocks, ""), F.lit(1), F.length(canon))).otherwise(pour(canon))
     out = F.when(kind == "email", mail).when(kind == "ip", ip).when(kind == "secret", F.concat(secret, extra))
     out = out.when(kind.isin("phone", "card", "ssn", "iban"), F.concat(pour(canon), extra))
     for script, sounds in SOUNDS.items():

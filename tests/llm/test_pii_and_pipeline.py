@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -71,6 +72,30 @@ def test_collisions_are_drawn_again(spark):
     assert not {(r.kind, r.surrogate) for r in got} & set(rows)
 
 
+def test_long_secrets_are_replaced_whole(spark):
+    rnd = random.Random(5)
+    draw = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
+    jwt = f"eyJ{draw(base64, 97)}.{draw(base64, 400)}.{draw(base64, 98)}"
+    twin = jwt[:300] + draw(base64, 300)
+    hex_, signature = draw("0123456789abcdef", 512), draw("0123456789ABCDEF", 129)
+    huge = draw(base64, 100_000)
+    assert len(jwt) == 600
+    texts = [f"token={jwt} end", f'secret: "{twin}" end', f"key {hex_} end", f"sig {signature}, end", f"{hex_.upper()}", f"password={huge} end"]
+    got = _one(spark, *texts)
+    new = [re.fullmatch(r'(?:token=|secret: "|key |sig |password=|)([^\s",]+)(?:"|,)?(?: end)?', t)[1] for t, _ in got]
+    old = [jwt, twin, hex_, signature, hex_.upper(), huge]
+    assert [n for _, n in got] == [1] * 6
+    assert [len(s) for s in new] == [len(s) for s in old]
+    for a, b in zip(old, new):
+        assert not {a[i : i + 12] for i in range(len(a) - 11)} & {b[i : i + 12] for i in range(len(b) - 11)}
+        # no part of the hash comes again
+        assert len({b[i : i + 16] for i in range(len(b) - 15)}) == len(b) - 15
+    assert re.fullmatch("[0-9a-f]{512}", new[2]) and new[4] == new[2].upper() and re.fullmatch("[0-9A-F]{129}", new[3])
+    assert [i for i, c in enumerate(new[0]) if c == "."] == [i for i, c in enumerate(jwt) if c == "."]
+    assert new[0][:300] != new[1][:300]
+
+
 def test_texts_without_entities_stay(spark):
     texts = [None, "", " ", "plain text with 12 numbers 3.14 and e.g. this", "Mr", "a@b", "word " * 5000, "日本語 ñ 12.5"]
     assert _one(spark, *texts) == [(t, 0) for t in texts]
