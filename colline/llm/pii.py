@@ -1,8 +1,8 @@
 """PII (operator 8): detected entities get keyed surrogates of their own kind.
 
-Detection is one regular expression.  Every match has one or two entities (a
-titled name has a given and a family name), each with a kind and a canonical
-form, so that spellings of one entity agree: lower-cased mail addresses, the
+Detection is one regular expression.  Every match has one or more entities (a
+titled name has its given names and, last, a family name), each with a kind and
+a canonical form, so that spellings of one entity agree: lower-cased mail addresses, the
 digits of a phone number, hexadecimal secrets in small letters.
 
 A surrogate is drawn for each distinct entity of the whole corpus from a keyed
@@ -30,18 +30,32 @@ from colline.llm.common import save
 # Titles by the gender they tell.
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "господин")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "госпожа")
-# Alphabets by script, small letters.
+# Alphabets by script, small letters; letters of scripts not listed become Latin ones.
 LATIN = "abcdefghijklmnopqrstuvwxyz"
-CYRILLIC = "абвгдежзийклмнопрстуфхцчшщыэюя"
-GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
+LETTERS = {
+    "Cyrillic": "абвгдежзийклмнопрстуфхцчшщыэюя",
+    "Greek": "αβγδεζηθικλμνξοπρστυφχψω",
+    "Armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփք",
+    "Georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ",
+    "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "Devanagari": "कखगघचछजझटठडढतथदधनपफबभमयरलवशसह",
+    "Thai": "กขคงจฉชซดตถทธนบปผพฟมยรลวสหอ",
+    "Han": "安白北成大东方高光海和江金李林明南平青山石水天王文西小新元中",
+    "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ",
+    "Hangul": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호",
+}
 # Sounds that names are made of.
 SOUNDS = {
     "latin": ("ba be bi bo da de di do fa fe ga ge go ka ke ki la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se si so ta te ti to va ve vi".split()),
     "cyrillic": ("ба бе бо ва ве ви га да де ди за зе ка ки ла ле ли ма ме ми на не ни па пе ра ре ри ро са се си та те ти".split()),
+    "greek": ("βα βε γα γε δα δε δι ζα ζε θα θε κα κε κι λα λε λι μα με μι να νε νι πα πε ρα ρε σα σε σι τα τε τι φα φι".split()),
 }
 ENDINGS = {
     "latin": {"given_m": "n rd s er ck".split(), "given_f": "na lla ra ssa lia".split(), "family": "sen man ley ton berg".split()},
     "cyrillic": {"given_m": "н л р мир слав".split(), "given_f": "на ла ра ля ся".split(), "family": "нко чук дзе вич ко".split()},
+    "greek": {"given_m": "νος ρης λος κος".split(), "given_f": "να λια ρα σσα".split(), "family": "ίδης άκης όγλου ίου έας".split()},
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})"
@@ -55,7 +69,7 @@ FORMS = {
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?:\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
     "card": r"\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?!\d)",
-    "name": rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.?[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,30}}(?:[ ]\p{{Lu}}[\p{{L}}'’\-]{{1,30}})?",
+    "name": rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.?(?:[ ]\p{{Lu}}[\p{{L}}'’\-]++)++",
 }
 PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(FORMS.values()) + ")"
 _SECRET_KEY = r"^(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
@@ -79,11 +93,15 @@ def _kind(match: Column) -> Column:
 
 
 def _script(word: Column) -> Column:
-    return F.when(word.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
+    """The script whose sounds a name gets; the letters of others are poured."""
+    out = F.when(word.rlike(r"\p{IsLatin}"), F.lit("latin")).otherwise(F.lit("other"))
+    for script in ("greek", "cyrillic"):
+        out = F.when(word.rlike(rf"\p{{Is{script.title()}}}"), F.lit(script)).otherwise(out)
+    return out
 
 
 def _entities(match: Column) -> Column:
-    """Array of ``kind, canon`` of a match, one or two."""
+    """Array of ``kind, canon`` of a match, one or, in a name, one for each word."""
     kind = _kind(match)
     digits = F.regexp_replace(match, r"\D", "")
     secret = F.regexp_replace(match, _SECRET_KEY, "")
@@ -93,8 +111,11 @@ def _entities(match: Column) -> Column:
     gender = F.when(words[0].rlike(f"^(?:{'|'.join(FEMALE_TITLES)})\\.?$"), F.lit("given_f")).otherwise(F.lit("given_m"))
     family = F.element_at(words, -1)
     last = F.struct(F.concat(F.lit("family:"), _script(family)).alias("kind"), F.lower(family).alias("canon"))
-    given = F.struct(F.concat(gender, F.lit(":"), _script(words[1])).alias("kind"), F.lower(words[1]).alias("canon"))
-    names = F.when(F.size(words) > 2, F.array(given, last)).otherwise(F.array(last))
+    given = F.transform(
+        F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))),
+        lambda w: F.struct(F.concat(gender, F.lit(":"), _script(w)).alias("kind"), F.lower(w).alias("canon")),
+    )
+    names = F.concat(given, F.array(last))
     return (
         F.when(kind == "name", names)
         .when(kind == "email", one(kind, F.lower(match)))
@@ -133,15 +154,12 @@ def _poured(canon: Column, blocks: Column) -> Column:
         at = F.floor(i * 3 / 64).cast("int")
         two = F.concat(F.get(blocks, at), F.coalesce(F.get(blocks, at + 1), F.lit("")))
         n = _number(two, (i * 3) % 64, 3)
-        return (
-            F.when(c.rlike("[0-9]"), (n % 10).cast("string"))
-            .when(c.rlike("[a-z]"), _pick(list(LATIN), n))
-            .when(c.rlike("[A-Z]"), _pick(list(LATIN.upper()), n))
-            .when(c.rlike(r"\p{IsCyrillic}"), _pick(list(CYRILLIC), n))
-            .when(c.rlike(r"\p{IsGreek}"), _pick(list(GREEK), n))
-            .when(c.rlike(r"\p{L}"), _pick(list(LATIN), n))
-            .otherwise(c)
-        )
+        out = F.when(c.rlike("[0-9]"), (n % 10).cast("string"))
+        out = out.when(c.rlike("[a-z]"), _pick(list(LATIN), n)).when(c.rlike("[A-Z]"), _pick(list(LATIN.upper()), n))
+        other = F.lit(None).cast("string")
+        for script, letters in LETTERS.items():
+            other = F.when(c.rlike(rf"\p{{Is{script}}}"), _pick(list(letters), n)).otherwise(other)
+        return out.when(c.rlike(r"\p{L}"), F.coalesce(other, _pick(list(LATIN), n))).otherwise(c)
 
     return F.array_join(F.transform(F.split(canon, "(?!^)"), one), "")
 

@@ -72,6 +72,28 @@ def test_collisions_are_drawn_again(spark):
     assert not {(r.kind, r.surrogate) for r in got} & set(rows)
 
 
+def test_names_of_many_words_and_scripts(spark):
+    long = "Leutheusser-Schnarrenberger-Wolfeschlegelstein"
+    many = " ".join(["Anna"] * 3000)
+    got = _one(
+        spark, "Mr John Paul Smith met Mr Smith and Mr Paul Smith.", f"Frau {long} und Frau Eva Maria {long}", f"Mrs {many} Lee",
+        "Mr Νίκος Παππάς saw Ms Παππάς", "Mr Արամ Սարգսյան", "Mail שלום@d.example.org, 山田@d.example.org",
+    )
+    assert [n for _, n in got] == [3, 2, 1, 2, 1, 2]
+    word = r"([A-Z][a-z]+)"
+    first = re.fullmatch(rf"Mr {word} {word} {word} met Mr {word} and Mr {word} {word}\.", got[0][0])
+    assert first and first[3] == first[4] == first[6] and first[2] == first[5] and first[1] != first[2]
+    assert not {"John", "Paul", "Smith"} & set(first.groups())
+    second = re.fullmatch(rf"Frau {word} und Frau {word} {word} {word}", got[1][0])
+    assert second and second[1] == second[4]
+    third = got[2][0].split(" ")
+    assert len(third) == 3002 and len(set(third)) == 3 and not {"Anna", "Lee"} & set(third)
+    greek = re.fullmatch(r"Mr ([\u0370-\u03ff]+) ([\u0370-\u03ff]+) saw Ms ([\u0370-\u03ff]+)", got[3][0])
+    assert greek and greek[2] == greek[3] != "Παππάς"
+    assert re.fullmatch(r"Mr [\u0531-\u0587]{4} [\u0531-\u0587]{8}", got[4][0]) and "Արամ" not in got[4][0]
+    assert re.fullmatch(r"Mail [\u05d0-\u05ea]{4}@\w\.example\.\w+, [\u4e00-\u9fff]{2}@\w\.example\.\w+", got[5][0])
+
+
 def test_long_secrets_are_replaced_whole(spark):
     rnd = random.Random(5)
     draw = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
