@@ -1,12 +1,14 @@
 """URL filters (operator 6): rules first, then path templates judged by their labelled purity.
 
 Rules fit a host and its subdomains with a path prefix; the longest one that
-fits decides.  The pages that rules decide are the labelled ones of the tree.
+fits decides.  The pages that rules decide are labelled ones of the tree, and so are
+those of a table of labels, if it is given.
 
 Tree.  Level by level, under every host and template so far, the next segment
 becomes a wildcard (with its file ending, if any) if it has the form of an id,
-or if the segments there are many and mostly different; otherwise it stays.  Branches under
-one node whose share of blocked labels does not differ significantly from the
+or if the segments there are many and mostly different; otherwise it stays.  So
+do the segments that the deciding rule names, as its labels tell about these
+alone.  Branches under one node whose share of blocked labels does not differ significantly from the
 share of all labelled branches there are merged into one class.  A class is
 rejected if its smoothed purity, (blocked + a / 2) / (labelled + a), reaches a
 threshold; so a class without labels is let pass.
@@ -64,7 +66,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 
 def path_templates(urls: DataFrame) -> DataFrame:
-    """``urls`` (``host, path, n`` and more, one row per host and path) with ``parent`` and ``template``.
+    """``urls`` (``host, path, n, fixed`` and more, one row per host and path) with ``parent`` and ``template``.
+    The first ``fixed`` segments stay as they are.
 
     One aggregate and one join a level; the deepest path gives the levels, at most :data:`DEPTH`.
     """
@@ -79,7 +82,8 @@ def path_templates(urls: DataFrame) -> DataFrame:
             ((F.count(F.lit(1)) >= MANY) & (F.count(F.lit(1)) >= F.sum("n") * DIFFERENT)).alias("variable")
         )
         segment = F.get("_segments", F.lit(level))
-        general = F.when(F.col("variable") | segment.rlike(ID_FORM), F.concat(F.lit("*"), F.regexp_extract(segment, r"\.[A-Za-z0-9]{1,5}$", 0))).otherwise(segment)
+        loose = (F.col("fixed") <= level) & (F.col("variable") | segment.rlike(ID_FORM))
+        general = F.when(loose, F.concat(F.lit("*"), F.regexp_extract(segment, r"\.[A-Za-z0-9]{1,5}$", 0))).otherwise(segment)
         deeper = F.size("_segments") > level
         nodes = nodes.withColumnRenamed("host", "_h").withColumnRenamed("template", "_t")
         now = now.join(nodes, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")), "left")
@@ -119,10 +123,15 @@ def judged_templates(templates: DataFrame) -> DataFrame:
 
 
 def judge_urls(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, template``, one row per input row.
 
+    ``labels``: ``blocked`` (boolean, nulls tell nothing) beside the url or, without such a
+    column, the id of a page, under the names they have in ``pages``; they count in the
+    tree beside the pages that rules decide, and urls need not be in ``pages``.
+
     ``rule`` is null where the template decided.  A null url, or one without
     ``://``, has an empty host and path and is judged by the empty template of
     the empty host, which no label reaches: allow.  Null ids stay null; repeated
@@ -130,10 +139,24 @@ def judge_urls(
     empty result.  A rule with path ``/`` does not fit an empty path.
     """
     parsed = pages.select(F.col(id_col).cast("bigint").alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    counts = parsed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+    counts = parsed.select("host", "path", F.lit(1).alias("n"), F.lit(None).cast("boolean").alias("label"))
+    if labels is not None:
+        if url_col in labels.columns:
+            known = labels.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), F.col("blocked").alias("label"))
+        else:
+            by_id = labels.select(F.col(id_col).cast("bigint").alias("_id"), F.col("blocked").alias("label"))
+            known = parsed.dropDuplicates().join(by_id, F.col("page_id") == F.col("_id"))
+        known = known.where(F.col("label").isNotNull())
+        counts = counts.unionAll(known.select("host", "path", F.lit(0).alias("n"), F.col("label").cast("boolean").alias("label")))
+    counts = counts.groupBy("host", "path").agg(
+        F.greatest(F.sum("n"), F.count("label")).alias("n"), F.sum("n").alias("_pages"),
+        F.count_if(F.col("label")).alias("_blocked"), F.count_if(~F.col("label")).alias("_allowed"),
+    )
     counts = counts.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    slashes = F.length("_rule.rule") - F.length(F.replace("_rule.rule", F.lit("/"), F.lit("")))
+    counts = counts.withColumn("fixed", F.coalesce(slashes - 1, F.lit(0)))
     for name, verdict in (("blocked", "block"), ("allowed", "allow")):
-        counts = counts.withColumn(name, F.when(F.col("_rule.verdict") == verdict, F.col("n")).otherwise(F.lit(0)))
+        counts = counts.withColumn(name, F.col(f"_{name}") + F.when(F.col("_rule.verdict") == verdict, F.col("_pages")).otherwise(F.lit(0)))
     templates = path_templates(counts)
     judged = judged_templates(templates).select(
         F.col("host").alias("_h"), F.col("parent").alias("_p"), F.col("template").alias("_t"), F.col("verdict").alias("_verdict")

@@ -101,6 +101,21 @@ def test_templates_purity_and_merging(spark):
     assert got["http://site.org/c/2.html"].verdict == "allow"
 
 
+def test_labels_judge_undecided_pages_and_rules_only_their_segment(spark):
+    urls = [f"http://x.example.com/de/p{i}" for i in range(6)] + [f"http://x.example.com/s{k}/p{k}" for k in range(7)]
+    urls += [f"http://h.edu/ads/{i}" for i in range(12)] + [f"http://h.edu/news/{i}" for i in range(12)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    verdicts = lambda **more: {urls[r.page_id]: r.verdict for r in judge_urls(df, **more).collect()}
+    plain = verdicts()
+    assert {u for u, v in plain.items() if v == "block"} == set(urls[:6])
+    rows = [(i, u, "/ads/" in u) for i, u in enumerate(urls) if "h.edu" in u and int(u.rsplit("/", 1)[1]) < 8] + [(3, urls[20], None)]
+    labels = spark.createDataFrame(rows, "page_id long, url string, blocked boolean")
+    want = set(urls[:6]) | {u for u in urls if "/ads/" in u}
+    for given in (labels.drop("page_id"), labels.drop("url")):
+        got = verdicts(labels=given)
+        assert {u for u, v in got.items() if v == "block"} == want and len(got) == len(urls)
+
+
 def test_host_and_path_columns(spark):
     df = spark.createDataFrame([("x://h\n/p\nq?r",)], "url string").select(host_of(F.col("url")), path_of(F.col("url")))
     assert tuple(df.first()) == ("h\n", "/p\nq")
