@@ -18,6 +18,7 @@ from colline.llm.quality_rules import MEASURES, quality_rules
 from colline.llm.sentencepiece_codec import encode_documents
 from colline.llm.token_counts import token_counts
 from colline.llm.url_filters import judge_urls
+from colline.llm.whitening import whitened_rows
 
 # The key of the surrogates; a real run takes it from a secret store.
 PII_KEY = "surrogate-key-1"
@@ -71,11 +72,15 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pareto_mixing, op2_token_counts, op3_chat_snapshots, op4_quality_rules, op5_kneser_ney, op6_url_templates,
-        op7_block_topk, op8_pii_surrogates, op9_sentencepiece, op10_minhash_dedup,
+        op7_block_topk, op8_pii_surrogates, op9_sentencepiece, op10_minhash_dedup, op13_whitening,
     )
 }
 
