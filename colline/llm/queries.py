@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from colline.llm.alignment import alignment_counts
 from colline.llm.block_topk import top_k
 from colline.llm.chat import chat_documents
 from colline.llm.common import table
@@ -23,13 +24,18 @@ from colline.llm.whitening import whitened_rows
 # The key of the surrogates; a real run takes it from a secret store.
 PII_KEY = "surrogate-key-1"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 
-def piece_model() -> bytes:
-    with open(public_tokenizers.path(PIECE_MODEL), "rb") as f:
+def vocabulary(name: str) -> bytes:
+    with open(public_tokenizers.path(name), "rb") as f:
         return f.read()
 
 
+def piece_model() -> bytes:
+    return vocabulary(PIECE_MODEL)
+
+
 def op1_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(table(spark, sf_dir, "documents")).counts().select("doc_id", "size", "source_size", "target", "taken")
 
@@ -72,6 +78,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), piece_model())
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_rows(table(spark, sf_dir, "embeddings"))
 
@@ -80,7 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pareto_mixing, op2_token_counts, op3_chat_snapshots, op4_quality_rules, op5_kneser_ney, op6_url_templates,
-        op7_block_topk, op8_pii_surrogates, op9_sentencepiece, op10_minhash_dedup, op13_whitening,
+        op7_block_topk, op8_pii_surrogates, op9_sentencepiece, op10_minhash_dedup, op11_alignment, op13_whitening,
     )
 }
 
