@@ -11,6 +11,7 @@ from colline.llm.alignment import alignment_counts
 from colline.llm.block_topk import top_k
 from colline.llm.chat import chat_documents
 from colline.llm.common import table
+from colline.llm.jaccard_join import jaccard_components
 from colline.llm.kneser_ney import classify
 from colline.llm.minhash_dedup import near_duplicates
 from colline.llm.mixing import Mix
@@ -82,6 +83,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), piece_model())
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_rows(table(spark, sf_dir, "embeddings"))
 
@@ -90,7 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pareto_mixing, op2_token_counts, op3_chat_snapshots, op4_quality_rules, op5_kneser_ney, op6_url_templates,
-        op7_block_topk, op8_pii_surrogates, op9_sentencepiece, op10_minhash_dedup, op11_alignment, op13_whitening,
+        op7_block_topk, op8_pii_surrogates, op9_sentencepiece, op10_minhash_dedup, op11_alignment, op12_jaccard_join, op13_whitening,
     )
 }
 
@@ -198,6 +203,25 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)
 FROM n LEFT JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
 
+_OP12 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_AZ)} AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS x FROM d
+),
+n AS (SELECT doc_id, len(x)::BIGINT AS n FROM s),
+e AS (SELECT s.doc_id, n.n, unnest(x) AS g FROM s JOIN n USING (doc_id)),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+y AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT a, b FROM y UNION SELECT r.a, y.b FROM r JOIN y ON r.b = y.a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id
+FROM n LEFT JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
 #: The others (library tokenizers, language models, templates and surrogates) are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_pareto_mixing": _OP1,
@@ -205,4 +229,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": _OP4,
     "op7_block_topk": _OP7,
     "op10_minhash_dedup": _OP10,
+    "op12_jaccard_join": _OP12,
 }
