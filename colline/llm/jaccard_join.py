@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colline.llm.common import save, small_side
@@ -118,12 +118,12 @@ def _entries(sets: DataFrame, percent: int, name: str) -> DataFrame:
     """
     tokens = sets.select("id", "n", "u", F.posexplode("part").alias("i", "token"))
     counts = save(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), f"jaccard-{name}-counts")
-    late = (F.col("i") >= F.col("u")).alias("late")
-    shared = tokens.join(counts, "token").groupBy("id", "n", "u").agg(F.sort_array(F.collect_list(F.struct(late, "sets", "token", "i"))).alias("x"))
-    alone = F.col("u") - F.size(F.filter("x", lambda t: ~t["late"]))
-    places = shared.select("id", "n", alone.alias("alone"), F.posexplode("x").alias("at", "t"))
-    pos = F.when(F.col("t.late"), F.col("t.i")).otherwise(F.col("alone") + F.col("at")) + 1
-    out = places.select(F.col("t.token").alias("token"), "id", "n", pos.cast("bigint").alias("pos"))
+    rows = tokens.join(counts, "token").withColumn("late", F.col("i") >= F.col("u"))
+    own = Window.partitionBy("id")  # a set's own shingles
+    shared = F.count(F.when(~F.col("late"), 1)).over(own)
+    rank = F.row_number().over(own.orderBy("late", "sets", "token"))
+    pos = F.when(F.col("late"), F.col("i") + 1).otherwise(F.col("u") - shared + rank)
+    out = rows.select("token", "id", "n", pos.cast("bigint").alias("pos"))
     return save(out.where(F.col("pos") <= prefix_length(F.col("n"), percent)), f"jaccard-{name}-entries")
 
 
