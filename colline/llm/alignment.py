@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -35,8 +36,9 @@ from colline.llm.common import save
 
 BLOCK_BYTES = 2 << 20  # a block ends with the text that reaches this size
 SPACE = "▁"
-# A single space between two characters that are no white space by any Unicode version: side A's
-# pattern always ends a pre-token before it and starts one with it, so texts can be cut there.
+# A single space between two characters that are no white space by any Unicode version.  Side A's
+# pattern always ends a pre-token before it and starts one with it, and no piece of side B goes on
+# across it (checked when the model is loaded), so both encode what is between two cuts on its own.
 WORD_CUT = re.compile("(?<=[^\\s\u180e\u200b]) (?=[^\\s\u180e\u200b])")
 WORDS_REMEMBERED, WORD_LENGTH = 300_000, 64
 
@@ -52,7 +54,11 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoders:
-    """Both tokenizers and the bytes of their tokens; one per worker."""
+    """Both tokenizers and the bytes of their tokens; one per worker.
+
+    Side A spells every text (its vocabulary has all bytes); side B does not
+    where it normalises, for instance the space mark itself to a space.
+    """
 
     def __init__(self, a: bytes, b: bytes):
         import sentencepiece
@@ -78,32 +84,46 @@ class Encoders:
         text = lambda n, end: np.array([f"{i}{end}" for i in range(n)], dtype=object)
         self.a_inner, self.a_last = text(len(self.a_bytes), ","), text(len(self.a_bytes), "|")
         self.b_inner, self.b_last = text(len(pieces), ","), text(len(pieces), ";")
-        self.known: dict[str, list[int]] = {}
-
-    def _encode_a(self, texts: list[str]) -> list[list[int]]:
-        """Ids of a space and each text; words (see :data:`WORD_CUT`) are encoded once while remembered."""
-        words = [WORD_CUT.split(t) for t in texts]
-        if len(self.known) > WORDS_REMEMBERED:
-            self.known.clear()
-        new = list(set(chain.from_iterable(words)).difference(self.known))
-        ids = dict(zip(new, (x.ids for x in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False))))
-        self.known.update((w, x) for w, x in ids.items() if len(w) <= WORD_LENGTH)
-        long = {w: x for w, x in ids.items() if len(w) > WORD_LENGTH}
-        get = (lambda w: long[w] if len(w) > WORD_LENGTH else self.known[w]) if long else self.known.__getitem__
-        return [list(chain.from_iterable(map(get, x))) for x in words]
-
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Token ids of both sides; none where the tokens do not spell a space and the text."""
-        full = [k for k, t in enumerate(texts) if t]
-        ids_a: list[list[int]] = [[] for _ in texts]
-        ids_b: list[list[int]] = [[] for _ in texts]
-        a = self._encode_a([texts[k] for k in full])
-        b = self.b.encode([texts[k] for k in full], num_threads=1, add_bos=False, add_eos=False)
-        for k, x, y in zip(full, a, b):
-            want = b" " + texts[k].encode("utf-8")
-            if b"".join(map(self.a_bytes.__getitem__, x)) == want and b"".join(map(self.b_bytes.__getitem__, y)) == want:
-                ids_a[k], ids_b[k] = x, y
-        return ids_a, ids_b
+        if self.a.normalizer is not None or not set(letters) <= set(vocabulary):
+            raise ValueError("side A is no byte-level vocabulary that spells every text")
+        if any(SPACE in p.lstrip(SPACE) for p in pieces):
+            raise ValueError("pieces that go on after a space: texts can't be cut into words")
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # words that side B does not spell
+
+    def _learn(self, words: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids (32-bit integers as bytes) of a space and each word on both sides."""
+        a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+        b = self.b.encode(words, num_threads=1, add_bos=False, add_eos=False)
+        spell = self.b_bytes.__getitem__
+        self.odd.update(w for w, y in zip(words, b) if b"".join(map(spell, y)) != b" " + w.encode("utf-8"))
+        pack = lambda ids: array("i", ids).tobytes()
+        return dict(zip(words, map(pack, a))), dict(zip(words, map(pack, b)))
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Token ids of both sides as bytes; none where the tokens do not spell a space and the text.
+
+        Words (see :data:`WORD_CUT`) are encoded once while they are remembered.
+        """
+        words = [WORD_CUT.split(t) if t else [] for t in texts]
+        if len(self.known_a) > WORDS_REMEMBERED:
+            self.known_a.clear()
+            self.known_b.clear()
+            self.odd.clear()
+        new = set(chain.from_iterable(words)).difference(self.known_a)
+        short = [w for w in new if len(w) <= WORD_LENGTH]
+        for known, found in zip((self.known_a, self.known_b), self._learn(short)):
+            known.update(found)
+        if len(short) == len(new):
+            get_a, get_b = self.known_a.__getitem__, self.known_b.__getitem__
+        else:
+            long_a, long_b = self._learn([w for w in new if len(w) > WORD_LENGTH])
+            get_a = lambda w: long_a[w] if w in long_a else self.known_a[w]
+            get_b = lambda w: long_b[w] if w in long_b else self.known_b[w]
+        if self.odd:
+            words = [w if self.odd.isdisjoint(w) else [] for w in words]
+        return [b"".join(map(get_a, w)) for w in words], [b"".join(map(get_b, w)) for w in words]
 
 
 def encoders(a: bytes, b: bytes) -> Encoders:
@@ -150,10 +170,8 @@ def _covering(starts: pd.DataFrame, tokens: pd.DataFrame) -> np.ndarray:
 def align(e: Encoders, texts: list[str | None]) -> Aligned:
     """Align the tokens of some texts; both sides of a text spell the same bytes."""
     ids_a, ids_b = e.encode(texts)
-    a_cut = np.cumsum([0, *map(len, ids_a)])
-    b_cut = np.cumsum([0, *map(len, ids_b)])
-    a = np.fromiter(chain.from_iterable(ids_a), dtype=np.int64, count=a_cut[-1])
-    b = np.fromiter(chain.from_iterable(ids_b), dtype=np.int64, count=b_cut[-1])
+    a_cut, b_cut = (np.cumsum([0, *map(len, ids)]) // 4 for ids in (ids_a, ids_b))
+    a, b = (np.frombuffer(b"".join(ids), dtype=np.int32).astype(np.int64) for ids in (ids_a, ids_b))
     a_end, b_end = np.cumsum(e.a_sizes[a]), np.cumsum(e.b_sizes[b])
     a_start, b_start = a_end - e.a_sizes[a], b_end - e.b_sizes[b]
     numbers = np.arange(len(texts))
