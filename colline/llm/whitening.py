@@ -51,7 +51,9 @@ def _packed(x: np.ndarray) -> list[bytes]:
 
 
 def _unpacked(rows: list[bytes]) -> np.ndarray:
-    kinds = {r[:1] for r in rows}
+    kinds, sizes = {r[:1] for r in rows}, {len(r) for r in rows}
+    if len(kinds) == 1 and kinds != {b"t"} and len(sizes) > 1:
+        raise ValueError("vectors of different lengths")
     if kinds == {b"i"}:
         return np.frombuffer(b"".join(r[1:] for r in rows), dtype="<i4").reshape(len(rows), -1).astype(np.int64)
     out = [
