@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from colline.functions.geometry import direction_divisor, direction_key, slope
 from colline.operators.lines import _as_list, collinear_sets
-from colline.sources.text import require
+from colline.sources.text import ref, require
 
 
 def _exploded(lines: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -67,30 +67,38 @@ def anchor_groups(
     )
 
 
-def group_pairs(pairs: DataFrame, group_cols: str | Sequence[str] | None = None, min_points: int = 3) -> DataFrame:
-    """Group given pairs by (anchor, slope): same columns as :func:`anchor_groups`.
-
-    ``pairs`` has ``ax, ay, bx, by_`` (BIGINT) and the group columns.  A group
-    is kept with ``min_points`` or more points that are all different: a pair
-    that is given twice loses its whole group, as in the step-by-step original.
-    Self pairs have no slope and are left out; a NULL coordinate fails the job.
-    Slopes are compared exactly (as directions), never as rounded quotients.
-    """
-    gcols = _as_list(group_cols)
+def turned_pairs(pairs: DataFrame, gcols: list[str]) -> tuple[DataFrame, list[str]]:
+    """(pairs of different points with ``_dx, _dy`` turned so that dx > 0, or dx = 0 and dy > 0, and the
+    names of the exact direction's key columns).  A NULL coordinate fails the job."""
     whole = F.lit(True)
     for c in ("ax", "ay", "bx", "by_"):
         whole = whole & F.col(c).isNotNull()
     dx, dy = F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay")
     turn = (dx < 0) | ((dx == 0) & (dy < 0))
     rows = require(pairs, whole, F.lit("a pair has a NULL coordinate")).where((dx != 0) | (dy != 0))
+    own = [ref(c) for c in gcols]
     rows = rows.select(
-        *gcols, "ax", "ay", "bx", "by_", F.when(turn, -dx).otherwise(dx).alias("_dx"), F.when(turn, -dy).otherwise(dy).alias("_dy")
+        *own, "ax", "ay", "bx", "by_", F.when(turn, -dx).otherwise(dx).alias("_dx"), F.when(turn, -dy).otherwise(dy).alias("_dy")
     )
     rows = rows.withColumn("_div", direction_divisor("_dx", "_dy"))
     key, ux, uy = direction_key("_dx", "_dy", "_div")
+    return rows.select(*own, "ax", "ay", "bx", "by_", "_dx", "_dy", key.alias("_key"), ux.alias("_ux"), uy.alias("_uy")), ["_key", "_ux", "_uy"]
+
+
+def group_pairs(pairs: DataFrame, group_cols: str | Sequence[str] | None = None, min_points: int = 3) -> DataFrame:
+    """Group given pairs by (anchor, slope): same columns as :func:`anchor_groups`.
+
+    ``pairs`` has ``ax, ay, bx, by_`` (BIGINT) and the group columns.  A group
+    is kept with ``min_points`` or more points that are all different: a pair
+    that is given twice loses its whole group, as in the step-by-step original.
+    Self pairs have no slope and are left out; a NULL coordinate fails the job.
+    Slopes are compared exactly (as directions), never as rounded quotients.
+    """
+    gcols = _as_list(group_cols)
+    rows, ray = turned_pairs(pairs, gcols)
     rows = rows.select(
-        *gcols, "ax", "ay", F.struct(F.col("bx").alias("x"), F.col("by_").alias("y")).alias("_b"), key.alias("_key"),
-        ux.alias("_ux"), uy.alias("_uy"), (F.col("_dx") == 0).alias("is_vertical"), slope("_dx", "_dy").alias("slope"),
+        *gcols, "ax", "ay", F.struct(F.col("bx").alias("x"), F.col("by_").alias("y")).alias("_b"), *ray,
+        (F.col("_dx") == 0).alias("is_vertical"), slope("_dx", "_dy").alias("slope"),
     )
     grouped = rows.groupBy(*gcols, "ax", "ay", "_key", "_ux", "_uy", "is_vertical").agg(
         F.min("slope").alias("slope"), F.collect_list("_b").alias("_partners")

@@ -49,7 +49,7 @@ from colline.functions.geometry import (
 )
 from colline.operators.workload import PairWorkload, group_sizes, hot_group_buckets, measure
 from colline.sources.storage import materialize
-from colline.sources.text import points_from
+from colline.sources.text import points_from, ref, split_points
 
 # Coordinates below this bound give differences below EXACT_DOUBLE_BOUND, so the
 # double slope alone is an exact direction key.
@@ -115,7 +115,7 @@ def distinct_points(
     """
     gcols = _as_list(group_cols)
     named = points.select(
-        *[F.col(c).alias(k) for c, k in zip(gcols, _flat_keys(gcols))], F.col(x).alias("_x"), F.col(y).alias("_y")
+        *[ref(c).alias(k) for c, k in zip(gcols, _flat_keys(gcols))], ref(x).alias("_x"), ref(y).alias("_y")
     )
     out = points_from(named, "_x", "_y", _flat_keys(gcols))
     return out.dropDuplicates() if distinct else out
@@ -155,9 +155,16 @@ def prepare(
 
 
 def restore_groups(df: DataFrame, prep: Prepared) -> DataFrame:
-    """Internal key columns back to the caller's group column names, first."""
+    """Internal key columns back to the caller's group column names, first.
+
+    A group column with the name of an output column raises: the result could
+    not be read by name or written.
+    """
     if not prep.group_cols:
         return df
+    clash = sorted(set(prep.group_cols) & (set(df.columns) - set(prep.keys)))
+    if clash:
+        raise ValueError(f"group columns {clash} have names of output columns; rename them")
     rest = [c for c in df.columns if c not in prep.keys]
     if prep.keys == ["_gk"]:
         outs = [F.col("_gk")[k].alias(c) for k, c in zip(_flat_keys(prep.group_cols), prep.group_cols)]
@@ -438,8 +445,12 @@ def assemble_lines(
     return lines.select(*keys, "ux", "uy", c.alias("c"), "n_points", "points")
 
 
-def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
-    """Lines of prepared points (internal key columns kept)."""
+def candidates_of(prep: Prepared) -> list[tuple[DataFrame, list[str], bool]]:
+    """(candidates, their direction columns, whether a line's candidates are in several tasks) by layout.
+
+    A candidate is an anchor with two or more partners in one direction; see
+    the module's steps 3 and 4 for how the points of a line follow from them.
+    """
     small = _small(prep.plan)
 
     def candidates(joined, part_cols):
@@ -451,14 +462,21 @@ def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
     parts = []
     if cold is not None:
         joined, part_cols = colocated_pairs(cold, prep.keys, prep.plan, packed=small)
-        cand, dir_cols = candidates(joined, part_cols)
-        parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
+        parts.append((*candidates(joined, part_cols), False))
     if hot is not None:
         joined, part_cols = split_pairs(hot, prep.keys, prep.plan, packed=small)
-        cand, dir_cols = candidates(joined, part_cols)
-        # a line's candidates come from several buckets: shuffle them by line
-        # directly (a map-side partial aggregate would rarely combine anything)
-        cand = cand.repartition(*prep.keys, *dir_cols, "_lx", "_ly")
+        parts.append((*candidates(joined, part_cols), True))
+    return parts
+
+
+def lines_of(prep: Prepared, min_points: int = 3) -> DataFrame:
+    """Lines of prepared points (internal key columns kept)."""
+    parts = []
+    for cand, dir_cols, spread in candidates_of(prep):
+        if spread:
+            # a line's candidates come from several buckets: shuffle them by line
+            # directly (a map-side partial aggregate would rarely combine anything)
+            cand = cand.repartition(*prep.keys, *dir_cols, "_lx", "_ly")
         parts.append(assemble_lines(cand, prep.keys, dir_cols, prep.plan.max_abs, min_points))
     out = parts[0]
     for p in parts[1:]:
@@ -496,9 +514,9 @@ def collinear_sets(
     input rows with all their columns.
     """
     if mode == "permissive":
-        good, bad = points_from(points, x, y, _as_list(group_cols), mode)
+        good, bad = split_points(points, x, y)
         out = collinear_sets(
-            good, group_cols, "x", "y", min_points, pairs_per_task=pairs_per_task,
+            good, group_cols, x, y, min_points, pairs_per_task=pairs_per_task,
             broadcast_max_bytes=broadcast_max_bytes, materialize_points=materialize_points, return_plan=return_plan,
         )
         return (out[0], bad, out[1]) if return_plan else (out, bad)

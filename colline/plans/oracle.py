@@ -192,6 +192,76 @@ def parse_points_permissive_sql() -> str:
 FROM lineitem"""
 
 
+def _members_of(points_sql: str, lines: str = "lt") -> str:
+    """Points (g, x, y) on each of ``lines`` (g, ux, uy, c)."""
+    return f"""SELECT l.g, l.ux, l.uy, l.c, q.x, q.y FROM {lines} l JOIN ({points_sql}) q
+  ON q.g = l.g AND CAST(l.ux AS HUGEINT) * q.y - CAST(l.uy AS HUGEINT) * q.x = l.c"""
+
+
+def points_on_lines_sql() -> str:
+    ctes = _lines_ctes(_points_cte("(SELECT * FROM lineitem WHERE l_orderkey % 2 = 1)", "l_linenumber", "l_quantity", "l_partkey"), True)
+    return f"""WITH {ctes},
+on_line AS ({_members_of(_points_cte(*PER_PART))})
+SELECT g AS l_partkey, ux, uy, c, count(*) AS n_points, string_agg({_txt('x', 'y')}, ';' ORDER BY x, y) AS points
+FROM on_line GROUP BY g, ux, uy, c"""
+
+
+def third_points_sql() -> str:
+    """Every pair's line by its own two points, then the order's points tested against it."""
+    return f"""WITH p AS (SELECT l_orderkey AS g, x, y FROM ({_order_points(True)})),
+d AS (SELECT a.g, a.x, a.y, b.x - a.x AS dx, b.y - a.y AS dy FROM p a JOIN p b ON a.g = b.g AND (a.x < b.x OR (a.x = b.x AND a.y < b.y))),
+l AS (SELECT DISTINCT g, dx // gcd(dx, abs(dy)) AS ux, dy // gcd(dx, abs(dy)) AS uy,
+        CAST((dx // gcd(dx, abs(dy))) * y - (dy // gcd(dx, abs(dy))) * x AS DECIMAL(38, 0)) AS c FROM d)
+SELECT l.g AS l_orderkey, l.ux, l.uy, l.c, p.x, p.y FROM l JOIN p ON l.g = p.g AND l.ux * p.y - l.uy * p.x = l.c"""
+
+
+def lines_paged_sql(size: int) -> str:
+    ctes = _lines_ctes(_points_cte("lineitem", "l_linenumber", "l_quantity", "l_suppkey"), True)
+    return f"""WITH {ctes},
+r AS (SELECT *, count(*) OVER (PARTITION BY g, ux, uy, c) AS n_points,
+        (row_number() OVER (PARTITION BY g, ux, uy, c ORDER BY x, y) - 1) // {size} AS page FROM m)
+SELECT g AS l_suppkey, ux, uy, c, n_points, page, string_agg({_txt('x', 'y')}, ';' ORDER BY x, y) AS points
+FROM r GROUP BY g, ux, uy, c, n_points, page"""
+
+
+def set_differences_sql() -> str:
+    """Both sides' sets by the line-key method, EXCEPT both ways."""
+    sides = {
+        "l": _lines_ctes(_points_cte(*PER_PART), True),
+        "r": _lines_ctes(_points_cte("(SELECT * FROM lineitem WHERE l_linenumber <> 4)", *PER_PART[1:]), True),
+    }
+    ctes = ", ".join(f"{s} AS (WITH {c} SELECT g, points FROM lt)" for s, c in sides.items())
+    return f"""WITH {ctes}
+SELECT g AS l_partkey, 'left' AS side, points FROM (SELECT g, points FROM l EXCEPT SELECT g, points FROM r) a
+UNION ALL
+SELECT g AS l_partkey, 'right' AS side, points FROM (SELECT g, points FROM r EXCEPT SELECT g, points FROM l) b"""
+
+
+_FILE_KEY = "l_returnflag || '|' || l_linestatus"
+
+
+def process_files_sql() -> str:
+    source = f"(SELECT *, {_FILE_KEY} AS k FROM lineitem WHERE l_orderkey % 50 <> 0)"
+    ctes = _lines_ctes(_points_cte(source, "l_linenumber", "l_quantity", "k"), True)
+    names = ", ".join(f"split_part(g, '|', {i}) AS {c}" for i, c in ((1, "l_returnflag"), (2, "l_linestatus")))
+    return f"WITH {ctes}\nSELECT {names}, ux, uy, c, n_points, points FROM lt"
+
+
+def process_file_rejects_sql() -> str:
+    return """SELECT l_returnflag, l_linestatus, 'not two integers separated by one space' AS reason, true AS names_its_file,
+       CAST(l_linenumber AS VARCHAR) || ' ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.0' AS value, count(*) AS n
+FROM lineitem WHERE l_orderkey % 50 = 0 GROUP BY ALL"""
+
+
+def write_sets_roundtrip_sql() -> str:
+    ctes = _lines_ctes(_points_cte(*PER_PART), True)
+    return f"""WITH {ctes},
+b AS (SELECT *, CASE WHEN g % 2 = 1 THEN 'odd' ELSE 'even' END AS batch FROM lt)
+SELECT g AS l_partkey, ux, uy, c, n_points, points, batch, count(*) OVER (PARTITION BY batch) AS batch_rows,
+       CAST(sum(n_points) OVER (PARTITION BY batch) AS BIGINT) AS batch_points
+FROM b"""
+
+
 ORACLE_SQL = {
     "parse_points": parse_points_sql(),
     "parse_points_permissive": parse_points_permissive_sql(),
@@ -212,4 +282,13 @@ ORACLE_SQL = {
     "sets_from_text_per_part": sets_by_anchor_sql(),
     "points_quarantine": points_quarantine_sql(),
     "same_sets": same_sets_sql(),
+    "set_differences": set_differences_sql(),
+    "points_on_lines_per_part": points_on_lines_sql(),
+    "third_points_per_order": third_points_sql(),
+    "lines_rich_customer": lines_sql(*CUSTOMER) + " WHERE n_points >= 12",
+    "extend_lines_per_part": lines_sql(*PER_PART),
+    "lines_paged_per_supplier": lines_paged_sql(8),
+    "process_files": process_files_sql(),
+    "process_file_rejects": process_file_rejects_sql(),
+    "write_sets_roundtrip": write_sets_roundtrip_sql(),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from colline.operators.anchors import collinear_sets_by_anchor
 from colline.operators.lines import _as_list, collinear_sets
-from colline.sources.text import parse_points
+from colline.sources.text import parse_points, read_points, ref
 
 
 def build_collinear_set(
@@ -22,7 +22,7 @@ def build_collinear_set(
     gcols = _as_list(group_cols)
     parsed = parse_points(text, col, mode)
     pts, rejects = parsed if mode == "permissive" else (parsed, None)
-    sets = collinear_sets_by_anchor(pts.select(*gcols, "x", "y"), gcols)
+    sets = collinear_sets_by_anchor(pts.select(*[ref(c) for c in gcols], "x", "y"), gcols)
     return (sets, rejects) if mode == "permissive" else sets
 
 
@@ -33,13 +33,13 @@ def process(
     """File(s) of ``"x y"`` lines to one row per maximal collinear set.
 
     ``group_cols`` names partition columns of the path (``g=1/part.txt``).
-    Permissive mode returns ``(sets, rejects)``.  The reference collected a
+    Permissive mode returns ``(sets, rejects)``; rejects name the file and block
+    they come from (see :func:`colline.sources.text.read_points`).  The reference collected a
     Python set on the driver; here the de-duplicated result stays a distributed
     DataFrame (write it, or collect it in tests).
     """
     gcols = _as_list(group_cols)
-    text = spark.read.text([path] if isinstance(path, str) else list(path))
-    parsed = parse_points(text, "value", mode)
+    parsed = read_points(spark, path, mode, group_cols=gcols)
     pts, rejects = parsed if mode == "permissive" else (parsed, None)
-    sets = collinear_sets(pts.select(*gcols, "x", "y"), gcols, min_points=min_points)
+    sets = collinear_sets(pts, gcols, min_points=min_points)
     return (sets, rejects) if mode == "permissive" else sets

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from colline.functions.geometry import points_text
 from colline.operators.anchors import anchor_groups, collinear_sets_by_anchor, format_groups, group_pairs
-from colline.operators.compare import set_difference_counts
+from colline.operators.compare import fingerprint_difference_counts, line_fingerprints, pair_fingerprints, set_differences
+from colline.operators.incidence import extend_lines, line_sets, lines_through, points_on_lines, rich_lines
 from colline.operators.lines import collinear_sets, line_params
+from colline.operators.members import paged_lines
 from colline.operators.pairs import cartesian, ordered_pairs, with_slope
-from colline.plans.process import build_collinear_set
+from colline.plans.process import build_collinear_set, process
+from colline.sources.sink import read_batches, read_manifest, write_batch
+from colline.sources.storage import new_path
 from colline.sources.text import parse_points, points_from
 
 
@@ -170,19 +174,94 @@ def q_same_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The two sides share nothing but the points.
     """
+    pts = lineitem_by(spark, sf_dir, "l_partkey").distinct()
+    left = pair_fingerprints(ordered_pairs(pts, "l_partkey"), "l_partkey")
+    return fingerprint_difference_counts(left, line_fingerprints(pts, "l_partkey"), "l_partkey")
+
+
+def q_set_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with answers: the sets of all line items against those without line number 4, per part."""
     pts = lineitem_by(spark, sf_dir, "l_partkey")
-    grouped = group_pairs(ordered_pairs(pts, "l_partkey"), "l_partkey")
-    left = grouped.withColumn("points", F.sort_array("points"))
-    lines = collinear_sets(pts, "l_partkey")
+    full = collinear_sets(pts, "l_partkey")
+    less = collinear_sets(pts.where("x <> 4"), "l_partkey")
+    return _flat(set_differences(full, less, group_cols="l_partkey"))
+
+
+def _order_split(spark: SparkSession, sf_dir: str, chosen: str) -> tuple[DataFrame, DataFrame]:
+    """Points of the line items per part: those of the orders ``chosen``, and the others."""
+    pts = points_from(table(spark, sf_dir, "lineitem"), "l_linenumber", "l_quantity", group_cols=["l_partkey", "l_orderkey"])
+    cols = ["l_partkey", "x", "y"]
+    return pts.where(chosen).select(*cols), pts.where(f"not ({chosen})").select(*cols)
+
+
+def q_points_on_lines_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the odd orders' points, with the points of all orders on them, per part."""
+    odd, even = _order_split(spark, sf_dir, "l_orderkey % 2 = 1")
+    members = points_on_lines(odd.unionAll(even), collinear_sets(odd, "l_partkey"), "l_partkey")
+    return _flat(line_sets(members, "l_partkey"))
+
+
+def q_third_points_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 from given pairs: for every ordered pair of an order, all points of the order on its line."""
+    pts = lineitem_by(spark, sf_dir, "l_orderkey")
+    lines = lines_through(ordered_pairs(pts, "l_orderkey"), "l_orderkey")
+    return points_on_lines(pts, lines, "l_orderkey")
+
+
+def q_lines_rich_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 for lines of twelve points or more, by the pigeonhole search."""
+    return _flat(rich_lines(customer_points(spark, sf_dir), 12))
+
+
+def q_extend_lines_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3/A5 kept up to date: the lines without the orders divisible by 7, then with these added, per part."""
+    new, old = _order_split(spark, sf_dir, "l_orderkey % 7 = 0")
+    return _flat(extend_lines(collinear_sets(old, "l_partkey"), old, new, "l_partkey"))
+
+
+def q_lines_paged_per_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/A4/A5 with bounded rows: the lines of each supplier in pages of eight points."""
+    return _flat(paged_lines(lineitem_by(spark, sf_dir, "l_suppkey"), "l_suppkey", page_size=8))
+
+
+# Columns of lineitem whose values name the folders of the text files.
+FILE_GROUPS = ["l_returnflag", "l_linestatus"]
+
+
+def _point_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write every line item as a text line into folders by flag and status; orders
+    divisible by 50 as ``"3 17.0"``, which is no integer point.  Returns the folder."""
+    li = table(spark, sf_dir, "lineitem")
+    whole = F.col("l_quantity").cast("bigint").cast("string")
+    odd = F.concat(whole, F.lit(".0"))
+    text = F.concat(F.col("l_linenumber").cast("string"), F.lit(" "), F.when(F.col("l_orderkey") % 50 == 0, odd).otherwise(whole))
+    path = new_path(spark, "point-files")
+    li.select(*FILE_GROUPS, text.alias("value")).write.partitionBy(*FILE_GROUPS).text(path)
+    return path
+
+
+def q_process_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in partition folders to sets per folder, bad lines set aside."""
+    sets, _ = process(spark, _point_files(spark, sf_dir), "permissive", group_cols=FILE_GROUPS)
+    return _flat(sets)
+
+
+def q_process_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines set aside, with their folder, reason and whether they name a file of that folder."""
+    _, bad = process(spark, _point_files(spark, sf_dir), "permissive", group_cols=FILE_GROUPS)
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.replace(F.col(c), F.lit(" "), F.lit("%20"))) for c in FILE_GROUPS])
+    named = F.contains(F.col("file"), folder) & F.col("block_start").isNotNull()
+    return bad.groupBy(*FILE_GROUPS, "value", "reason", named.alias("names_its_file")).agg(F.count(F.lit(1)).alias("n"))
 
-    # compare (group, set) pairs: fold the group into the set value
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.select(
-            F.transform("points", lambda p: F.struct(F.col("l_partkey").alias("g"), p["x"].alias("x"),
-                                                     p["y"].alias("y"))).alias("points")
-        )
 
-    return set_difference_counts(keyed(left), keyed(lines))
+def q_write_sets_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the lines per part written as two batches, one of them twice, and read back with the manifest."""
+    path = new_path(spark, "set-batches")
+    lines = collinear_sets(lineitem_by(spark, sf_dir, "l_partkey"), "l_partkey")
+    for batch in ("odd", "even", "odd"):
+        write_batch(lines.where(F.col("l_partkey") % 2 == (1 if batch == "odd" else 0)), path, batch)
+    listed = read_manifest(spark, path).select("batch", F.col("rows").alias("batch_rows"), F.col("points").alias("batch_points"))
+    return _flat(read_batches(spark, path)).join(listed, "batch")
 
 
 QUERIES = {
@@ -205,4 +284,13 @@ QUERIES = {
     "sets_from_text_per_part": q_sets_from_text_per_part,
     "points_quarantine": q_points_quarantine,
     "same_sets": q_same_sets,
+    "set_differences": q_set_differences,
+    "points_on_lines_per_part": q_points_on_lines_per_part,
+    "third_points_per_order": q_third_points_per_order,
+    "lines_rich_customer": q_lines_rich_customer,
+    "extend_lines_per_part": q_extend_lines_per_part,
+    "lines_paged_per_supplier": q_lines_paged_per_supplier,
+    "process_files": q_process_files,
+    "process_file_rejects": q_process_file_rejects,
+    "write_sets_roundtrip": q_write_sets_roundtrip,
 }

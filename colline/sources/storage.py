@@ -45,10 +45,16 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def new_path(spark: SparkSession, name: str, base: str | None = None) -> str:
+    """A fresh path in the shared folder, remembered for :func:`release`."""
+    path = f"{(base or shared_dir(spark)).rstrip('/')}/colline-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def _write(df: DataFrame, base: str, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     spark = df.sparkSession
-    path = f"{base.rstrip('/')}/colline-{name}-{uuid.uuid4().hex}"
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = new_path(spark, name, base)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
