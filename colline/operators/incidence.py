@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import direction_divisor, direction_key, gcd_bounded, int_div
-from colline.operators.lines import _as_list, _flat_keys, collinear_sets, distinct_points
+from colline.operators.lines import _as_list, _flat_keys, candidates_of, distinct_points, prepare, restore_groups
+from colline.sources.storage import materialize_always
 from colline.sources.text import ref
 from colline.operators.workload import (
     BROADCAST_MAX_BYTES,
@@ -154,7 +155,12 @@ def lines_through(
 
 
 def _members(pts: DataFrame, lines: DataFrame, keys: list[str], bound: int | None) -> tuple[DataFrame, GroupWork]:
-    """``keys, ux, uy, c, x, y`` of distinct points on distinct lines (internal key names)."""
+    """``keys, ux, uy, c, x, y`` of distinct points on distinct lines (internal key names).
+
+    The line keys are written to the checkpoint folder first: they are counted,
+    reduced to directions and joined, and must not be searched for each time.
+    """
+    lines = materialize_always(lines, "line-keys")
     dirs = lines.select(*keys, "ux", "uy").distinct()
     plan = GroupWork(pts, dirs, keys, F.greatest(F.abs("x"), F.abs("y")), F.greatest(F.col("ux"), F.abs("uy")), bound)
     small = 2 * plan.left_max * plan.right_max < 1 << 62
@@ -212,10 +218,10 @@ def line_sets(members: DataFrame, group_cols: str | Sequence[str] | None = None,
 def pigeonhole(min_points: int) -> tuple[int, int]:
     """(buckets m, points s in one of them) for lines of at least ``min_points``: s = ceil(k / m).
 
-    More buckets form fewer pairs, but s = 3 leaves many chance lines to look
-    up, so m is the largest with s >= 4, and 2 with s = 3 where there is none.
+    More buckets form fewer pairs, but a small s leaves many chance lines to
+    look up, so m is the largest with s >= 5, and 2 where there is none.
     """
-    best = max((m for m in range(1, min_points) if math.ceil(min_points / m) >= 4), default=1)
+    best = max((m for m in range(1, min_points) if math.ceil(min_points / m) >= 5), default=1)
     if best == 1 and min_points >= 5:
         best = 2
     return best, math.ceil(min_points / best)
@@ -238,8 +244,14 @@ def rich_lines(
     keys = _flat_keys(gcols)
     pts = distinct_points(points, gcols, x, y)
     dealt = pts.withColumn("_in", F.pmod(F.xxhash64("x", "y"), F.lit(m)))
-    found = collinear_sets(dealt, [*keys, "_in"], min_points=s, broadcast_max_bytes=broadcast_max_bytes)
-    members, _ = _members(pts, found.select(*keys, *LINE).distinct(), keys, broadcast_max_bytes)
+    prep = prepare(dealt, [*keys, "_in"], "x", "y", distinct=False, broadcast_max_bytes=broadcast_max_bytes)
+    found = None
+    for cand, _, _ in candidates_of(prep):
+        # the first point of a line of s points in a bucket has s - 1 partners; no other candidate is needed
+        first = restore_groups(cand.where(F.col("_cnt") >= s - 1).select(*prep.keys, "ax", "ay", "_lx", "_ly"), prep)
+        part = _with_line(first, "ax", "ay", "_lx", "_ly", keys)
+        found = part if found is None else found.unionByName(part)
+    members, _ = _members(pts, found.distinct(), keys, broadcast_max_bytes)
     out = line_sets(members, keys, min_points)
     return out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
 
@@ -288,7 +300,7 @@ def extend_lines(
         .where(F.col("_n") >= min_points - 1)
     )
     # any partner will do: all of a ray are on its line
-    touched = _with_line(rays, "ax", "ay", "_bx", "_by", keys).distinct()
+    touched = materialize_always(_with_line(rays, "ax", "ay", "_bx", "_by", keys).distinct(), "touched-lines")
     members, _ = _members(everything, touched, keys, broadcast_max_bytes)
     changed = line_sets(members, keys, min_points)
     before = lines.select(*[ref(c).alias(k) for c, k in zip(gcols, keys)], *LINE, "n_points", "points")

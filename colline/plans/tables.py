@@ -18,7 +18,7 @@ from colline.operators.members import paged_lines
 from colline.operators.pairs import cartesian, ordered_pairs, with_slope
 from colline.plans.process import build_collinear_set, process
 from colline.sources.sink import read_batches, read_manifest, write_batch
-from colline.sources.storage import new_path
+from colline.sources.storage import materialize_always, new_path
 from colline.sources.text import parse_points, points_from
 
 
@@ -174,7 +174,7 @@ def q_same_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The two sides share nothing but the points.
     """
-    pts = lineitem_by(spark, sf_dir, "l_partkey").distinct()
+    pts = materialize_always(lineitem_by(spark, sf_dir, "l_partkey").distinct(), "points")
     left = pair_fingerprints(ordered_pairs(pts, "l_partkey"), "l_partkey")
     return fingerprint_difference_counts(left, line_fingerprints(pts, "l_partkey"), "l_partkey")
 
