@@ -11,13 +11,15 @@ A query first searches its own range; its k-th score there is a floor.  Then it
 meets every range, batch by batch of queries: blocks are taken in the order of
 their bounds and scored through the forward index until the bound of the next
 block falls below the k-th score so far (or the floor).  A score equal to the
-k-th still counts, as ties go to the smaller id.  Each range sends at most k
+k-th still counts, as ties go to the smaller id.  A row is named by its range
+and place, so rows with one id are rows of their own.  Each range sends at most k
 results a query, none below the floor; a window picks the k best of these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,9 @@ from colline.llm.common import save
 RANGE, BLOCK, SCALE = 2048, 128, 64.0
 
 
+SMALL = 2**31  # weights below it are kept as 32-bit integers, a range with larger ones as doubles (whole numbers)
+
+
 def _weights(vectors: list[list[float] | None]) -> tuple[list[int], np.ndarray]:
     """Positions of the usable vectors, and floor(64 * x) of their components (shorter ones padded with 0)."""
     good = [i for i, v in enumerate(vectors) if v is not None and all(x is not None for x in v) and np.isfinite(v).all()]
@@ -37,35 +42,36 @@ def _weights(vectors: list[list[float] | None]) -> tuple[list[int], np.ndarray]:
     out = np.zeros((len(good), width), dtype=np.float64)
     for row, i in enumerate(good):
         out[row, : len(vectors[i])] = vectors[i]
-    out = np.floor(out * SCALE)
-    if out.size and np.abs(out).max() >= 2**31:
-        raise ValueError("a component is too large: |64 x| must stay below 2**31")
-    return good, out.astype(np.int32)
+    # beyond 2**53 every double is whole, so the scaling is exact there; it is done on less than the largest double
+    out = np.where(np.abs(out) < 2.0**1000, np.floor(np.clip(out, -(2.0**1000), 2.0**1000) * SCALE), np.nan)
+    if np.isnan(out).any():
+        raise ValueError("a component of 2**1000 or more has no score")
+    return good, out.astype(np.int32) if np.abs(out).max(initial=0.0) < SMALL else out
+
+
+def _array(data: bytes, wide: bool) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.float64 if wide else np.int32)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges of consecutive rows of a sorted partition, one output row each."""
-    part, count, last = TaskContext.get().partitionId(), 0, -(2**63)
+    part, count = TaskContext.get().partitionId(), 0
     ids: list[int] = []
     vectors: list = []
 
     def emit(n: int) -> pa.RecordBatch | None:
         nonlocal count
-        nonlocal last
         good, w = _weights(vectors[:n])
         kept = np.array([ids[i] for i in good], dtype=np.int64)
-        new = np.flatnonzero(np.diff(kept, prepend=last) != 0)  # the first usable row of each id
-        kept, w = kept[new], w[new]
         del ids[:n], vectors[:n]
         if not len(kept):
             return None
-        last = int(kept[-1])
         starts = range(0, len(kept), BLOCK)
-        high = np.array([w[s : s + BLOCK].max(axis=0) for s in starts], dtype=np.int32)
-        low = np.array([w[s : s + BLOCK].min(axis=0) for s in starts], dtype=np.int32)
+        high = np.array([w[s : s + BLOCK].max(axis=0) for s in starts], dtype=w.dtype)
+        low = np.array([w[s : s + BLOCK].min(axis=0) for s in starts], dtype=w.dtype)
         count += 1
-        row = [part * 2**32 + count, w.shape[1], kept.tobytes(), w.tobytes(), high.tobytes(), low.tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["range", "width", "ids", "weights", "high", "low"])
+        row = [part * 2**24 + count, w.dtype == np.float64, w.shape[1], kept.tobytes(), w.tobytes(), high.tobytes(), low.tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["range", "wide", "width", "ids", "weights", "high", "low"])
 
     for batch in batches:
         ids += batch.column(0).to_pylist()
@@ -78,55 +84,67 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``range, width, ids, weights, high, low``: the block index of all usable vectors.
+    """``range, wide, width, ids, weights, high, low``: the block index of all usable vectors.
 
     Rows with a null id take no part, nor do vectors that are null or hold a
-    null or non-finite component.  Of several rows with one id the first usable
-    one in the order of vectors takes part.  Components beyond |64 x| < 2**31 raise.
+    null or non-finite component.  Every other row is indexed, rows with one id
+    as well: a row's name is its range and its place there.
     """
     rows = vectors.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v")
     )
     parts = max(1, -(-rows.count() // (4 * RANGE)))
     rows = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "v")
-    return save(rows.mapInArrow(_pack, "range long, width long, ids binary, weights binary, high binary, low binary"), "topk-index")
+    return save(rows.mapInArrow(_pack, "range long, wide boolean, width long, ids binary, weights binary, high binary, low binary"), "topk-index")
 
 
 class _Range:
-    """One row of the index, unpacked."""
+    """One row of the index, unpacked.  ``names`` are those of its rows: range * 2048 + place."""
+
+    def __init__(self, r: dict):
+        self.ids = np.frombuffer(r["ids"], dtype=np.int64)
+        self.names = r["range"] * RANGE + np.arange(len(self.ids))
+        self.weights = _array(r["weights"], r["wide"]).reshape(len(self.ids), r["width"])
+        self.high = _array(r["high"], r["wide"]).reshape(-1, r["width"])
+        self.low = _array(r["low"], r["wide"]).reshape(-1, r["width"])
 
-    def __init__(self, width: int, ids: bytes, weights: bytes, high: bytes, low: bytes):
-        self.ids = np.frombuffer(ids, dtype=np.int64)
-        self.weights = np.frombuffer(weights, dtype=np.int32).reshape(len(self.ids), width)
-        self.high = np.frombuffer(high, dtype=np.int32).reshape(-1, width)
-        self.low = np.frombuffer(low, dtype=np.int32).reshape(-1, width)
+    def search(self, query_names: np.ndarray, queries: np.ndarray, floors: list[int | None], k: int):
+        """For each query its best k of this range with a score of at least its floor: (scores, ids).
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int):
-        """For each query its best k of this range with a score of at least its floor: (scores, ids)."""
+        Scores are exact: doubles where products and sums stay below 2**53,
+        else 64-bit integers, else Python's.
+        """
         width = min(self.weights.shape[1], queries.shape[1])
-        biggest = int(max(np.abs(self.weights).max(initial=0), np.abs(queries).max(initial=0)))
-        if biggest * biggest * max(width, 1) >= 2**63:
-            raise ValueError("scores do not fit 64 bits")
-        kind = np.float64 if biggest * biggest * max(width, 1) < 2**53 else np.int64  # either is exact
-        w, q = self.weights[:, :width].astype(kind), queries[:, :width].astype(kind)
-        up, down = self.high[:, :width].astype(kind), self.low[:, :width].astype(kind)
+        most = int(np.abs(self.weights).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(width, 1)
+        kind = np.float64 if most < 2**53 else np.int64 if most < 2**63 else object
+
+        def exact(x: np.ndarray) -> np.ndarray:
+            x = x[:, :width]
+            return np.array([[int(c) for c in row] for row in x], dtype=object).reshape(x.shape) if kind is object else x.astype(kind)
+
+        w, q, up, down = map(exact, (self.weights, queries, self.high, self.low))
         bounds = np.maximum(q, 0) @ up.T + np.minimum(q, 0) @ down.T
         orders = np.argsort(-bounds, axis=1, kind="stable")
         for i in range(len(q)):
             scores, ids, floor = np.empty(0, kind), np.empty(0, np.int64), floors[i]
             for b in orders[i]:
-                if bounds[i, b] < floor:
+                if floor is not None and bounds[i, b] < floor:
                     break
                 rows = slice(b * BLOCK, (b + 1) * BLOCK)
                 s, d = w[rows] @ q[i], self.ids[rows]
-                good = (s >= floor) & (d != query_ids[i])
+                good = self.names[rows] != query_names[i]
+                if floor is not None:
+                    good &= (s >= floor).astype(bool)
                 if good.any():
                     scores, ids = np.concatenate([scores, s[good]]), np.concatenate([ids, d[good]])
                     if len(scores) >= k:
-                        best = np.lexsort((ids, -scores))[:k]
+                        best = np.lexsort((ids, -scores))[:k] if kind is not object else sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k]  # noqa: B023
                         scores, ids = scores[best], ids[best]
-                        floor = max(floor, int(scores[-1]))
-            yield scores.astype(np.int64), ids
+                        floor = int(scores[-1]) if floor is None else max(floor, int(scores[-1]))
+            yield [int(x) for x in scores], ids
+
+
+_BATCH_SQL = "batch long, qwide boolean, qwidth long, qnames binary, qids binary, queries binary, floors array<string>"
 
 
 def _batches(k: int, every: int):
@@ -135,38 +153,38 @@ def _batches(k: int, every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                at = _Range(r["width"], r["ids"], r["weights"], r["high"], r["low"])
+                at = _Range(r)
                 mine = np.flatnonzero(at.ids % every == 0)
                 if not len(mine):
                     continue
-                ids, q = at.ids[mine], at.weights[mine]
-                none = np.full(len(ids), -(2**62), dtype=np.int64)
-                floors = [int(s[-1]) if len(s) >= k else -(2**62) for s, _ in at.search(ids, q, none, k)]
-                row = [r["range"], r["width"], ids.tobytes(), q.tobytes(), np.array(floors, dtype=np.int64).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["batch", "qwidth", "qids", "queries", "floors"])
+                names, q = at.names[mine], at.weights[mine]
+                floors = [str(s[-1]) if len(s) >= k else None for s, _ in at.search(names, q, [None] * len(names), k)]
+                row = [r["range"], r["wide"], r["width"], names.tobytes(), at.ids[mine].tobytes(), q.tobytes()]
+                columns = [pa.array([x]) for x in row] + [pa.array([floors], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["batch", "qwide", "qwidth", "qnames", "qids", "queries", "floors"])
 
     return run
 
 
 def _search(k: int):
+    """``query_name, query_id, vec_id, score``: a range's best k for each query of a batch."""
+    names = ["query_name", "query_id", "vec_id", "score"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
                 r = batch.slice(n, 1).to_pylist()[0]
-                at = _Range(r["width"], r["ids"], r["weights"], r["high"], r["low"])
-                qids = np.frombuffer(r["qids"], dtype=np.int64)
-                queries = np.frombuffer(r["queries"], dtype=np.int32).reshape(len(qids), r["qwidth"])
-                found = list(at.search(qids, queries, np.frombuffer(r["floors"], dtype=np.int64), k))
+                qnames, qids = (np.frombuffer(r[c], dtype=np.int64) for c in ("qnames", "qids"))
+                queries = _array(r["queries"], r["qwide"]).reshape(len(qids), r["qwidth"])
+                floors = [None if f is None else int(f) for f in r["floors"]]
+                found = list(_Range(r).search(qnames, queries, floors, k))
                 sizes = [len(s) for s, _ in found]
                 if sum(sizes):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(qids, sizes)),
-                            pa.array(np.concatenate([d for _, d in found])),
-                            pa.array(np.concatenate([s for s, _ in found])),
-                        ],
-                        names=["query_id", "vec_id", "score"],
-                    )
+                    scores = [x for s, _ in found for x in s]
+                    if max(map(abs, scores)) >= 10**38:
+                        raise ValueError("a score of more than 38 digits")
+                    columns = [np.repeat(qnames, sizes), np.repeat(qids, sizes), np.concatenate([d for _, d in found])]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([Decimal(x) for x in scores], pa.decimal128(38, 0))], names=names)
 
     return run
 
@@ -175,18 +193,20 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     """``query_id, rank, vec_id, score``: for every vector whose id is divisible by ``every``,
     the ``k`` other vectors with the highest inner product of floor(64 x), ties to the smaller id.
 
-    All candidates if there are fewer than ``k``.  A query does not meet
-    vectors with its own id; of repeated ids one row takes part (see
-    :func:`build_index`).  Vectors of different length count as 0 where one has
-    no component.  An empty table, or one without a
-    query, gives an empty result.
+    All candidates if there are fewer than ``k``.  Every usable row is a
+    candidate for every query but itself: rows with the query's id and other
+    rows with one id count too, and each row with a query's id is a query of its
+    own.  Vectors of different length count as 0 where one has no component.
+    Ranks go by exact scores; a score that does not fit a BIGINT is null, one
+    of more than 38 digits raises, as does a component of 2**1000 or more.  An
+    empty table, or one without a query, gives an empty result.
     """
     index = build_index(vectors, id_col, vector_col)
-    queries = index.mapInArrow(_batches(k, every), "batch long, qwidth long, qids binary, queries binary, floors binary")
-    queries = save(queries, "topk-queries")
+    queries = save(index.mapInArrow(_batches(k, every), _BATCH_SQL), "topk-queries")
     groups = max(1, index.count() // 2)  # every group of ranges gets a copy of the query batches
     left = queries.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     right = index.withColumn("g", F.pmod(F.xxhash64("range"), F.lit(groups)).cast("int"))
-    found = left.join(right, "g").drop("g", "batch", "range").mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    line = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = left.join(right, "g").drop("g", "batch").mapInArrow(_search(k), "query_name long, query_id long, vec_id long, score decimal(38,0)")
+    line = Window.partitionBy("query_name").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", F.col("score").try_cast("bigint").alias("score"))
