@@ -32,6 +32,8 @@ HEADLINE = [
     "lines_customer",
     "lines_per_part",
     "lines_per_supplier",
+    "lines_rich_customer",
+    "points_on_lines_per_part",
     "anchor_groups",
     "same_sets",
     "ordered_pairs_per_order",
