@@ -2,9 +2,9 @@
 
 Segments.  A merge joins two neighbours only if their concatenation is a piece,
 so a boundary that lies inside no piece is never crossed and the segments on
-its two sides encode independently.  :data:`SEGMENT_CLASSES` cuts between
+its two sides encode independently.  :func:`segment_patterns` cut between
 letters, digits, line ends and other characters and before every run of
-spaces; :class:`PrefixCodec` checks on loading that no piece of the vocabulary
+spaces; :class:`Segmenter` checks on loading that no piece of the vocabulary
 is cut, and otherwise cuts before runs of spaces only (and, if even that cuts
 a piece, not at all).
 
