@@ -61,7 +61,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", sentencepiece),
 ]
 
-# Words in windows, similarity classes, surrogates and token ids are beyond SQL; see tests/llm/test_pipeline.py.
+# Words in windows, similarity classes, surrogates and token ids are beyond SQL; see tests/llm/test_pii_and_pipeline.py.
 ORACLE_SQL = None
 
 
