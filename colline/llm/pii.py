@@ -14,15 +14,22 @@ checked: a surrogate that another entity holds, or that is itself an entity of
 the corpus, is drawn again, until all are distinct.  So equal entities have
 equal surrogates everywhere and different ones differ.
 
-Texts are cut at the matches and put together again; only documents with a
-match are joined to their surrogates, by a hash of the text.
+Names are found by their titles.  The words of the names of a document are then
+looked up in the rest of that document: a whole word that starts with a capital
+and equals one of them gets the same surrogate, with or without a possessive
+ending.  A title that tells no gender takes that of the same given name with
+another title in the document, if there is one.
+
+The expression runs once over every text; texts and matches are written to the
+shared folder.  Texts are cut at the matches and put together again; only
+documents with a match are joined to their surrogates, by a hash of the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colline.llm.common import save
@@ -30,6 +37,7 @@ from colline.llm.common import save
 # Titles by the gender they tell.
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "господин")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "госпожа")
+OTHER_TITLES = ("Dr", "Prof", "Doctor", "Professor", "Doktor", "Docteur", "Professeur", "Doctora", "доктор", "профессор")
 # Alphabets by script, small letters; letters of scripts not listed become Latin ones.
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 LETTERS = {
@@ -53,11 +61,17 @@ SOUNDS = {
     "greek": ("βα βε γα γε δα δε δι ζα ζε θα θε κα κε κι λα λε λι μα με μι να νε νι πα πε ρα ρε σα σε σι τα τε τι φα φι".split()),
 }
 ENDINGS = {
-    "latin": {"given_m": "n rd s er ck".split(), "given_f": "na lla ra ssa lia".split(), "family": "sen man ley ton berg".split()},
-    "cyrillic": {"given_m": "н л р мир слав".split(), "given_f": "на ла ра ля ся".split(), "family": "нко чук дзе вич ко".split()},
-    "greek": {"given_m": "νος ρης λος κος".split(), "given_f": "να λια ρα σσα".split(), "family": "ίδης άκης όγλου ίου έας".split()},
+    "latin": {"given_m": "n rd s er ck".split(), "given_f": "na lla ra ssa lia".split(), "given_n": "ri lin el".split(), "family": "sen man ley ton berg".split()},
+    "cyrillic": {"given_m": "н л р мир слав".split(), "given_f": "на ла ра ля ся".split(), "given_n": "ша ня".split(), "family": "нко чук дзе вич ко".split()},
+    "greek": {"given_m": "νος ρης λος κος".split(), "given_f": "να λια ρα σσα".split(), "given_n": "ι υ".split(), "family": "ίδης άκης όγλου ίου έας".split()},
 }
 
+# One or more titles with the spaces after them.
+_TITLES = rf"(?:(?:{'|'.join(sorted(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES, key=len, reverse=True))})\.?[ ])++"
+# What an entity's own word leaves out at its end.
+_ENDING = r"(?:['’]s|['’\-]+)$"
+# A word of a text, or what is between two words.
+_TOKENS = r"[\p{L}\p{M}\p{N}]+(?:['’\-]+[\p{L}\p{M}\p{N}]+)*+|[^\p{L}\p{M}\p{N}]++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d{1,2})"
 # The forms that are looked for, by kind; the first that fits names the kind.
 FORMS = {
@@ -68,8 +82,8 @@ FORMS = {
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?:\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
-    "card": r"\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?!\d)",
-    "name": rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.?(?:[ ]\p{{Lu}}[\p{{L}}'’\-]++)++",
+    "card": r"(?:\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?!\d)",
+    "name": _TITLES + r"\p{Lu}[\p{L}\p{M}'’\-]++(?:[ ]\p{Lu}[\p{L}\p{M}'’\-]++)*+",
 }
 PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(FORMS.values()) + ")"
 _SECRET_KEY = r"^(?i:token|secret|password|passwd|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
@@ -100,6 +114,12 @@ def _script(word: Column) -> Column:
     return out
 
 
+def _head_and_words(match: Column) -> tuple[Column, Column]:
+    """The titles of a name (with the space after them) and its words."""
+    head = F.regexp_extract(match, "^" + _TITLES, 0)
+    return head, F.split(F.substr(match, F.length(head) + 1), " ")
+
+
 def _entities(match: Column) -> Column:
     """Array of ``kind, canon`` of a match, one or, in a name, one for each word."""
     kind = _kind(match)
@@ -107,15 +127,17 @@ def _entities(match: Column) -> Column:
     secret = F.regexp_replace(match, _SECRET_KEY, "")
     secret = F.when(secret.rlike(_HEX), F.lower(secret)).otherwise(secret)
     one = lambda k, c: F.array(F.struct(k.alias("kind"), c.alias("canon")))
-    words = F.split(match, " ")
-    gender = F.when(words[0].rlike(f"^(?:{'|'.join(FEMALE_TITLES)})\\.?$"), F.lit("given_f")).otherwise(F.lit("given_m"))
-    family = F.element_at(words, -1)
-    last = F.struct(F.concat(F.lit("family:"), _script(family)).alias("kind"), F.lower(family).alias("canon"))
-    given = F.transform(
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w: F.struct(F.concat(gender, F.lit(":"), _script(w)).alias("kind"), F.lower(w).alias("canon")),
+    titles, words = _head_and_words(match)
+    gender = F.lit("given_n")
+    for given, listed in (("given_m", MALE_TITLES), ("given_f", FEMALE_TITLES)):
+        gender = F.when(titles.rlike(rf"(?:^|[ ])(?:{'|'.join(listed)})\.?[ ]"), F.lit(given)).otherwise(gender)
+    bare = F.transform(words, lambda w: F.regexp_replace(w, _ENDING, ""))
+    names = F.transform(
+        bare,
+        lambda w, i: F.struct(
+            F.concat(F.when(i == F.size(bare) - 1, F.lit("family")).otherwise(gender), F.lit(":"), _script(w)).alias("kind"), F.lower(w).alias("canon")
+        ),
     )
-    names = F.concat(given, F.array(last))
     return (
         F.when(kind == "name", names)
         .when(kind == "email", one(kind, F.lower(match)))
@@ -221,6 +243,26 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     raise ValueError("the surrogates of some form ran out")
 
 
+def _named(word: Column, surrogate: Column) -> Column:
+    """A name's surrogate in the case of the word it stands for, with that word's ending."""
+    bare = F.regexp_replace(word, _ENDING, "")
+    shouted = (F.upper(bare) == bare) & (F.length(bare) > 1)
+    return F.concat(F.when(shouted, F.upper(surrogate)).otherwise(F.initcap(surrogate)), F.regexp_extract(word, _ENDING, 0))
+
+
+def _mentions(rest: Column, names: Column) -> Column:
+    """``rest`` (what is between matches) with the document's own name words replaced; ``names`` maps them to surrogates."""
+
+    def one(word: Column) -> Column:
+        known = F.coalesce(names[F.lower(word)], names[F.lower(F.regexp_replace(word, _ENDING, ""))])
+        # a word that is a name with its ending keeps it, one that is itself the name has none
+        whole = names[F.lower(word)].isNotNull()
+        new = F.when(whole & (F.upper(word) == word), F.upper(known)).when(whole, F.initcap(known)).otherwise(_named(word, known))
+        return F.when(word.rlike(r"^\p{Lu}"), F.coalesce(new, word)).otherwise(word)
+
+    return F.array_join(F.transform(F.regexp_extract_all(rest, F.lit(_TOKENS), F.lit(0)), one), "")
+
+
 def _rendered(match: Column, parts: Column) -> Column:
     """The match with its surrogates in its own format."""
     kind, value = _kind(match), parts[0]
@@ -235,10 +277,10 @@ def _rendered(match: Column, parts: Column) -> Column:
     )
     head = F.regexp_extract(match, _SECRET_KEY, 0)
     bare = F.regexp_replace(match, _SECRET_KEY, "")
-    title = F.substring_index(match, " ", 1)
-    names = F.array_join(F.transform(parts, F.initcap), " ")
+    title, words = _head_and_words(match)
+    names = F.array_join(F.zip_with(words, parts, _named), " ")
     return (
-        F.when(kind == "name", F.concat(title, F.lit(" "), names))
+        F.when(kind == "name", F.concat(title, names))
         .when(kind.isin("phone", "card", "ssn", "iban"), poured)
         .when(kind.isin("secret", "hex"), F.concat(head, F.when(bare.rlike(_HEX), copy_case(value, bare)).otherwise(value)))
         .when(kind == "email", copy_case(value, match))
@@ -255,37 +297,41 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     here, as they are; with ``count_col``, the number of matches in a column of that name.
 
     Null and empty texts and texts without a match stay as they are.  Whole
-    texts are searched; repeated rows and equal texts get equal results; an
-    empty table gives an empty result.  The same key gives the same draws for
-    the same set of entities.
+    texts are searched, of any length; where two forms fit at one place the one
+    listed first names the kind; a word that is a given and a family name of its
+    document gets the family's surrogate where it stands without a title.
+    Repeated rows and equal texts get equal results; an empty table gives an
+    empty result.  The same key gives the same draws for the same set of
+    entities.  Mentions without a title do not count as matches.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    base = docs.select(row, F.col(text_col).cast("string").alias("_text"))
-    hit = F.coalesce(F.col("_text").rlike(PATTERN), F.lit(False))
-    found = save(
-        base.where(hit).select(*_text_key(F.col("_text")), matches(F.col("_text")).alias("_m")).groupBy("_t1", "_t2").agg(F.first("_m").alias("_m")),
-        "pii-matches",
-    )
+    text = F.col("_row")[text_col].cast("string")
+    scanned = docs.select(row).select("_row", F.coalesce(matches(text), F.array().cast("array<string>")).alias("_m"))
+    scanned = save(scanned, "pii-scanned")
+    hits = scanned.where(F.size("_m") > 0)
+    found = save(hits.select(*_text_key(text), "_m").groupBy("_t1", "_t2").agg(F.first("_m").alias("_m")), "pii-matches")
     places = found.select("_t1", "_t2", F.posexplode("_m").alias("_pos", "_match"))
-    parts = save(
-        places.select("_t1", "_t2", "_pos", "_match", F.posexplode(_entities(F.col("_match"))).alias("_part", "_e")).select(
-            "_t1", "_t2", "_pos", "_match", "_part", F.col("_e.kind").alias("kind"), F.col("_e.canon").alias("canon")
-        ),
-        "pii-parts",
+    parts = places.select("_t1", "_t2", "_pos", "_match", F.posexplode(_entities(F.col("_match"))).alias("_part", "_e")).select(
+        "_t1", "_t2", "_pos", "_match", "_part", F.col("_e.kind").alias("kind"), F.col("_e.canon").alias("canon")
     )
+    told = F.min(F.when(F.col("kind").rlike("^given_[fm]:"), F.col("kind"))).over(Window.partitionBy("_t1", "_t2", "canon"))
+    parts = parts.withColumn("kind", F.when(F.col("kind").startswith("given_n:"), F.coalesce(told, "kind")).otherwise(F.col("kind")))
+    parts = save(parts, "pii-parts")
     drawn = surrogates(save(parts.select("kind", "canon").distinct(), "pii-entities"), key)
-    filled = parts.join(drawn, ["kind", "canon"])
+    filled = save(parts.join(drawn, ["kind", "canon"]), "pii-filled")
     one = filled.groupBy("_t1", "_t2", "_pos").agg(
         F.first("_match").alias("_match"), F.sort_array(F.collect_list(F.struct("_part", "surrogate"))).alias("_s")
     )
     one = one.select("_t1", "_t2", F.struct("_pos", _rendered(F.col("_match"), F.col("_s.surrogate")).alias("_new")).alias("_new"))
     new = one.groupBy("_t1", "_t2").agg(F.sort_array(F.collect_list("_new")).alias("_new"))
-    new = save(new.select("_t1", "_t2", F.col("_new._new").alias("_new")), "pii-new")
+    words = filled.where(F.col("kind").contains(":")).groupBy("_t1", "_t2", "canon").agg(F.min(F.struct("kind", "surrogate")).alias("_s"))
+    words = words.groupBy("_t1", "_t2").agg(F.map_from_entries(F.collect_list(F.struct("canon", F.col("_s.surrogate")))).alias("_names"))
+    new = save(new.join(words, ["_t1", "_t2"], "left").select("_t1", "_t2", F.col("_new._new").alias("_new"), "_names"), "pii-new")
 
-    rest = F.split(F.col("_text"), PATTERN, -1)
+    rest = F.split(text, PATTERN, -1)
+    rest = F.when(F.col("_names").isNull(), rest).otherwise(F.transform(rest, lambda r: _mentions(r, F.col("_names"))))
     together = F.array_join(F.zip_with(rest, F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = base.where(hit).select("_row", "_text", *_text_key(F.col("_text"))).join(new, ["_t1", "_t2"])
-    changed = changed.select("_row", together.alias("_text"), F.size("_new").alias("_n"))
-    out = base.where(~hit).select("_row", "_text", F.lit(0).alias("_n")).unionAll(changed)
+    changed = hits.select("_row", *_text_key(text)).join(new, ["_t1", "_t2"]).select("_row", together.alias("_text"), F.size("_new").alias("_n"))
+    out = scanned.where(F.size("_m") == 0).select("_row", text.alias("_text"), F.lit(0).alias("_n")).unionAll(changed)
     columns = [F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns]
     return out.select(*columns, *([F.col("_n").alias(count_col)] if count_col else []))

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline as P
+from colline.llm import pii as PII
 from colline.llm.minhash_dedup import shingle_set
 from colline.llm.pii import pseudonymise, surrogates
 from colline.llm.quality_rules import RULES, Text, base_failed
@@ -128,6 +129,125 @@ def test_texts_without_entities_stay(spark):
     assert n == 5 and "x@y" not in new and len(set(re.findall(r"\S+@\S+", new))) == 1
 
 
+def _brute_pii(text, draws):
+    """Text and number of matches, straight from the description; ``draws``: (kind, canon) to surrogate."""
+    import regex
+
+    py = lambda p: p.replace(r"\d", "[0-9]").replace(r"\D", "[^0-9]").replace(r"[^\s", r"[^ \t\n\x0b\f\r").replace(r"\s", r"[ \t\n\x0b\f\r]").replace(r"\p{Is", r"\p{Script=")
+    ending = regex.compile(r"(?:['’]s|['’\-]+)\Z")
+    script = lambda w: next((s for s in ("cyrillic", "greek", "latin") if regex.search(rf"\p{{Script={s}}}", w)), "other")
+    bare = lambda w: ending.sub("", w)
+    shout = lambda w: len(w) > 1 and w.upper() == w
+    form = lambda w, s: (s.upper() if shout(bare(w)) else s[:1].upper() + s[1:]) + w[len(bare(w)):]
+    if not text:
+        return text, 0
+    found = []
+    for m in regex.finditer(py(PII.PATTERN), text):
+        kind = next(k for k, f in PII.FORMS.items() if regex.fullmatch(py(f), m[0]))
+        head = regex.match(py(PII._TITLES), m[0])[0] if kind == "name" else ""
+        found.append((m.start(), m.end(), kind, head, m[0][len(head):]))
+    gender, ents = {}, []
+    for _, _, kind, head, body in found:
+        if kind != "name":
+            continue
+        titles = {t.rstrip(".") for t in head.split()}
+        g = "given_f" if titles & set(PII.FEMALE_TITLES) else "given_m" if titles & set(PII.MALE_TITLES) else "given_n"
+        ws = body.split(" ")
+        for k, w in enumerate(ws):
+            ents.append((("family" if k == len(ws) - 1 else g), bare(w).lower(), script(bare(w))))
+            if k < len(ws) - 1 and g != "given_n":
+                key = (bare(w).lower(), script(bare(w)))
+                gender[key] = min(gender.get(key, g), g)
+    told = lambda p, c, s: gender.get((c, s), p) if p == "given_n" else p
+    words = {}
+    for p, c, s in ents:
+        kind = f"{told(p, c, s)}:{s}"
+        if c not in words or kind < words[c]:
+            words[c] = kind
+
+    def rest(part):
+        def one(m):
+            w = m[0]
+            if not regex.match(r"\p{Lu}", w):
+                return w
+            if w.lower() in words:
+                s = draws[words[w.lower()], w.lower()]
+                return s.upper() if w.upper() == w else s[:1].upper() + s[1:]
+            c = bare(w).lower()
+            return form(w, draws[words[c], c]) if c in words else w
+
+        return regex.sub(r"[\p{L}\p{M}\p{N}]+(?:['’\-]+[\p{L}\p{M}\p{N}]+)*", one, part)
+
+    out, at, named = [], 0, iter(ents)
+    for a, b, kind, head, body in found:
+        out.append(rest(text[at:a]))
+        at, m = b, text[a:b]
+        if kind == "name":
+            new = [form(w, draws[f"{told(p, c, s)}:{s}", c]) for w, (p, c, s) in zip(body.split(" "), named)]
+            out.append(head + " ".join(new))
+        elif kind == "email":
+            s = draws["email", m.lower()]
+            out.append(s.upper() if m.upper() == m else s)
+        elif kind in ("phone", "card", "ssn", "iban"):
+            canon = m.replace(" ", "") if kind == "iban" else re.sub("[^0-9]", "", m)
+            left = iter(draws[kind, canon])
+            new = "".join(next(left, c) if re.match("[0-9A-Za-z]", c) else c for c in m)
+            out.append(new + "".join(left))
+        elif kind in ("secret", "hex"):
+            key = regex.match(py(PII._SECRET_KEY), m)
+            head = key[0] if key else ""
+            plain = m[len(head):]
+            hexed = re.fullmatch("[0-9a-f]+|[0-9A-F]+", plain)
+            s = draws["secret", plain.lower() if hexed else plain]
+            out.append(head + (s.upper() if hexed and plain.upper() == plain and plain.lower() != plain else s))
+        else:
+            out.append(draws[kind, m])
+    return "".join(out) + rest(text[at:]), len(found)
+
+
+NAMED = [
+    "Mr John Smith called. Smith said John Smith will pay. Smith's car, SMITH, smith and Smithson stay or go.",
+    "Dr. Anna Lee met Mrs. Anna Lee; Prof. Dr. Anna-Maria O'Brien saw Anna. O'Brien's, Lee’s and Lee-Young",
+    "Dr. Kim Park wrote. Kim Park, KIM, kim.", "Herr Dr. Müller kam; MÜLLER und Müllers.", "Mr Paul Smith and Mrs Paul: Paul!",
+    "доктор Иван Петров, Иван и Петров; господин Иван Сидоров", "Mr Smith's car and Mr JAMES' own. James",
+    "pay 3782 822463 10005 or 3782-822463-10005", "Mr Smith\nSmith\t(Smith) Smith2 Smith_x token=Smith12345 Smith@mail.example.org",
+    "Mr John Smith called. Smith said John Smith will pay. Smith's car, SMITH, smith and Smithson stay or go.", None, "", "Smith alone has no title.",
+]
+
+
+def test_whole_texts_equal_brute_force(spark):
+    docs = [(i, t) for i, t in enumerate(NAMED)] + [(100, "Mr Ann Lee " * 400 + "and Ann " * 400)]
+    docs += [(r.doc_id + 1000, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n) for r in pseudonymise(df, "k", count_col="n").collect()}
+    assert len(got) == len(docs)
+    # the surrogate table of all entities that the description finds
+    asked = set()
+
+    class Ask(dict):
+        def __missing__(self, entity):
+            asked.add(entity)
+            return ""
+
+    for _, t in docs:
+        _brute_pii(t, Ask())
+    table = spark.createDataFrame(sorted(asked), "kind string, canon string")
+    draws = {(r.kind, r.canon): r.surrogate for r in surrogates(table, "k").collect()}
+    for i, t in docs:
+        assert got[i] == _brute_pii(t, draws), i
+
+
+def test_mentions_without_a_title(spark):
+    got = _one(spark, *[t for t in NAMED[:4]])
+    first = re.fullmatch(r"Mr (\w+) (\w+) called\. (\w+) said (\w+) (\w+) will pay\. (\w+)'s car, ([A-Z]+), smith and Smithson stay or go\.", got[0][0])
+    assert first and first[1] == first[4] != "John"
+    assert first[2] == first[3] == first[5] == first[6] == first[7].capitalize() != "Smith"
+    second = re.fullmatch(r"Dr\. (\w+) (\w+) met Mrs\. (\w+) (\w+); Prof\. Dr\. .*", got[1][0])
+    assert second and second[1] == second[3] and second[2] == second[4] and "Anna" not in got[1][0]
+    assert "Park" not in got[2][0] and "ller" not in got[3][0].replace("Müllers", "") and "Dr." in got[3][0]
+    assert [n for _, n in got] == [1, 3, 1, 1]
+
+
 def _links(texts):
     sets = [set(shingle_set(t, 5).tolist()) for t in texts]
     parent = list(range(len(texts)))
