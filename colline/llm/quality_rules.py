@@ -1,12 +1,15 @@
 """Quality rules (operator 4): a short-circuit cascade ordered by rejection per cost.
 
 Every rule looks at one text and rejects it or not.  Before the main pass each
-rule runs on the first rows of every input partition; this gives its cost and,
-through the set of rules that reject each sampled text, its selectivity among
-the texts that earlier rules let pass.  The cascade takes, again and again, the
-rule with the highest rejection per cost among the texts still alive, and a
-text leaves it at the first rule that rejects it.  The order changes the time,
-never the verdict: a text is kept exactly if no rule rejects it.
+rule runs on those of the first rows of every input partition that pass the base
+rule; this gives its cost and, through the set of rules that reject each sampled
+text, its selectivity among the texts that earlier rules let pass.  The measures
+of the result cost a rule nothing, as they are taken of every text.  A measure
+that several rules share and the result does not have is timed by itself and
+charged to the rule that comes first in the cascade.  The cascade takes, again
+and again, the rule with the highest rejection per cost among the texts still
+alive, and a text leaves it at the first rule that rejects it.  The order
+changes the time, never the verdict: a text is kept exactly if no rule rejects it.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ import operator
 import time
 import unicodedata
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cache, cached_property
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 SYMBOLS = "#*$%&|<>"
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
-# Rows of every input partition on which the rules are timed.
+# Rows of every input partition from which the texts come on which the rules are timed.
 SAMPLED_PER_PARTITION = 12
 
 
@@ -91,8 +94,11 @@ class Text:
 
 @dataclass(frozen=True)
 class Rule:
+    """``needs``: the measures of :class:`Text` it reads that are not in the result."""
+
     name: str
     rejects: Callable[[Text], bool]
+    needs: tuple[str, ...] = ()
 
 
 def _mean_length(t: Text) -> bool:
@@ -145,8 +151,8 @@ RULES = (
     Rule("mean_word_length", _mean_length),
     Rule("symbols", _symbols),
     Rule("dup_lines", _dup_lines),
-    Rule("letters", _letters),
-    Rule("capitals", _capitals),
+    Rule("letters", _letters, ("letters",)),
+    Rule("capitals", _capitals, ("letters",)),
     Rule("exclamations", _exclamations),
     Rule("one_word", _one_word),
     Rule("stutter", _stutter),
@@ -159,58 +165,87 @@ def base_failed(t: Text) -> bool:
     return len(t.words) < 10 or 100 * t.repeat_words > 20 * len(t.words)
 
 
-def cascade_order(sampled: Sequence[tuple[int, int]], costs: Sequence[float]) -> list[int]:
+def _shared(rules: Sequence[Rule]) -> list[str]:
+    """The measures that rules need beside those of the result."""
+    return sorted({m for r in rules for m in r.needs})
+
+
+def time_rules(texts: Iterable[str | None], rules: Sequence[Rule]) -> list[tuple[int, list[float]]]:
+    """For each text that passes the base: the rules that reject it as bits; seconds of
+    every rule with its measures present, then seconds of every shared measure."""
+    out = []
+    for text in texts:
+        t = Text(text)
+        if base_failed(t):
+            continue
+        for m in ("word_chars", "symbols", "lines", "dup_lines"):  # the result has them anyway
+            getattr(t, m)
+        mask, spent, seconds = 0, [], {}
+        for m in _shared(rules):
+            began = time.perf_counter()
+            getattr(t, m)
+            seconds[m] = time.perf_counter() - began
+        for k, rule in enumerate(rules):
+            began = time.perf_counter()
+            mask |= bool(rule.rejects(t)) << k
+            spent.append(time.perf_counter() - began)
+        out.append((mask, spent + list(seconds.values())))
+    return out
+
+
+def cascade_order(
+    sampled: Sequence[tuple[int, int]], costs: Sequence[float], rules: Sequence[Rule] | None = None, shared: Mapping[str, float] | None = None,
+) -> list[int]:
     """Rule numbers, best first.
 
     ``sampled``: (set of rejecting rules as bits, number of sampled texts);
-    ``costs``: seconds of each rule over the sample.  Ties: the cheaper rule,
-    then the lower number.
+    ``costs``: seconds of each rule over the sample, without the measures of its
+    ``needs``, whose seconds are in ``shared`` and are paid by the first rule
+    that needs them (every text that reaches a later one has them by then).
+    Ties: the cheaper rule, then the name, so the order of the list does not matter.
     """
     alive, left, order = list(sampled), list(range(len(costs))), []
+    paid: set[str] = set()
+    needs = lambda r: set(rules[r].needs) - paid if rules else ()
+    name = lambda r: rules[r].name if rules else r
     while left:
-        best = max(left, key=lambda r: (sum(n for bits, n in alive if bits >> r & 1) / max(costs[r], 1e-9), -costs[r], -r))
+        cost = {r: max(costs[r] + sum((shared or {}).get(m, 0.0) for m in needs(r)), 1e-9) for r in left}
+        best = min(left, key=lambda r: (-sum(n for bits, n in alive if bits >> r & 1) / cost[r], cost[r], name(r)))
         order.append(best)
         left.remove(best)
+        paid |= set(needs(best))
         alive = [(bits, n) for bits, n in alive if not bits >> best & 1]
     return order
 
 
 def estimate_order(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> list[int]:
-    """The cascade's order from the first rows of every partition.
+    """The cascade's order from the first rows of every partition; only these are sent to Python.
 
     The driver gets one row for each set of rules that rejected some sampled
     text together (2 ** rules at most), with counts and seconds.
     """
+    shared = _shared(rules)
+    names = [f"s{k}" for k in range(len(rules) + len(shared))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, bits, spent = SAMPLED_PER_PARTITION, [], []
         for batch in batches:
-            for text in batch.column(0).slice(0, left).to_pylist():
-                t, mask, cost = Text(text), 0, []
-                t.words  # shared by all rules and needed for the base measures
-                for k, rule in enumerate(rules):
-                    began = time.perf_counter()
-                    mask |= rule.rejects(t) << k
-                    cost.append(time.perf_counter() - began)
-                bits.append(mask)
-                spent.append(cost)
-            left = SAMPLED_PER_PARTITION - len(bits)
-            if left <= 0:
-                break
-        if bits:
-            columns = [pa.array(bits, pa.int64()), *[pa.array([c[k] for c in spent], pa.float64()) for k in range(len(rules))]]
-            yield pa.RecordBatch.from_arrays(columns, names=["bits", *names])
-
-    names = [f"s{k}" for k in range(len(rules))]
+            timed = time_rules(batch.column(0).to_pylist(), rules)
+            if timed:
+                columns = [pa.array([m for m, _ in timed], pa.int64()), *[pa.array([c[k] for _, c in timed], pa.float64()) for k in range(len(names))]]
+                yield pa.RecordBatch.from_arrays(columns, names=["bits", *names])
+
     ddl = ", ".join(["bits long", *[f"{n} double" for n in names]])
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # of a row in its partition
     rows = (
-        docs.select(F.col(text_col).alias("text"))
+        docs.select(F.col(f"`{text_col}`").alias("text"))
+        .where(place < SAMPLED_PER_PARTITION)
         .mapInArrow(run, ddl)
         .groupBy("bits")
         .agg(F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in names])
         .collect()
     )
-    return cascade_order([(r["bits"], r["n"]) for r in rows], [sum(r[n] for r in rows) for n in names])
+    spent = [sum(r[n] for r in rows) for n in names]
+    return cascade_order([(r["bits"], r["n"]) for r in rows], spent[: len(rules)], rules, dict(zip(shared, spent[len(rules) :])))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -250,7 +285,8 @@ def quality_rules(
             yield pa.RecordBatch.from_arrays(arrays + kept, names=[f for f, _ in fields] + [f"_keep{k}" for k in range(len(keep))])
 
     rows = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_keep{k}") for k, c in enumerate(keep)]
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+        *[F.col(f"`{c}`").alias(f"_keep{k}") for k, c in enumerate(keep)],
     )
     ddl = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", base_failed boolean, kept boolean, rejected_by string"
     ddl += "".join(f", _keep{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(keep))

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+import time
 from collections import Counter, defaultdict
+from functools import cached_property
+from itertools import permutations
 
 import numpy as np
 
 from colline.llm import kneser_ney as K
-from colline.llm.quality_rules import RULES, Rule, Text, base_failed, cascade_order, estimate_order, quality_rules
+from colline.llm.quality_rules import (
+    RULES, SAMPLED_PER_PARTITION, Rule, Text, base_failed, cascade_order, estimate_order, quality_rules, time_rules,
+)
 
 from ..conftest import TESTDATA
 
@@ -49,6 +54,47 @@ def test_cascade_takes_rejection_per_cost_among_survivors():
     assert cascade_order([], [2.0, 1.0]) == [1, 0]
 
 
+def test_shared_measures_are_charged_to_the_first_rule_in_any_list_order():
+    rules = [Rule("a", None, ("letters",)), Rule("b", None, ("letters",)), Rule("c", None)]
+    hits, costs = {"a": 30, "b": 30, "c": 20}, {"a": 1.0, "b": 1.1, "c": 1.0}
+    for perm in permutations(range(3)):
+        mine = [rules[k] for k in perm]
+        sampled = [(1 << k, hits[r.name]) for k, r in enumerate(mine)] + [(0, 20)]
+        order = cascade_order(sampled, [costs[r.name] for r in mine], mine, {"letters": 9.0})
+        # alone a and b cost 10; once a has paid, b costs 1.1
+        assert [mine[k].name for k in order] == ["c", "a", "b"]
+
+
+def test_timing_does_not_depend_on_the_list_order(monkeypatch):
+    def slow(self):
+        time.sleep(0.01)
+        return 50, 0, 50
+
+    letters = cached_property(slow)
+    letters.__set_name__(Text, "letters")
+    monkeypatch.setattr(Text, "letters", letters)
+    texts = ["one two", None, " ".join(f"w{i}" for i in range(30)), "x y " * 40]
+    for rules in (RULES, RULES[::-1]):
+        ((bits, spent),) = time_rules(texts, rules)  # the others fail the base
+        assert bits == sum(r.rejects(Text(texts[2])) << k for k, r in enumerate(rules))
+        assert len(spent) == len(rules) + 1 and spent[-1] >= 0.01 > 2 * max(spent[:-1])
+
+
+def test_columns_with_dots_and_few_rows_to_python(spark):
+    docs = spark.range(5000).selectExpr("id as `doc.id`", "repeat(concat('w', id, ' '), 20) as `a.b`", "1 as `kept`", "2 as `x.y`").repartition(2)
+    got = quality_rules(docs, "doc.id", "a.b", keep=["x.y", "kept"])
+    assert got.count() == 5000 and got.where("_keep0 = 2 and _keep1 = 1").count() == 5000
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(t):
+        seen.add(1)
+        return False
+
+    text = spark.range(5000).selectExpr("array_join(transform(sequence(0, 30), i -> concat('w', id, '_', i)), ' ') as text").repartition(2)
+    assert estimate_order(text, rules=[Rule("look", look)]) == [0]
+    assert 0 < seen.value <= 2 * SAMPLED_PER_PARTITION
+
+
 def test_cascade_stops_at_the_first_rejection(spark):
     def explode(t):
         raise AssertionError("not reached")
