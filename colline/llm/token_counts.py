@@ -1,13 +1,15 @@
 """Token counts (operator 2): map-side two-tier lookup, no pre-token is shuffled.
 
-Tier 1 is a compact table of the corpus' most frequent pre-tokens and their
-token lengths, broadcast to every worker.  Tier 2 is a bounded cache in each
-Python worker that encodes the pre-tokens the table misses.  Counts are exact
-whatever the tiers hold: they only decide how often the encoder is called.
-
-The table comes from all documents: every task keeps a bounded summary of its
-pre-tokens (lossy counting) and sends its most frequent ones; these few are
-summed and the top ones kept.  That is the only shuffle.
+Tier 1 is a compact table of frequent pre-tokens and their token lengths,
+broadcast to every worker.  Tier 2 is a bounded cache in each Python worker that
+encodes the pre-tokens the table misses.  Counts are exact whatever the tiers
+hold: they only decide how often the encoder is called.
+
+The table is fitted on a bounded sample: the first ``FIT_ROWS`` rows of at most
+``FIT_PARTITIONS`` partitions, evenly spaced over the input.  Only these
+partitions are started for it, each returns its most frequent pre-tokens
+(``SENT_PER_TASK`` at most), and the driver sums them, so what it takes in does
+not grow with the input.  All texts are then read once.
 """
 
 from __future__ import annotations
@@ -15,17 +17,19 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from colline.llm.pieces import SPACE, REMEMBERED_LENGTH, Remembered, Segmenter, load_processor
 
 TABLE_SIZE = 32_768  # pre-tokens in the broadcast table (at most 48 characters each: below 8 MB)
-SUMMARY_SIZE = 100_000  # pre-tokens a task counts at once
-SENT_PER_TASK = 8_192  # of which it sends the most frequent
+FIT_PARTITIONS = 16  # partitions that the table is fitted on, at most ...
+FIT_ROWS = 256  # ... and rows of each of them
+SENT_PER_TASK = 8_192  # pre-tokens that each of them returns, the most frequent ones
 
 OUT = pa.schema(
     [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())]
@@ -48,30 +52,22 @@ def segment_length(processor, segment: str) -> int:
 
 
 def frequent_segments(docs: DataFrame, text_col: str, model, size: int = TABLE_SIZE) -> list[str]:
-    """The most frequent segments over all documents (``size`` at most), ties by text."""
+    """The most frequent segments of the fitting sample (``size`` at most), ties by text."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(rows: Iterator[Row]) -> list[tuple[str, int]]:
         segments = _once("segments", lambda: Segmenter(load_processor(model.value)))
         seen: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(segments(text))
-                if len(seen) > SUMMARY_SIZE:
-                    seen = Counter(dict(seen.most_common(SUMMARY_SIZE // 2)))
-        top = [(s, n) for s, n in seen.most_common(SENT_PER_TASK) if n > 1 and len(s) <= REMEMBERED_LENGTH]
-        if top:
-            yield pa.RecordBatch.from_pydict({"segment": [s for s, _ in top], "n": [n for _, n in top]})
-
-    rows = (
-        docs.select(F.col(text_col).alias("text"))
-        .mapInArrow(count, "segment string, n long")
-        .groupBy("segment")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "segment")
-        .limit(size)
-        .collect()
-    )
-    return [r["segment"] for r in rows]
+        for row in islice(rows, FIT_ROWS):
+            seen.update(segments(row[0]))
+        return [(s, n) for s, n in seen.most_common(SENT_PER_TASK) if n > 1 and len(s) <= REMEMBERED_LENGTH]
+
+    texts = docs.select(F.col(text_col).alias("text")).rdd
+    parts = texts.getNumPartitions()
+    picked = sorted({k * parts // FIT_PARTITIONS for k in range(FIT_PARTITIONS)}) if parts else []
+    total: Counter[str] = Counter()
+    for segment, n in docs.sparkSession.sparkContext.runJob(texts, count, picked) if picked else []:
+        total[segment] += n
+    return sorted(total, key=lambda s: (-total[s], s))[:size]
 
 
 def token_counts(
