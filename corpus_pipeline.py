@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality rules reject (one pass, no shuffle)."""
     rest = [c for c in docs.columns if c != "doc_id"]
     judged = quality_rules(docs, keep=rest).where("kept")
-    return judged.select("doc_id", *[F.col(f"_keep{k}").alias(c) for k, c in enumerate(rest)]).select(*docs.columns)
+    return judged.select("doc_id", *[F.col(f"_keep{k}").alias(c) for k, c in enumerate(rest)]).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
