@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,14 +80,23 @@ def materialize_always(df: DataFrame, name: str) -> DataFrame:
     return _write(df, shared_dir(df.sparkSession), name)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every table this session's operators have materialised; returns how many.
+def written(spark: SparkSession) -> int:
+    """How many tables this session's operators have materialised and not released; a mark for :func:`release`."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, keep: Collection[str] = ()) -> int:
+    """Delete the tables this session's operators have materialised; returns how many.
 
     Call it after the results that read them have been written or collected.
+    ``since`` (a mark of :func:`written`) leaves older tables alone, ``keep``
+    the tables at these paths.
     """
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    paths = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in paths[since:] if p not in keep]
+    paths[since:] = [p for p in paths[since:] if p in keep]
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for p in paths:
+    for p in gone:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
-    return len(paths)
+    return len(gone)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from colline.plans.process import build_collinear_set, process
+from colline.sources import storage
 from colline.sources.text import parse_points, points_from, read_points, write_sets
 
 from .conftest import GOLDEN9, POINTS9, as_sets
@@ -128,3 +131,15 @@ def test_read_points_gzip_and_glob(spark, tmp_path):
     pts = read_points(spark, str(tmp_path / "p*"))
     assert pts.count() == 10
     assert as_sets(process(spark, str(tmp_path / "p1.txt.gz"))) == GOLDEN9
+
+
+def test_release_leaves_older_and_kept_tables(spark):
+    old = storage.materialize_always(spark.range(3), "old")
+    mark = storage.written(spark)
+    gone = storage.materialize_always(spark.range(4), "gone")
+    kept = storage.materialize_always(spark.range(5), "kept")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert storage.release(spark, mark, keep=[path]) == 1
+    assert old.count() == 3 and kept.count() == 5 and storage.written(spark) == mark + 1
+    assert not os.path.exists(gone.inputFiles()[0].removeprefix("file://"))
+    assert storage.release(spark, mark) == 1 and storage.written(spark) == mark
