@@ -2,13 +2,18 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 last return the columns of ``documents``.  Stages work on all their predecessor
-kept, whole tables and whole texts.
+kept, whole tables and whole texts.  What a stage wrote for itself, and the table
+it read, are deleted when its own table is written; only the last one stays.
+
+Null, empty and very long texts, null ids, repeated rows and further columns of
+any name are what the operators define them to be: a null or empty text fails the
+base rule and goes in the first stage, of equal rows one stays in the second,
+further columns stay as they are until the last, which returns ids and tokens.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +23,7 @@ from colline.llm.pii import pseudonymise
 from colline.llm.quality_rules import quality_rules
 from colline.llm.queries import PII_KEY, piece_model
 from colline.llm.sentencepiece_codec import encode_documents
-from colline.sources.storage import shared_dir
+from colline.sources.storage import new_path, release, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -68,9 +73,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, one after the other through tables in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = shared_dir(spark).rstrip("/")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{base}/corpus-pipeline-{uuid.uuid4().hex}-{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        mark = written(spark) - bool(k)  # the table that this stage reads goes with its own
+        out = stage(spark, docs, sf_dir)
+        path = new_path(spark, f"pipeline-{k}")
+        out.write.parquet(path)
         docs = spark.read.parquet(path)
+        release(spark, mark, keep=[path])
     return docs
