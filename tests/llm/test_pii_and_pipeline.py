@@ -11,6 +11,7 @@ from colline.llm import pii as PII
 from colline.llm.minhash_dedup import shingle_set
 from colline.llm.pii import pseudonymise, surrogates
 from colline.llm.quality_rules import RULES, Text, base_failed
+from colline.sources import storage
 
 from ..conftest import TESTDATA
 
@@ -307,3 +308,26 @@ def test_run_equals_its_stages(spark):
     for _, f in P.STAGES:
         docs = f(spark, docs, SF)
     assert got == Counter((r.doc_id, r.ids_sha256) for r in docs.collect())
+
+
+def test_pipeline_edge_rows(spark, library, tmp_path):
+    word = lambda k: f"{'bcdfghjklm'[k % 10]}{'aeiou'[k % 5]}{'nprstvwz'[k % 8]}{'aeiou'[k // 7 % 5]}{'ln'[k % 2]}{'bcdfgh'[k // 3 % 6]}"
+    text = lambda start, n: " ".join(word(k * k + start) for k in range(start, start + n)) + " done"
+    long = text(5000, 20_000)
+    rows = [
+        (1, text(0, 40), "en", "a", 1, "x", 7), (1, text(0, 40), "en", "a", 1, "x", 7), (2, None, "en", "a", 0, None, 7), (3, "", None, None, 0, None, 7),
+        (None, text(300, 40), None, None, 1, "y", None), (4, "Mr John Lee wrote: " + text(900, 40) + " Lee", "en", "b", 1, "z", 7), (5, long, "en", "b", 1, None, 7),
+    ]
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, kept int"
+    spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/rows/documents.parquet")
+    spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/none/documents.parquet")
+    before = storage.written(spark)
+    got = P.run(spark, f"{tmp_path}/rows").collect()
+    assert storage.written(spark) == before + 1  # only the last table stays
+    judged = P.quality(spark, spark.read.parquet(f"{tmp_path}/rows/documents.parquet"), "")
+    kept = [r.text for r in judged.collect()]
+    assert judged.columns == ["doc_id", "text", "lang", "source", "n_chars", "a.b", "kept"] and None not in kept and "" not in kept
+    assert {r.doc_id for r in got} <= {r.doc_id for r in judged.collect()} and got
+    assert "Mr John Lee" not in " ".join(r.decoded for r in got) and all(" Lee" not in r.decoded for r in got)
+    assert all(r.ids == library.encode(r.decoded) for r in got)
+    assert P.run(spark, f"{tmp_path}/none").collect() == []
