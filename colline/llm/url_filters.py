@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colline.llm.common import save
+from colline.llm.common import save, small_side
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,11 +65,17 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return out
 
 
+def _node_key() -> list[Column]:
+    return [F.xxhash64("host", "template").alias("_k1"), F.xxhash64(F.lit("node"), "host", "template").alias("_k2")]
+
+
 def path_templates(urls: DataFrame) -> DataFrame:
     """``urls`` (``host, path, n, fixed`` and more, one row per host and path) with ``parent`` and ``template``.
     The first ``fixed`` segments stay as they are.
 
     One aggregate and one join a level; the deepest path gives the levels, at most :data:`DEPTH`.
+    Paths are joined only with the nodes that are variable, by 128 bits of a hash; while these
+    are few enough to be broadcast, no path moves and no host meets in one task.
     """
     now = urls.withColumn("_segments", F.split(F.regexp_replace("path", "^/", ""), "/", DEPTH + 1))
     now = now.withColumn("template", F.lit("")).withColumn("parent", F.lit(""))
@@ -78,19 +84,18 @@ def path_templates(urls: DataFrame) -> DataFrame:
     for level in range(depth):
         here = now.where(F.size("_segments") > level)
         children = here.groupBy("host", "template", F.get("_segments", F.lit(level)).alias("segment")).agg(F.sum("n").alias("n"))
-        nodes = children.groupBy("host", "template").agg(
-            ((F.count(F.lit(1)) >= MANY) & (F.count(F.lit(1)) >= F.sum("n") * DIFFERENT)).alias("variable")
-        )
+        nodes = children.groupBy("host", "template").agg(F.count(F.lit(1)).alias("segments"), F.sum("n").alias("n"))
+        wild = nodes.where((F.col("segments") >= MANY) & (F.col("segments") >= F.col("n") * DIFFERENT))
+        wild = save(wild.select(*_node_key(), F.lit(True).alias("variable")), "url-nodes")
         segment = F.get("_segments", F.lit(level))
-        loose = (F.col("fixed") <= level) & (F.col("variable") | segment.rlike(ID_FORM))
+        loose = (F.col("fixed") <= level) & (F.coalesce("variable", F.lit(False)) | segment.rlike(ID_FORM))
         general = F.when(loose, F.concat(F.lit("*"), F.regexp_extract(segment, r"\.[A-Za-z0-9]{1,5}$", 0))).otherwise(segment)
         deeper = F.size("_segments") > level
-        nodes = nodes.withColumnRenamed("host", "_h").withColumnRenamed("template", "_t")
-        now = now.join(nodes, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")), "left")
+        now = now.select("*", *_node_key()).join(small_side(wild), ["_k1", "_k2"], "left")
         now = save(
             now.withColumn("parent", F.when(deeper, F.col("template")).otherwise(F.col("parent")))
             .withColumn("template", F.when(deeper, F.concat("template", F.lit("/"), general)).otherwise(F.col("template")))
-            .drop("_h", "_t", "variable"),
+            .drop("_k1", "_k2", "variable"),
             "url-level",
         )
     return now.drop("_segments")
