@@ -7,13 +7,16 @@ ranges of 2048 rows; a range is one row of the index with its forward index
 smallest weight of every term.  The sum of the best products of a query with
 these bounds every score in the block.
 
-A query first searches its own range; its k-th score there is a floor.  Then it
-meets every range, batch by batch of queries: blocks are taken in the order of
-their bounds and scored through the forward index until the bound of the next
-block falls below the k-th score so far (or the floor).  A score equal to the
-k-th still counts, as ties go to the smaller id.  A row is named by its range
-and place, so rows with one id are rows of their own.  Each range sends at most k
-results a query, none below the floor; a window picks the k best of these.
+A query first searches its own range; its k-th score there is a floor.  Then
+queries are dealt into sets of at most :data:`QUERY_BYTES` and ranges into
+:data:`GROUPS` groups.  A task holds one set of queries, reads the ranges of one
+group one after the other and keeps the k best of each query so far: blocks are
+taken in the order of their bounds and scored through the forward index until
+the bound of the next block falls below the k-th score so far (or the floor).  A
+score equal to the k-th still counts, as ties go to the smaller id.  A row is
+named by its range and place, so rows with one id are rows of their own.  At
+most k results a query leave a group, so what is sorted in the end grows with
+the queries, not with queries times ranges; a window picks the k best of these.
 """
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ from pyspark.sql import functions as F
 from colline.llm.common import save
 
 RANGE, BLOCK, SCALE = 2048, 128, 64.0
-
+GROUPS = 4  # of ranges; each sends at most k results a query
+QUERY_BYTES = 16 << 20  # weights of the queries that one task holds, on average
+PARTITIONS = 20_000  # at most; beyond it a partition has several sets, one after the other
 
 SMALL = 2**31  # weights below it are kept as 32-bit integers, a range with larger ones as doubles (whole numbers)
 
@@ -98,6 +103,24 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     return save(rows.mapInArrow(_pack, "range long, wide boolean, width long, ids binary, weights binary, high binary, low binary"), "topk-index")
 
 
+class Best:
+    """The best k of one query so far, ties to the smaller id, and the least score that can still count."""
+
+    def __init__(self, floor: int | None = None):
+        self.scores, self.ids, self.floor = np.empty(0, np.int64), np.empty(0, np.int64), floor
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, k: int) -> None:
+        scores, ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
+        if len(scores) >= k:
+            if scores.dtype == object:
+                first = sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k]
+            else:
+                first = np.lexsort((ids, -scores))[:k]
+            scores, ids = scores[first], ids[first]
+            self.floor = int(scores[-1]) if self.floor is None else max(self.floor, int(scores[-1]))
+        self.scores, self.ids = scores, ids
+
+
 class _Range:
     """One row of the index, unpacked.  ``names`` are those of its rows: range * 2048 + place."""
 
@@ -108,8 +131,8 @@ class _Range:
         self.high = _array(r["high"], r["wide"]).reshape(-1, r["width"])
         self.low = _array(r["low"], r["wide"]).reshape(-1, r["width"])
 
-    def search(self, query_names: np.ndarray, queries: np.ndarray, floors: list[int | None], k: int):
-        """For each query its best k of this range with a score of at least its floor: (scores, ids).
+    def search(self, query_names: np.ndarray, queries: np.ndarray, best: list[Best], k: int) -> None:
+        """Bring each query's best k up to date with the rows of this range.
 
         Scores are exact: doubles where products and sums stay below 2**53,
         else 64-bit integers, else Python's.
@@ -125,23 +148,17 @@ class _Range:
         w, q, up, down = map(exact, (self.weights, queries, self.high, self.low))
         bounds = np.maximum(q, 0) @ up.T + np.minimum(q, 0) @ down.T
         orders = np.argsort(-bounds, axis=1, kind="stable")
-        for i in range(len(q)):
-            scores, ids, floor = np.empty(0, kind), np.empty(0, np.int64), floors[i]
+        for i, mine in enumerate(best):
             for b in orders[i]:
-                if floor is not None and bounds[i, b] < floor:
+                if mine.floor is not None and bounds[i, b] < mine.floor:
                     break
                 rows = slice(b * BLOCK, (b + 1) * BLOCK)
-                s, d = w[rows] @ q[i], self.ids[rows]
+                s = w[rows] @ q[i]
                 good = self.names[rows] != query_names[i]
-                if floor is not None:
-                    good &= (s >= floor).astype(bool)
+                if mine.floor is not None:
+                    good &= (s >= mine.floor).astype(bool)
                 if good.any():
-                    scores, ids = np.concatenate([scores, s[good]]), np.concatenate([ids, d[good]])
-                    if len(scores) >= k:
-                        best = np.lexsort((ids, -scores))[:k] if kind is not object else sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k]  # noqa: B023
-                        scores, ids = scores[best], ids[best]
-                        floor = int(scores[-1]) if floor is None else max(floor, int(scores[-1]))
-            yield [int(x) for x in scores], ids
+                    mine.add(s[good] if kind is object else s[good].astype(np.int64), self.ids[rows][good], k)
 
 
 _BATCH_SQL = "batch long, qwide boolean, qwidth long, qnames binary, qids binary, queries binary, floors array<string>"
@@ -158,7 +175,9 @@ def _batches(k: int, every: int):
                 if not len(mine):
                     continue
                 names, q = at.names[mine], at.weights[mine]
-                floors = [str(s[-1]) if len(s) >= k else None for s, _ in at.search(names, q, [None] * len(names), k)]
+                best = [Best() for _ in names]
+                at.search(names, q, best, k)
+                floors = [None if x.floor is None else str(x.floor) for x in best]
                 row = [r["range"], r["wide"], r["width"], names.tobytes(), at.ids[mine].tobytes(), q.tobytes()]
                 columns = [pa.array([x]) for x in row] + [pa.array([floors], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["batch", "qwide", "qwidth", "qnames", "qids", "queries", "floors"])
@@ -166,25 +185,53 @@ def _batches(k: int, every: int):
     return run
 
 
+_FOUND_SQL = "query_name long, query_id long, vec_id long, score decimal(38,0)"
+
+
+class _Queries:
+    """A set of queries of one task: packed rows of several ranges."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, list[Best]]] = []
+
+    def add(self, r: dict) -> None:
+        names, ids = (np.frombuffer(r[c], dtype=np.int64) for c in ("qnames", "qids"))
+        weights = _array(r["queries"], r["qwide"]).reshape(len(ids), r["qwidth"])
+        self.parts.append((names, ids, weights, [Best(None if f is None else int(f)) for f in r["floors"]]))
+
+    def search(self, at: _Range, k: int) -> None:
+        for names, _, weights, best in self.parts:
+            at.search(names, weights, best, k)
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        for names, ids, _, best in self.parts:
+            sizes = [len(x.ids) for x in best]
+            if sum(sizes):
+                scores = [int(s) for x in best for s in x.scores]
+                if max(map(abs, scores)) >= 10**38:
+                    raise ValueError("a score of more than 38 digits")
+                columns = [pa.array(x) for x in (np.repeat(names, sizes), np.repeat(ids, sizes), np.concatenate([x.ids for x in best]))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array([Decimal(x) for x in scores], pa.decimal128(38, 0))], names=["query_name", "query_id", "vec_id", "score"]
+                )
+
+
 def _search(k: int):
-    """``query_name, query_id, vec_id, score``: a range's best k for each query of a batch."""
-    names = ["query_name", "query_id", "vec_id", "score"]
+    """Results of every (set of queries, group of ranges) of a sorted partition, whose queries come first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, _Queries()
         for batch in batches:
             for n in range(batch.num_rows):
                 r = batch.slice(n, 1).to_pylist()[0]
-                qnames, qids = (np.frombuffer(r[c], dtype=np.int64) for c in ("qnames", "qids"))
-                queries = _array(r["queries"], r["qwide"]).reshape(len(qids), r["qwidth"])
-                floors = [None if f is None else int(f) for f in r["floors"]]
-                found = list(_Range(r).search(qnames, queries, floors, k))
-                sizes = [len(s) for s, _ in found]
-                if sum(sizes):
-                    scores = [x for s, _ in found for x in s]
-                    if max(map(abs, scores)) >= 10**38:
-                        raise ValueError("a score of more than 38 digits")
-                    columns = [np.repeat(qnames, sizes), np.repeat(qids, sizes), np.concatenate([d for _, d in found])]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([Decimal(x) for x in scores], pa.decimal128(38, 0))], names=names)
+                if (r["set"], r["group"]) != now:
+                    yield from held.found()
+                    now, held = (r["set"], r["group"]), _Queries()
+                if r["range"] is None:
+                    held.add(r)
+                elif held.parts:
+                    held.search(_Range(r), k)
+        yield from held.found()
 
     return run
 
@@ -203,10 +250,18 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     """
     index = build_index(vectors, id_col, vector_col)
     queries = save(index.mapInArrow(_batches(k, every), _BATCH_SQL), "topk-queries")
-    groups = max(1, index.count() // 2)  # every group of ranges gets a copy of the query batches
-    left = queries.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = index.withColumn("g", F.pmod(F.xxhash64("range"), F.lit(groups)).cast("int"))
-    found = left.join(right, "g").drop("g", "batch").mapInArrow(_search(k), "query_name long, query_id long, vec_id long, score decimal(38,0)")
+    total, rows = queries.agg(F.coalesce(F.sum(F.octet_length("queries")), F.lit(0)), F.count(F.lit(1))).first()
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    sets = max(1, -(-total // QUERY_BYTES), min(rows, -(-2 * cores // GROUPS)))  # few, but enough to use all cores
+
+    def dealt(df: DataFrame, own: str, key: str, n: int, other: str, m: int) -> DataFrame:
+        here = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(own)
+        return df.select("*", here, F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
+
+    left = dealt(queries, "set", "batch", sets, "group", GROUPS).drop("batch")
+    both = left.unionByName(dealt(index, "group", "range", GROUPS, "set", sets), allowMissingColumns=True)
+    both = both.repartition(min(sets * GROUPS, PARTITIONS), "set", "group").sortWithinPartitions("set", "group", F.asc_nulls_first("range"))
+    found = both.mapInArrow(_search(k), _FOUND_SQL)
     line = Window.partitionBy("query_name").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", F.col("score").try_cast("bigint").alias("score"))

@@ -141,10 +141,10 @@ def _found(df):
     return sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in B.top_k(df).collect()), key=repr)
 
 
-@pytest.mark.parametrize("sizes", [(2048, 128), (64, 8)])
+@pytest.mark.parametrize("sizes", [(2048, 128, 16 << 20, 4), (64, 8, 400, 3), (64, 8, 16 << 20, 1)])
 def test_top_k_equals_brute_force(spark, monkeypatch, sizes):
-    monkeypatch.setattr(B, "RANGE", sizes[0])
-    monkeypatch.setattr(B, "BLOCK", sizes[1])
+    for name, size in zip(("RANGE", "BLOCK", "QUERY_BYTES", "GROUPS"), sizes, strict=True):
+        monkeypatch.setattr(B, name, size)
     rnd = random.Random(2)
     rows = [(i, [rnd.gauss(0, 1) for _ in range(6)]) for i in range(500)]
     rows += [(1000 + i, rows[40][1]) for i in range(60)]  # many equal vectors: ties
