@@ -7,6 +7,7 @@ from colline.operators.lines import collinear_sets, line_params
 from colline.operators.members import line_members, page_points, paged_lines
 from colline.operators.pairs import cartesian, half_pairs, ordered_pairs, with_slope
 from colline.plans.process import build_collinear_set, process
+from colline.operators.wide import parse_wide_points, wide_collinear_sets, wide_points
 from colline.sources.sink import read_batches, read_manifest, write_batch
 from colline.sources.text import parse_points, points_from, read_points, write_sets
 
@@ -28,6 +29,7 @@ __all__ = [
     "page_points",
     "paged_lines",
     "parse_points",
+    "parse_wide_points",
     "points_from",
     "points_on_lines",
     "process",
@@ -38,6 +40,8 @@ __all__ = [
     "same_sets",
     "set_difference_counts",
     "set_differences",
+    "wide_collinear_sets",
+    "wide_points",
     "with_slope",
     "write_batch",
     "write_sets",

@@ -137,14 +137,15 @@ def prepare(
     pts = distinct_points(points, gcols, x, y, distinct)
     if materialize_points:
         pts = materialize(pts, "points")
-    keys = _flat_keys(gcols)
-    plan, sizes = measure(
-        pts,
-        keys,
-        pairs_per_task=pairs_per_task,
-        broadcast_max_bytes=broadcast_max_bytes,
-        allow_broadcast=allow_broadcast,
+    return prepared(
+        pts, gcols, pairs_per_task=pairs_per_task, broadcast_max_bytes=broadcast_max_bytes, allow_broadcast=allow_broadcast
     )
+
+
+def prepared(pts: DataFrame, gcols: list[str], **sizing) -> Prepared:
+    """Distinct points (``_g0.., x, y``) with the result of the sizing job."""
+    keys = _flat_keys(gcols)
+    plan, sizes = measure(pts, keys, **sizing)
     if plan.null_key_groups:
         # NULL is a group of its own, as in GROUP BY; plain equality would drop
         # it, so the key columns travel as one (never NULL) struct.

@@ -8,6 +8,9 @@ are views named after the parquet files.
 
 from __future__ import annotations
 
+# The linear map of the wide query, as in ``colline.plans.tables.WIDE_MAP``.
+WIDE_MAP = ((1208925819614629174706189, 604462909807314587353111), (604462909807314587353087, -1208925819614629174706201))
+
 
 def _txt(x: str, y: str) -> str:
     return f"CAST({x} AS VARCHAR) || ' ' || CAST({y} AS VARCHAR)"
@@ -105,6 +108,38 @@ def lines_large_sql() -> str:
     return f"WITH {_lines_ctes(points, True)}\nSELECT g AS l_partkey, ux, uy, c, n_points, points FROM lt"
 
 
+def lines_wide_sql() -> str:
+    """The fixed map of :data:`colline.plans.tables.WIDE_MAP` in HUGEINT; line constants from halves of 16 digits."""
+    (a, b), (c, d) = WIDE_MAP
+    x, y = (f"CAST(l_linenumber AS HUGEINT) * {p} + CAST(l_quantity AS BIGINT)::HUGEINT * ({q})" for p, q in ((a, b), (c, d)))
+    h = "10000000000000000::HUGEINT"
+    hh = "100000000000000000000000000000000::HUGEINT"
+    parts = ", ".join(f"{n} // {h} AS {n}1, {n} % {h} AS {n}0" for n in ("ux", "uy", "ax", "ay"))
+    return f"""WITH p AS (SELECT DISTINCT l_partkey AS g, {x} AS x, {y} AS y FROM lineitem),
+hp AS (
+  SELECT a.g, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_, b.x - a.x AS dx, b.y - a.y AS dy
+  FROM p a JOIN p b ON a.g = b.g AND (a.x < b.x OR (a.x = b.x AND a.y < b.y))
+),
+k AS (SELECT g, ax, ay, bx, by_, dx // gcd(dx, abs(dy)) AS ux, dy // gcd(dx, abs(dy)) AS uy FROM hp),
+s AS (SELECT *, {parts} FROM k),
+t AS (
+  SELECT *, ux1 * ay1 - uy1 * ax1 AS hi, ux1 * ay0 + ux0 * ay1 - uy1 * ax0 - uy0 * ax1 AS mid, ux0 * ay0 - uy0 * ax0 AS lo FROM s
+),
+n AS (SELECT *, ((mid % {h}) + {h}) % {h} AS m0 FROM t),
+r AS (SELECT *, lo + m0 * {h} AS rest FROM n),
+z AS (SELECT *, ((rest % {hh}) + {hh}) % {hh} AS c_lo FROM r),
+kc AS (SELECT *, hi + (mid - m0) // {h} + (rest - c_lo) // {hh} AS c_hi FROM z),
+m AS (
+  SELECT g, ux, uy, c_hi, c_lo, ax AS x, ay AS y FROM kc
+  UNION
+  SELECT g, ux, uy, c_hi, c_lo, bx, by_ FROM kc
+)
+SELECT g AS l_partkey, CAST(ux AS DECIMAL(38, 0)) AS ux, CAST(uy AS DECIMAL(38, 0)) AS uy,
+       CAST(c_hi AS DECIMAL(38, 0)) AS c_hi, CAST(c_lo AS DECIMAL(38, 0)) AS c_lo, count(*) AS n_points,
+       string_agg({_txt('x', 'y')}, ';' ORDER BY x, y) AS points
+FROM m GROUP BY g, ux, uy, c_hi, c_lo HAVING count(*) >= 3"""
+
+
 def groups_from_pairs_sql() -> str:
     """Ordered pairs grouped by anchor and double slope, three points or more."""
     return f"""WITH p AS ({_order_points(True)}),
@@ -277,6 +312,7 @@ ORACLE_SQL = {
     "lines_per_part": lines_sql("lineitem", "l_linenumber", "l_quantity", "l_partkey"),
     "lines_per_supplier": lines_sql("lineitem", "l_linenumber", "l_quantity", "l_suppkey"),
     "lines_large_per_part": lines_large_sql(),
+    "lines_wide_per_part": lines_wide_sql(),
     "line_params": line_params_sql(),
     "groups_from_pairs_per_order": groups_from_pairs_sql(),
     "sets_from_text_per_part": sets_by_anchor_sql(),

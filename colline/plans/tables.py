@@ -6,6 +6,8 @@ text (sorted x, then y) so that results compare across engines.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from colline.operators.incidence import extend_lines, line_sets, lines_through,
 from colline.operators.lines import collinear_sets, line_params
 from colline.operators.members import paged_lines
 from colline.operators.pairs import cartesian, ordered_pairs, with_slope
+from colline.operators.wide import parse_wide_points, wide_collinear_sets
 from colline.plans.process import build_collinear_set, process
 from colline.sources.sink import read_batches, read_manifest, write_batch
 from colline.sources.storage import materialize_always, new_path
@@ -130,6 +133,18 @@ def q_lines_large_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(collinear_sets(pts.select("l_partkey", x.alias("x"), y.alias("y")), "l_partkey"))
 
 
+# Fixed linear map to coordinates beyond BIGINT, odd rows and no common factors.
+WIDE_MAP = ((1208925819614629174706189, 604462909807314587353111), (604462909807314587353087, -1208925819614629174706201))
+
+
+def q_lines_wide_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of integers of up to 27 digits, parsed, and their lines per part."""
+    pts = lineitem_by(spark, sf_dir, "l_partkey")
+    x, y = (F.col("x") * F.lit(Decimal(a)) + F.col("y") * F.lit(Decimal(b)) for a, b in WIDE_MAP)
+    text = pts.select("l_partkey", F.concat_ws(" ", x.cast("string"), y.cast("string")).alias("value"))
+    return _flat(wide_collinear_sets(parse_wide_points(text), "l_partkey"))
+
+
 def q_line_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(line_params(collinear_sets(lineitem_by(spark, sf_dir, "l_partkey"), "l_partkey")))
 
@@ -279,6 +294,7 @@ QUERIES = {
     "lines_per_part": q_lines_per_part,
     "lines_per_supplier": q_lines_per_supplier,
     "lines_large_per_part": q_lines_large_per_part,
+    "lines_wide_per_part": q_lines_wide_per_part,
     "line_params": q_line_params,
     "groups_from_pairs_per_order": q_groups_from_pairs_per_order,
     "sets_from_text_per_part": q_sets_from_text_per_part,
