@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import gcd_bounded, int_div
-from colline.operators.lines import _as_list, candidates_of, prepare, restore_groups
+from colline.operators.lines import Prepared, _as_list, _hot_candidates, candidates_of, prepare, restore_groups, row_lines, split_hot
+from colline.operators.rays import rows_by_group, rows_by_share
 from colline.sources.storage import materialize_always
 from colline.sources.text import ref
 
@@ -35,8 +36,12 @@ def line_members(
     :mod:`colline.operators.lines`).  Nothing is collected per line.
     """
     prep = prepare(points, group_cols, x, y, **sizing)
+    return restore_groups(_members(prep, [cand for cand, _, _ in candidates_of(prep)]), prep)
+
+
+def _members(prep: Prepared, candidates: list[DataFrame]) -> DataFrame:
     out = None
-    for cand, _, _ in candidates_of(prep):
+    for cand in candidates:
         rows = cand.select(
             *prep.keys, "ax", "ay", "_cnt", "_nx", "_ny", "_lx", "_ly", (F.col("_lx") - F.col("ax")).alias("_dx"), (F.col("_ly") - F.col("ay")).alias("_dy")
         )
@@ -49,9 +54,7 @@ def line_members(
         part = rows.select(*prep.keys, "ux", "uy", c.alias("c"), F.explode(own).alias("_p"))
         part = part.select(*prep.keys, *LINE, F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
         out = part if out is None else out.unionByName(part)
-    return restore_groups(out, prep)
-
-
+    return out
 
 
 def page_points(
@@ -97,5 +100,35 @@ def paged_lines(
     points: DataFrame, group_cols: str | Sequence[str] | None = None, x: str = "x", y: str = "y", min_points: int = 3,
     page_size: int = PAGE_POINTS, **sizing,
 ) -> DataFrame:
-    """:func:`colline.collinear_sets` in pages: ``group columns, ux, uy, c, n_points, page, points``."""
-    return page_points(line_members(points, group_cols, x, y, **sizing), group_cols, page_size, min_points)
+    """:func:`colline.collinear_sets` in pages: ``group columns, ux, uy, c, n_points, page, points``.
+
+    Lines of groups that one task can take (a bounded number of points) are cut
+    where they are found; only those of larger groups go through :func:`page_points`.
+    """
+    if page_size < 1:
+        raise ValueError("a page has at least one point")
+    prep = prepare(points, group_cols, x, y, **sizing)
+    plan = prep.plan
+    cold, hot = split_hot(prep)
+    rows = None if cold is None else rows_by_group(cold, prep.keys, plan.partitions, plan.broadcast)
+    if hot is not None and not plan.hot_groups:
+        rows, hot = rows_by_share(hot, prep.keys, 1), None
+    parts = []
+    if rows is not None:
+        parts.append(cut_pages(restore_groups(row_lines(rows, prep, min_points), prep), page_size))
+    if hot is not None:
+        members = restore_groups(_members(prep, [_hot_candidates(hot, prep)[0]]), prep)
+        parts.append(page_points(members, group_cols, page_size, min_points))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def cut_pages(lines: DataFrame, page_size: int) -> DataFrame:
+    """The pages of lines with a sorted array ``points`` each; other columns are repeated."""
+    size = F.lit(page_size)
+    last = F.call_function("div", F.size("points") - F.lit(1), size).cast("int")
+    page = F.when(last == 0, F.array(F.col("points"))).otherwise(
+        F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("points", k * size + F.lit(1), size))
+    )
+    rest = [ref(c) for c in lines.columns if c != "points"]
+    out = lines.select(*rest, F.posexplode(page).alias("page", "points"))
+    return out.withColumn("page", F.col("page").cast("bigint"))
