@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from colline.functions.geometry import gcd_bounded, int_div
-from colline.operators.lines import Prepared, _as_list, _flat_keys, _pt, colocated_pairs, prepared, restore_groups, split_hot, split_pairs
+from colline.operators.lines import Prepared, _as_list, _flat_keys, _pt, point_rows, prepared, restore_groups, split_pairs
+from colline.operators.rays import array_lines
 from colline.sources.text import POINT_LINE_PATTERN, _check_mode, ref, require
 
 WIDE = "decimal(38,0)"
 DIGITS = 31
+# A line of two integers of at most DIGITS digits besides leading zeros.
+WIDE_LINE_PATTERN = f"^[+-]?0*[0-9]{{1,{DIGITS}}} [+-]?0*[0-9]{{1,{DIGITS}}}$"
 HALF = 10**16
 BIGINT_DIFFERENCE = 1 << 62
 
@@ -104,8 +107,10 @@ def parse_wide_points(df: DataFrame, col: str = "value", mode: str = "strict", k
     )
     base = [ref(c) for c in df.columns] if keep_input else []
     if mode == "strict":
+        # one match says all that ``ok`` does; repeated casts in one filter make code too long to compile
+        fits = F.coalesce(value.rlike(WIDE_LINE_PATTERN), F.lit(False))
         message = F.concat(F.lit("bad point line ("), reason, F.lit("): "), F.coalesce(value, F.lit("NULL")))
-        return require(df, ok, message).select(*base, x.alias("x"), y.alias("y"))
+        return require(df, fits, message).select(*base, *[numbers[k].try_cast(WIDE).alias(c) for k, c in ((0, "x"), (1, "y"))])
     return df.where(ok).select(*base, x.alias("x"), y.alias("y")), df.where(~ok).select(*[ref(c) for c in df.columns], reason.alias("reason"))
 
 
@@ -122,7 +127,10 @@ def wide_points(df: DataFrame, x: str, y: str, group_cols: Sequence[str] = (), m
     xs, ys = ref(x), ref(y)
     xi, yi = xs.try_cast(WIDE), ys.try_cast(WIDE)
     # a comparison with the cast value would round both sides to one scale
-    ok = _in_range(xi, yi) & F.coalesce((xs % F.lit(1) == 0) & (ys % F.lit(1) == 0), F.lit(False))
+    ok = _in_range(xi, yi)
+    for c, v in ((x, xs), (y, ys)):
+        if getattr(df.schema[c].dataType, "scale", 0) > 0:
+            ok = ok & F.coalesce(v % F.lit(1) == 0, F.lit(False))
     out = [*[ref(c) for c in group_cols], xi.alias("x"), yi.alias("y")]
     if mode == "permissive":
         return df.where(ok).select(*out), df.where(~ok)
@@ -217,13 +225,13 @@ def wide_collinear_sets(
     # a wide point takes twice the bytes that the sizing job counts for one
     bytes_bound = {} if broadcast_max_bytes is None else {"broadcast_max_bytes": broadcast_max_bytes // 2}
     prep: Prepared = prepared(pts, gcols, pairs_per_task=pairs_per_task, **bytes_bound)
-    cold, hot = split_hot(prep)
+    rows, rest = point_rows(prep)
     parts = []
-    if cold is not None:
-        joined, part_cols = colocated_pairs(cold, prep.keys, prep.plan)
-        parts.append(_lines(_candidates(joined, part_cols, prep.plan.max_abs), prep.keys, min_points))
-    if hot is not None:
-        joined, part_cols = split_pairs(hot, prep.keys, prep.plan)
+    for r in rows:
+        found = array_lines(r, prep.keys, False, min_points)
+        parts.append(found.withColumn("n_points", F.size("points").cast("bigint")).select(*prep.keys, "ux", "uy", "c_hi", "c_lo", "n_points", "points"))
+    if rest is not None:
+        joined, part_cols = split_pairs(rest, prep.keys, prep.plan)
         spread = _candidates(joined, part_cols, prep.plan.max_abs).repartition(*prep.keys, *SLOPE, "_far")
         parts.append(_lines(spread, prep.keys, min_points))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
