@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colline.functions.geometry import direction_divisor, direction_key, gcd_bounded, int_div
-from colline.operators.lines import _as_list, _flat_keys, candidates_of, distinct_points, prepare, restore_groups
+from colline.operators.lines import Prepared, _as_list, _flat_keys, candidates_of, distinct_points, point_rows, prepare, prepared, restore_groups, row_lines
 from colline.sources.storage import materialize_always
 from colline.sources.text import ref
 from colline.operators.workload import (
@@ -235,25 +235,45 @@ def rich_lines(
 
     Searches lines of s points inside m buckets of each group (see
     :func:`pigeonhole`) and looks up all points on what is found.  ``buckets``
-    sets m; s follows from it and must be 3 or more.
+    sets m; s follows from it and must be 3 or more.  While a group's points fit
+    one row, both steps are made where the row is, and no line leaves its task
+    before it is whole; for larger groups the lines found are joined with the points.
     """
     m, s = pigeonhole(min_points) if buckets is None else (buckets, math.ceil(min_points / buckets))
     if s < 3:
         raise ValueError(f"{min_points} points in {m} buckets leave {s} in one; at least 3 are needed")
     gcols = _as_list(group_cols)
     keys = _flat_keys(gcols)
-    pts = distinct_points(points, gcols, x, y)
-    dealt = pts.withColumn("_in", F.pmod(F.xxhash64("x", "y"), F.lit(m)))
-    prep = prepare(dealt, [*keys, "_in"], "x", "y", distinct=False, broadcast_max_bytes=broadcast_max_bytes)
+    dealt = distinct_points(points, gcols, x, y).withColumn("_in", F.pmod(F.xxhash64("x", "y"), F.lit(m)))
+    prep = prepared(dealt, gcols, broadcast_max_bytes=broadcast_max_bytes)
+    rows, rest = point_rows(prep, ["_in"])
+    out = None
+    for r in rows:
+        part = _flat_named(row_lines(r, prep, min_points, s), prep, keys)
+        out = part if out is None else out.unionByName(part)
+    if rest is not None:
+        part = _rich_by_lookup(_flat_named(rest, prep, keys).select(*keys, "x", "y", "_in"), keys, min_points, s, broadcast_max_bytes)
+        out = part if out is None else out.unionByName(part)
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
+
+
+def _flat_named(df: DataFrame, prep: Prepared, keys: list[str]) -> DataFrame:
+    """``df`` with the key columns of :func:`colline.operators.lines.prepared` one by one."""
+    if prep.keys == keys:
+        return df
+    return df.select(*[F.col("_gk")[k].alias(k) for k in keys], *[c for c in df.columns if c != "_gk"])
+
+
+def _rich_by_lookup(dealt: DataFrame, keys: list[str], min_points: int, share: int, bound: int | None) -> DataFrame:
+    prep = prepare(dealt, [*keys, "_in"], "x", "y", distinct=False, broadcast_max_bytes=bound)
     found = None
     for cand, _, _ in candidates_of(prep):
         # the first point of a line of s points in a bucket has s - 1 partners; no other candidate is needed
-        first = restore_groups(cand.where(F.col("_cnt") >= s - 1).select(*prep.keys, "ax", "ay", "_lx", "_ly"), prep)
+        first = restore_groups(cand.where(F.col("_cnt") >= share - 1).select(*prep.keys, "ax", "ay", "_lx", "_ly"), prep)
         part = _with_line(first, "ax", "ay", "_lx", "_ly", keys)
         found = part if found is None else found.unionByName(part)
-    members, _ = _members(pts, found.distinct(), keys, broadcast_max_bytes)
-    out = line_sets(members, keys, min_points)
-    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
+    members, _ = _members(dealt.drop("_in"), found.distinct(), keys, bound)
+    return line_sets(members, keys, min_points)
 
 
 # ---- lines after points were added ------------------------------------------------------------
@@ -277,20 +297,37 @@ def extend_lines(
 
     Same columns as ``lines`` (:func:`colline.collinear_sets`, with the same
     ``min_points``).  A line changes or appears only if it holds a new point, so
-    pairs are formed with new points only: those of at least ``min_points - 1``
-    partners in one direction name the changed lines, whose points are looked
-    up; all other lines pass through.  New points that were there before change nothing.
+    pairs are formed with new points only: ``min_points - 1`` or more partners
+    in one direction are a changed line, given out by its lowest new point; all
+    other lines pass through.  New points that were there before change nothing.
     """
     if min_points < 3:
         raise ValueError("min_points must be at least 3 (any two points share a line)")
     gcols = _as_list(group_cols)
     keys = _flat_keys(gcols)
-    old = distinct_points(points, gcols, x, y)
-    added = distinct_points(new_points, gcols, x, y)
-    known = _renamed(old, old.columns, "_o")
-    added = added.join(known, _same(added, known, [*keys, "x", "y"], "_o"), "left_anti")
-    everything = old.unionByName(added)
-    rows = delta_pairs(added, everything, keys, broadcast_max_bytes).select(*keys, "ax", "ay", "bx", "by_", *_difference("ax", "ay", "bx", "by_"))
+    parts = [distinct_points(p, gcols, x, y, distinct=False).withColumn("_lead", F.lit(new)) for p, new in ((points, False), (new_points, True))]
+    everything = parts[0].unionByName(parts[1]).groupBy(*keys, "x", "y").agg(F.bool_and("_lead").alias("_lead"))
+    prep = prepared(everything, gcols, broadcast_max_bytes=broadcast_max_bytes)
+    rows, rest = point_rows(prep, ["_lead"])
+    changed = None
+    for r in rows:
+        part = _flat_named(row_lines(r, prep, min_points), prep, keys)
+        changed = part if changed is None else changed.unionByName(part)
+    if rest is not None:
+        part = _changed_by_lookup(_flat_named(rest, prep, keys), keys, min_points, broadcast_max_bytes)
+        changed = part if changed is None else changed.unionByName(part)
+    # read twice below
+    changed = materialize_always(changed, "changed-lines")
+    before = lines.select(*[ref(c).alias(k) for c, k in zip(gcols, keys)], *LINE, "n_points", "points")
+    gone = changed.select(*[F.col(c).alias(c + "_t") for c in [*keys, *LINE]])
+    out = before.join(gone, _same(before, gone, [*keys, *LINE], "_t"), "left_anti").unionByName(changed)
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
+
+
+def _changed_by_lookup(everything: DataFrame, keys: list[str], min_points: int, bound: int | None) -> DataFrame:
+    """The lines with a new point (``_lead``) of groups too large for a row, by a join of the lines found and the points."""
+    added, everything = everything.where("_lead").select(*keys, "x", "y"), everything.select(*keys, "x", "y")
+    rows = delta_pairs(added, everything, keys, bound).select(*keys, "ax", "ay", "bx", "by_", *_difference("ax", "ay", "bx", "by_"))
     rows = rows.withColumn("_div", direction_divisor("_dx", "_dy"))
     slope, ux, uy = direction_key("_dx", "_dy", "_div")
     rays = (
@@ -300,11 +337,5 @@ def extend_lines(
         .where(F.col("_n") >= min_points - 1)
     )
     # any partner will do: all of a ray are on its line
-    touched = materialize_always(_with_line(rays, "ax", "ay", "_bx", "_by", keys).distinct(), "touched-lines")
-    members, _ = _members(everything, touched, keys, broadcast_max_bytes)
-    changed = line_sets(members, keys, min_points)
-    before = lines.select(*[ref(c).alias(k) for c, k in zip(gcols, keys)], *LINE, "n_points", "points")
-    gone = _renamed(touched, touched.columns, "_t")
-    same = _same(before, gone, [*keys, *LINE], "_t")
-    out = before.join(gone, same, "left_anti").unionByName(changed)
-    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
+    touched = _with_line(rays, "ax", "ay", "_bx", "_by", keys).distinct()
+    return line_sets(_members(everything, touched, keys, bound)[0], keys, min_points)
