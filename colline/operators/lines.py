@@ -1,7 +1,9 @@
 """Maximal collinear point sets, one row per line: the engine's main operator.
 
-Plan (DataFrame operators only: no Python worker, no cartesian product, and
-nothing on the driver but one row of sizes):
+Groups whose points fit a row are searched on arrays (:mod:`colline.operators.rays`);
+the candidates below serve hot groups beyond the broadcast bound and the operators
+that need them.  Plan (no cartesian product, and nothing on the driver but one row
+of sizes and size-checked broadcasts):
 
 1. distinct points per group (partial + final aggregate: duplicates collapse
    map-side before the shuffle);

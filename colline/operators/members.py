@@ -6,7 +6,8 @@ task.  Here a line's points leave the search as rows of their own, and
 :func:`page_points` packs them into pages: the rows are range-partitioned by
 (line, x, y), so a long line spreads over many tasks; a point's rank in its
 line is its place in its range plus the sizes of the line's earlier ranges, and
-the page is cut by that rank.  No array and no task holds a line.
+the page is cut by that rank.  No array and no task holds a line.  Lines of groups
+that one task can take are bounded and cut where they are found.
 """
 
 from __future__ import annotations
