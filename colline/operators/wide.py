@@ -25,6 +25,7 @@ from pyspark.sql.types import DecimalType, IntegralType
 from colline.functions.geometry import gcd_bounded, int_div
 from colline.operators.lines import Prepared, _as_list, _flat_keys, _pt, point_rows, prepared, restore_groups, split_pairs
 from colline.operators.rays import array_lines
+from colline.sources.storage import materialize
 from colline.sources.text import POINT_LINE_PATTERN, _check_mode, ref, require
 
 WIDE = "decimal(38,0)"
@@ -221,7 +222,8 @@ def wide_collinear_sets(
         raise ValueError("min_points must be at least 3 (any two points share a line)")
     gcols = _as_list(group_cols)
     named = points.select(*[ref(c).alias(k) for c, k in zip(gcols, _flat_keys(gcols))], ref(x).alias("_x"), ref(y).alias("_y"))
-    pts = wide_points(named, "_x", "_y", _flat_keys(gcols)).dropDuplicates()
+    # read by the sizing job and twice by the search: parsed and made distinct once where there is a checkpoint folder
+    pts = materialize(wide_points(named, "_x", "_y", _flat_keys(gcols)).dropDuplicates(), "wide-points")
     # a wide point takes twice the bytes that the sizing job counts for one
     bytes_bound = {} if broadcast_max_bytes is None else {"broadcast_max_bytes": broadcast_max_bytes // 2}
     prep: Prepared = prepared(pts, gcols, pairs_per_task=pairs_per_task, **bytes_bound)
