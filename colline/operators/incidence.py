@@ -23,8 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colline.functions.geometry import direction_divisor, direction_key, gcd_bounded, int_div
-from colline.operators.lines import Prepared, _as_list, _flat_keys, candidates_of, distinct_points, point_rows, prepare, prepared, restore_groups, row_lines
+from colline.functions.geometry import direction_divisor, direction_key, gcd_bounded, int_div, points_text
+from colline.operators.lines import Prepared, _as_list, _flat_keys, candidates_of, distinct_points, point_rows, prepare, prepared, restore_groups, row_lines, swept
 from colline.sources.storage import materialize_always
 from colline.sources.text import ref
 from colline.operators.workload import (
@@ -229,15 +229,18 @@ def pigeonhole(min_points: int) -> tuple[int, int]:
 
 def rich_lines(
     points: DataFrame, min_points: int, group_cols: str | Sequence[str] | None = None, x: str = "x", y: str = "y", *,
-    buckets: int | None = None, broadcast_max_bytes: int | None = None,
+    buckets: int | None = None, broadcast_max_bytes: int | None = None, text: bool = False,
 ) -> DataFrame:
-    """Lines of at least ``min_points`` points, in the columns of :func:`colline.collinear_sets`.
+    """Lines of at least ``min_points`` points, in the columns of :func:`colline.collinear_sets` (with its ``text``).
 
     Searches lines of s points inside m buckets of each group (see
     :func:`pigeonhole`) and looks up all points on what is found.  ``buckets``
     sets m; s follows from it and must be 3 or more.  While a group's points fit
     one row, both steps are made where the row is, and no line leaves its task
     before it is whole; for larger groups the lines found are joined with the points.
+    One set of points that is dense in its box is searched by the directions that
+    k points of a line leave room for (:mod:`colline.operators.sweep`), if these are
+    less work than the pairs inside the buckets.
     """
     m, s = pigeonhole(min_points) if buckets is None else (buckets, math.ceil(min_points / buckets))
     if s < 3:
@@ -246,15 +249,18 @@ def rich_lines(
     keys = _flat_keys(gcols)
     dealt = distinct_points(points, gcols, x, y).withColumn("_in", F.pmod(F.xxhash64("x", "y"), F.lit(m)))
     prep = prepared(dealt, gcols, broadcast_max_bytes=broadcast_max_bytes)
+    out = swept(prep, min_points, prep.plan.n_points**2 // m, text) if buckets is None else None
+    if out is not None:
+        return out
     rows, rest = point_rows(prep, ["_in"])
-    out = None
     for r in rows:
         part = _flat_named(row_lines(r, prep, min_points, s), prep, keys)
         out = part if out is None else out.unionByName(part)
     if rest is not None:
         part = _rich_by_lookup(_flat_named(rest, prep, keys).select(*keys, "x", "y", "_in"), keys, min_points, s, broadcast_max_bytes)
         out = part if out is None else out.unionByName(part)
-    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
+    out = out.select(*[F.col(k).alias(c) for k, c in zip(keys, gcols)], *LINE, "n_points", "points")
+    return out.withColumn("points", points_text("points")) if text else out
 
 
 def _flat_named(df: DataFrame, prep: Prepared, keys: list[str]) -> DataFrame:
