@@ -1,9 +1,11 @@
 """Lookups of points on given lines, and what is built on them.
 
 * :func:`points_on_lines`: for each given line (or pair of points, through
-  :func:`lines_through`) all points on it.  A point meets every distinct
-  direction of its group's lines and emits one exact key (direction, c); the
-  keys are equi-joined with the lines.  Points never meet points.
+  :func:`lines_through`) all points on it.  In small groups a point is tested
+  against every line of its group, where both are, and only hits go on.  In
+  others it meets every distinct direction of its group's lines and emits one
+  exact key (direction, c); the keys are equi-joined with the lines.  Points
+  never meet points.
 * :func:`rich_lines`: lines of at least k points by the pigeonhole principle.
   Points are dealt into m buckets; a line of k points has ceil(k / m) of them in
   one bucket, so a search inside the buckets (n^2 / m pairs) finds every such
@@ -43,6 +45,10 @@ from colline.operators.workload import (
 LINE = ["ux", "uy", "c"]
 # Coordinates are at most 2^61 in size (see README), directions at most their differences.
 MAX_DIFFERENCE = 1 << 62
+# Points are tested against lines, not directions, while this costs less than so many
+# tests a row (of points and lines) in all, and so many in any group.
+TESTS_PER_ROW = 64
+TESTS_PER_GROUP = 1 << 26
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str = "") -> Column:
@@ -65,11 +71,13 @@ def _zero(cols: Sequence[str]) -> Column:
 class GroupWork:
     """Measured size of a join inside groups: left rows times right rows, and the right side's bytes."""
 
-    def __init__(self, left: DataFrame, right: DataFrame, keys: list[str], left_max: Column, right_max: Column, bound: int | None):
+    def __init__(
+        self, left: DataFrame, right: DataFrame, keys: list[str], left_max: Column, right_max: Column, bound: int | None, row_bytes: int = POINT_BYTES
+    ):
         spark = left.sparkSession
         a = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(left_max).alias("_m"))
         b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"), F.max(right_max).alias("_u"))
-        width = F.lit(POINT_BYTES)
+        width = F.lit(row_bytes)
         for k in keys:
             width = width + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + F.lit(8)
         if keys:
@@ -79,8 +87,10 @@ class GroupWork:
             b = b.withColumn("_w", F.col("_d") * width).withColumn("_z_b", _zero(["_d"]))
             a = a.withColumn("_z", _zero(["_n"]))
             both = a.join(b, F.col("_z") == F.col("_z_b"))
-        row = both.agg(*[F.coalesce(x, F.lit(0)) for x in (F.sum(F.col("_n") * F.col("_d")), F.sum("_w"), F.max("_m"), F.max("_u"))]).first()
-        self.work, self.bytes, self.left_max, self.right_max = (int(v) for v in row)
+        work = F.col("_n") * F.col("_d")
+        sums = (F.sum(work), F.sum("_w"), F.max("_m"), F.max("_u"), F.max(work), F.sum(F.col("_n") + F.col("_d")))
+        row = both.agg(*[F.coalesce(x, F.lit(0)) for x in sums]).first()
+        self.work, self.bytes, self.left_max, self.right_max, self.most, self.rows = (int(v) for v in row)
         cores = parallelism(spark)
         per_task = _conf_int(spark, CONF_PAIRS_PER_TASK, PAIRS_PER_TASK)
         self.partitions = max(1, min(math.ceil(self.work / per_task), MAX_PARTITIONS), min(2 * cores, math.ceil(self.work / MIN_PAIRS_PER_TASK)))
@@ -161,9 +171,14 @@ def _members(pts: DataFrame, lines: DataFrame, keys: list[str], bound: int | Non
     reduced to directions and joined, and must not be searched for each time.
     """
     lines = materialize_always(lines, "line-keys")
+    limits = F.greatest(F.abs("x"), F.abs("y")), F.greatest(F.col("ux"), F.abs("uy"))
+    if keys:
+        plan = GroupWork(pts, lines, keys, *limits, bound, POINT_BYTES + 24)
+        if plan.work <= TESTS_PER_ROW * plan.rows and plan.most <= TESTS_PER_GROUP:
+            return _tested(pts, lines, keys, plan), plan
     dirs = lines.select(*keys, "ux", "uy").distinct()
-    plan = GroupWork(pts, dirs, keys, F.greatest(F.abs("x"), F.abs("y")), F.greatest(F.col("ux"), F.abs("uy")), bound)
-    small = 2 * plan.left_max * plan.right_max < 1 << 62
+    plan = GroupWork(pts, dirs, keys, *limits, bound)
+    small = _fits_bigint(plan)
     emitted = group_join(pts, dirs, keys, ["x", "y"], plan)
     emitted = emitted.select(*keys, "ux", "uy", "x", "y", _constant("x", "y", small).alias("c"))
     known = lines.select(*keys, "ux", "uy", (F.col("c").try_cast("bigint") if small else F.col("c").cast("decimal(38,0)")).alias("c"))
@@ -181,6 +196,20 @@ def _members(pts: DataFrame, lines: DataFrame, keys: list[str], bound: int | Non
     return out, plan
 
 
+def _fits_bigint(plan: GroupWork) -> bool:
+    return 2 * plan.left_max * plan.right_max < 1 << 62
+
+
+def _tested(pts: DataFrame, lines: DataFrame, keys: list[str], plan: GroupWork) -> DataFrame:
+    """:func:`_members` by a join on the group alone: both sides move once, and what is on no line goes no further."""
+    small = _fits_bigint(plan)
+    # a constant that is no BIGINT where all of them are is NULL, and meets no point
+    c = F.col("c").try_cast("bigint") if small else F.col("c").cast("decimal(38,0)")
+    met = group_join(pts, lines.select(*keys, "ux", "uy", c.alias("c")), keys, ["x", "y"], plan)
+    met = met.where(_constant("x", "y", small) == F.col("c"))
+    return met.select(*keys, "ux", "uy", F.col("c").cast("decimal(38,0)").alias("c"), "x", "y")
+
+
 def _named_lines(lines: DataFrame, gcols: list[str], keys: list[str]) -> DataFrame:
     return lines.select(*[ref(c).alias(k) for c, k in zip(gcols, keys)], "ux", "uy", F.col("c").cast("decimal(38,0)").alias("c")).distinct()
 
